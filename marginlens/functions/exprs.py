@@ -61,11 +61,26 @@ def cents(x, scale: int = 100) -> Column:
     return F.floor(_c(x) * scale + 0.5).cast("long")
 
 
+def sum_cents(x, scale: int = 100) -> Column:
+    """Exact sum of the fixed-point integers as a double.
+
+    Summed as ``decimal(18,0)`` (result ``decimal(28,0)``): a ``bigint`` sum
+    of cents can overflow at 100 TB scale; the decimal sum cannot.
+    """
+    return F.sum(cents(x, scale).cast("decimal(18,0)")).cast("double")
+
+
 def exact_sum(x, scale: int = 100) -> Column:
     """Sum of a double measure through fixed-point integers, returned as double."""
-    return (F.sum(cents(x, scale)).cast("double") / float(scale))
+    return sum_cents(x, scale) / float(scale)
 
 
 def exact_avg(x, scale: int = 100) -> Column:
     """Average of a double measure through fixed-point integer sums."""
-    return F.try_divide(F.sum(cents(x, scale)).cast("double"), F.count(_c(x)).cast("double")) / float(scale)
+    return F.try_divide(sum_cents(x, scale), F.count(_c(x)).cast("double")) / float(scale)
+
+
+def ratio_of_sums(num, den, scale: int = 100, pct: bool = True) -> Column:
+    """``100 * sum(num) / sum(den)`` from exact sums; NULL when ``sum(den)`` is 0."""
+    top = sum_cents(num, scale) * 100 if pct else sum_cents(num, scale)
+    return F.try_divide(top, sum_cents(den, scale))

@@ -5,10 +5,130 @@ from marginlens.plans.oracle_sql import with_chain
 
 ORACLE: dict[str, str] = {}
 
+COMPONENTS = ["disposal_cost", "fuel_cost", "labour_cost", "maintenance_cost", "admin_cost"]
+SUMS_INT = ["total_stops", "completed_stops", "missed_stops"]
+SUMS_DBL = ["total_distance_km", "total_fuel_used_litres", "total_labour_hours", "total_yards",
+            "total_tonnes", "total_revenue", "disposal_cost", "fuel_cost", "labour_cost",
+            "maintenance_cost", "admin_cost", "total_cost", "net_revenue", "gross_profit"]
+ROUTE_ATTRS = ["region", "bu", "area", "primary_waste_stream", "primary_customer_segment", "cohort_key"]
 
-def sql(name: str, final_select: str, scorecard: bool = False) -> None:
-    ORACLE[name] = with_chain(final_select, scorecard=scorecard)
 
+def C(x: str) -> str:
+    """Fixed-point cents, as the Spark side computes them."""
+    return f"CAST(floor({x} * 100 + 0.5) AS BIGINT)"
+
+
+def SUMC(x: str) -> str:
+    return f"CAST(sum({C(x)}) AS DOUBLE)"
+
+
+def AVGC(x: str) -> str:
+    return f"({SUMC(x)} / NULLIF(CAST(count({x}) AS DOUBLE), 0) / 100.0)"
+
+
+def RATIO(num: str, den: str) -> str:
+    return f"({SUMC(num)} * 100 / NULLIF({SUMC(den)}, 0))"
+
+
+def RND(x: str, n: int) -> str:
+    """Half-up rounding of the shortest decimal form, like Spark's ``round``."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
+
+
+def sql(name: str, final_select: str, scorecard: bool = False, ctes: tuple[str, ...] = ()) -> None:
+    ORACLE[name] = with_chain(final_select, scorecard=scorecard, extra_ctes=ctes)
+
+
+DAY_TYPE = "CASE WHEN gross_profit < 0 THEN 'loss day' ELSE 'profitable day' END"
+
+sql("clean_latest_wins", "SELECT route_date_key, route_id, date, _source_seq, total_revenue, disposal_cost, fuel_cost FROM silver")
+sql("quarantine", "SELECT route_date_key, route_id, date, _source_seq, total_revenue, _reject_reason FROM quarantine")
+sql("recompute_reconcile", """SELECT route_date_key, total_cost_src, total_cost, net_revenue_src, net_revenue,
+  gross_profit_src, gross_profit, gross_margin_pct_src, gross_margin_pct, recon_flag FROM silver""")
+sql("guarded_metrics", """SELECT route_date_key, completed_stops, total_stops, profit_per_stop, profit_per_km,
+  cost_per_tonne, completion_rate, metric_null_flag FROM silver""")
+sql("cohort_key", """SELECT primary_waste_stream, primary_customer_segment, cohort_key, count(*) AS route_days
+  FROM silver GROUP BY ALL""")
+sql("date_key_roundtrip", """SELECT date, date_key, CAST(date_key // 10000 AS INTEGER) AS key_year,
+  CAST((date_key // 100) % 100 AS INTEGER) AS key_month,
+  CAST((date_key // 10000) * 100 + (date_key // 100) % 100 AS INTEGER) AS month_key,
+  (date_key // 10000 = year(date)) AND ((date_key // 100) % 100 = month(date)) AS roundtrip_ok
+  FROM dim_date""")
+sql("dim_date", "SELECT * FROM dim_date")
+sql("dim_route", "SELECT * FROM dim_route")
+_flags = ", ".join(f"coalesce(min({a}) <> max({a}), false) AS {a}_varies" for a in ROUTE_ATTRS)
+_viol = " OR ".join(f"coalesce(min({a}) <> max({a}), false)" for a in ROUTE_ATTRS)
+sql("hierarchy_violations", f"SELECT route_id, {_flags}, ({_viol}) AS violates FROM silver GROUP BY route_id")
+sql("fact_day", "SELECT * FROM fact_day")
+
+_month_sums = ", ".join([f"CAST(sum({c}) AS BIGINT) AS {c}" for c in SUMS_INT]
+                        + [f"{SUMC(c)} / 100.0 AS {c}" for c in SUMS_DBL])
+FACT_MONTH = f"""fact_month AS (
+  SELECT m.route_id, d.region, d.bu, d.area, m.year, m.month, m.days_active, m.loss_days,
+         total_stops, completed_stops, missed_stops, {", ".join(SUMS_DBL)},
+         gross_profit * 100 / NULLIF(total_revenue, 0) AS gross_margin_pct,
+         CAST(m.year * 100 + m.month AS INTEGER) AS month_key
+  FROM (SELECT route_id, CAST(date_key // 10000 AS INTEGER) AS year,
+               CAST((date_key // 100) % 100 AS INTEGER) AS month,
+               count(*) AS days_active,
+               CAST(sum(CAST(gross_profit < 0 AS INTEGER)) AS BIGINT) AS loss_days,
+               {_month_sums}
+        FROM fact_day GROUP BY ALL) m
+  JOIN dim_route d USING (route_id)
+)"""
+sql("fact_month", "SELECT * FROM fact_month", ctes=(FACT_MONTH,))
+
+_tie = " UNION ALL ".join(
+    f"SELECT '{c}' AS measure, (SELECT {SUMC(c)} / 100.0 FROM fact_day) AS day_total, "
+    f"(SELECT {SUMC(c)} / 100.0 FROM fact_month) AS month_total" for c in
+    ["total_revenue", "gross_profit", "total_cost", "completed_stops"])
+sql("month_day_tieout", f"""SELECT measure, day_total, month_total, abs(day_total - month_total) AS diff,
+  abs(day_total - month_total) < 0.5 AS ties FROM ({_tie}) t""", ctes=(FACT_MONTH,))
 
 sql("scorecard", "SELECT * FROM scorecard", scorecard=True)
 sql("tier_counts", "SELECT tier, count(*) AS routes FROM scorecard GROUP BY tier", scorecard=True)
+sql("flagged_routes", f"""SELECT route_id, cohort_key, {RND('median_margin_pct', 1)} AS median_margin_pct,
+  {RND('cohort_median_margin', 1)} AS cohort_median_margin, {RND('pct_days_below_peer', 2)} AS pct_days_below_peer,
+  {RND('loss_day_rate', 2)} AS loss_day_rate, tier
+  FROM scorecard WHERE below_peer_flag""", scorecard=True)
+_export = f"""route_id, cohort_key, {RND('median_margin_pct', 2)} AS median_margin_pct,
+  {RND('cohort_median_margin', 2)} AS cohort_median_margin, {RND('pct_days_below_peer', 3)} AS pct_days_below_peer,
+  {RND('loss_day_rate', 3)} AS loss_day_rate, tier, tier_code"""
+sql("scorecard_export", f"SELECT {_export} FROM scorecard", scorecard=True)
+sql("underperforming_export", f"SELECT {_export} FROM scorecard WHERE tier_code <> 0", scorecard=True)
+
+sql("stream_medians", """SELECT primary_waste_stream, quantile_disc(gross_margin_pct, 0.5) AS median_margin_pct,
+  count(*) AS route_days FROM days GROUP BY primary_waste_stream""")
+sql("cohort_medians", """SELECT cohort_key, quantile_disc(gross_margin_pct, 0.5) AS cohort_median_margin,
+  count(*) AS route_days FROM days GROUP BY cohort_key""")
+sql("loss_incident_rates", """SELECT route_days, loss_days, loss_days * 100 / NULLIF(route_days, 0) AS loss_day_pct,
+  incident_loss_days, incident_loss_days * 100 / NULLIF(loss_days, 0) AS incident_loss_pct,
+  incident_days, incident_days * 100 / NULLIF(route_days, 0) AS incident_day_pct
+  FROM (SELECT count(*) AS route_days, count_if(gross_profit < 0) AS loss_days,
+               count_if(gross_profit < 0 AND incident_flag = 1) AS incident_loss_days,
+               count_if(incident_flag = 1) AS incident_days FROM days) t""")
+sql("maintenance_by_day_type", f"""SELECT {DAY_TYPE} AS day_type, {AVGC('maintenance_cost')} AS avg_maintenance_cost,
+  quantile_disc(maintenance_cost, 0.5) AS median_maintenance_cost, count(*) AS days FROM days GROUP BY 1""")
+_shares = ", ".join(f"{RATIO(c, 'total_cost')} AS {c}_share_pct" for c in COMPONENTS)
+sql("cost_share_by_day_type", f"SELECT {DAY_TYPE} AS day_type, {_shares} FROM days GROUP BY 1")
+_avgs = ", ".join(f"{AVGC(c)} AS avg_{c}" for c in COMPONENTS)
+sql("cost_avg_by_day_type", f"SELECT {DAY_TYPE} AS day_type, {AVGC('total_revenue')} AS avg_revenue, {_avgs} FROM days GROUP BY 1")
+_long = " UNION ALL ".join(
+    f"SELECT {DAY_TYPE} AS day_type, total_cost, '{c}' AS cost_component, {c} AS v FROM days" for c in COMPONENTS)
+sql("cost_drivers", f"""SELECT cost_component,
+  {SUMC("CASE WHEN day_type = 'loss day' THEN v END")} * 100
+     / NULLIF({SUMC("CASE WHEN day_type = 'loss day' THEN total_cost END")}, 0) AS loss_day_share_pct,
+  {SUMC("CASE WHEN day_type = 'profitable day' THEN v END")} * 100
+     / NULLIF({SUMC("CASE WHEN day_type = 'profitable day' THEN total_cost END")}, 0) AS profit_day_share_pct,
+  {SUMC("CASE WHEN day_type = 'loss day' THEN v END")}
+     / NULLIF(CAST(count(CASE WHEN day_type = 'loss day' THEN v END) AS DOUBLE), 0) / 100.0 AS loss_day_avg,
+  {SUMC("CASE WHEN day_type = 'profitable day' THEN v END")}
+     / NULLIF(CAST(count(CASE WHEN day_type = 'profitable day' THEN v END) AS DOUBLE), 0) / 100.0 AS profit_day_avg
+  FROM ({_long}) t GROUP BY cost_component""")
+DATED = "dated AS (SELECT d.*, dd.year AS year, dd.quarter AS quarter FROM days d JOIN dim_date dd USING (date_key))"
+_trend = f"{RATIO('gross_profit', 'total_revenue')} AS margin_pct, avg(CAST(gross_profit < 0 AS INTEGER)) * 100 AS loss_day_rate_pct"
+sql("trend_year", f"SELECT year, {_trend} FROM dated GROUP BY year", ctes=(DATED,))
+sql("trend_quarter", f"SELECT year, quarter, {_trend} FROM dated GROUP BY year, quarter", ctes=(DATED,))
+sql("margin_trend", f"""SELECT CASE WHEN GROUPING(quarter) = 1 THEN 'year' ELSE 'quarter' END AS period_type,
+  CASE WHEN GROUPING(quarter) = 1 THEN CAST(year AS VARCHAR) ELSE CAST(year AS VARCHAR) || ' ' || quarter END AS period,
+  {_trend} FROM dated GROUP BY GROUPING SETS ((year), (year, quarter))""", ctes=(DATED,))

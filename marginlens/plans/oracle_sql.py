@@ -187,6 +187,6 @@ scorecard AS (
 )"""
 
 
-def with_chain(final_select: str, scorecard: bool = False) -> str:
-    ctes = [_BRONZE, _SILVER, _GOLD] + ([_SCORECARD] if scorecard else [])
+def with_chain(final_select: str, scorecard: bool = False, extra_ctes: tuple[str, ...] = ()) -> str:
+    ctes = [_BRONZE, _SILVER, _GOLD] + ([_SCORECARD] if scorecard else []) + ["\n" + c for c in extra_ctes]
     return "WITH " + ",".join(ctes) + "\n" + final_select.strip()

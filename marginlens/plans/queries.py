@@ -1,4 +1,8 @@
-"""Registered queries: one per operator family, each ``(spark, sf_dir) -> DataFrame``."""
+"""Registered queries: one per operator family, each ``(spark, sf_dir) -> DataFrame``.
+
+All read the driver's tables through the lakehouse layers
+(:func:`marginlens.plans.layers.lakehouse`), i.e. the whole tables.
+"""
 from __future__ import annotations
 
 from collections.abc import Callable
@@ -6,6 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginlens.functions.exprs import exact_sum, key_month, key_year, month_key
+from marginlens.operators import dims, reports
 from marginlens.operators import scorecard as sc
 from marginlens.plans.layers import build
 
@@ -18,12 +24,168 @@ def query(fn: QueryFn) -> QueryFn:
     return fn
 
 
+# --- Silver ---------------------------------------------------------------
+@query
+def clean_latest_wins(spark, sf_dir):
+    return build(spark, sf_dir).silver.select(
+        "route_date_key", "route_id", "date", "_source_seq", "total_revenue", "disposal_cost", "fuel_cost")
+
+
 @query
-def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quarantine(spark, sf_dir):
+    return build(spark, sf_dir).quarantine.select(
+        "route_date_key", "route_id", "date", "_source_seq", "total_revenue", "_reject_reason")
+
+
+@query
+def recompute_reconcile(spark, sf_dir):
+    return build(spark, sf_dir).silver.select(
+        "route_date_key", "total_cost_src", "total_cost", "net_revenue_src", "net_revenue",
+        "gross_profit_src", "gross_profit", "gross_margin_pct_src", "gross_margin_pct", "recon_flag")
+
+
+@query
+def guarded_metrics(spark, sf_dir):
+    return build(spark, sf_dir).silver.select(
+        "route_date_key", "completed_stops", "total_stops", "profit_per_stop", "profit_per_km",
+        "cost_per_tonne", "completion_rate", "metric_null_flag")
+
+
+@query
+def cohort_key(spark, sf_dir):
+    return (build(spark, sf_dir).silver
+            .groupBy("primary_waste_stream", "primary_customer_segment", "cohort_key")
+            .agg(F.count(F.lit(1)).alias("route_days")))
+
+
+# --- Gold dimensions and facts --------------------------------------------
+@query
+def date_key_roundtrip(spark, sf_dir):
+    dd = build(spark, sf_dir).dim_date
+    out = dd.select("date", "date_key", key_year("date_key").alias("key_year"),
+                    key_month("date_key").alias("key_month"))
+    return out.select("*", month_key("key_year", "key_month").alias("month_key"),
+                      ((F.col("key_year") == F.year("date")) & (F.col("key_month") == F.month("date"))
+                       ).alias("roundtrip_ok"))
+
+
+@query
+def dim_date(spark, sf_dir):
+    return build(spark, sf_dir).dim_date
+
+
+@query
+def dim_route(spark, sf_dir):
+    return build(spark, sf_dir).dim_route
+
+
+@query
+def hierarchy_violations(spark, sf_dir):
+    return dims.hierarchy_flags(build(spark, sf_dir).silver)
+
+
+@query
+def fact_day(spark, sf_dir):
+    return build(spark, sf_dir).fact_day
+
+
+@query
+def fact_month(spark, sf_dir):
+    return build(spark, sf_dir).fact_month()
+
+
+TIE_MEASURES = ["total_revenue", "gross_profit", "total_cost", "completed_stops"]
+
+
+@query
+def month_day_tieout(spark, sf_dir):
+    """Day-fact totals vs month-fact totals: one aggregate per table, joined."""
+    L = build(spark, sf_dir)
+
+    def totals(df, label):
+        row = df.agg(*[exact_sum(c).alias(c) for c in TIE_MEASURES])
+        pairs = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias(label)) for c in TIE_MEASURES])
+        return row.select(F.inline(pairs))
+
+    day, month = totals(L.fact_day, "day_total"), totals(L.fact_month(), "month_total")
+    out = day.join(month, "measure")
+    diff = F.abs(F.col("day_total") - F.col("month_total"))
+    return out.select("measure", "day_total", "month_total", diff.alias("diff"), (diff < 0.5).alias("ties"))
+
+
+# --- Verdict ----------------------------------------------------------------
+@query
+def scorecard(spark, sf_dir):
     L = build(spark, sf_dir)
     return sc.scorecard_from_star(L.fact_day, L.dim_route)
 
 
 @query
-def tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scorecard(spark, sf_dir).groupBy("tier").agg(F.count(F.lit(1)).alias("routes"))
+def tier_counts(spark, sf_dir):
+    return reports.tier_counts(scorecard(spark, sf_dir))
+
+
+@query
+def flagged_routes(spark, sf_dir):
+    return reports.flagged_routes(scorecard(spark, sf_dir))
+
+
+@query
+def scorecard_export(spark, sf_dir):
+    return reports.scorecard_export(scorecard(spark, sf_dir))
+
+
+@query
+def underperforming_export(spark, sf_dir):
+    return reports.underperforming_export(scorecard(spark, sf_dir))
+
+
+# --- Evidence reports -------------------------------------------------------
+@query
+def stream_medians(spark, sf_dir):
+    return reports.stream_medians(build(spark, sf_dir).days())
+
+
+@query
+def cohort_medians(spark, sf_dir):
+    return reports.cohort_medians(build(spark, sf_dir).days())
+
+
+@query
+def loss_incident_rates(spark, sf_dir):
+    return reports.loss_incident_rates(build(spark, sf_dir).days())
+
+
+@query
+def maintenance_by_day_type(spark, sf_dir):
+    return reports.maintenance_by_day_type(build(spark, sf_dir).days())
+
+
+@query
+def cost_share_by_day_type(spark, sf_dir):
+    return reports.cost_share_by_day_type(build(spark, sf_dir).days())
+
+
+@query
+def cost_avg_by_day_type(spark, sf_dir):
+    return reports.cost_avg_by_day_type(build(spark, sf_dir).days())
+
+
+@query
+def cost_drivers(spark, sf_dir):
+    return reports.cost_drivers(build(spark, sf_dir).days())
+
+
+@query
+def trend_year(spark, sf_dir):
+    return reports.trend_year(build(spark, sf_dir).days_dated())
+
+
+@query
+def trend_quarter(spark, sf_dir):
+    return reports.trend_quarter(build(spark, sf_dir).days_dated())
+
+
+@query
+def margin_trend(spark, sf_dir):
+    return reports.margin_trend(build(spark, sf_dir).days_dated())
