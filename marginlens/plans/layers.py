@@ -27,6 +27,8 @@ class Layers:
     quarantine: DataFrame
     dim_route: DataFrame
     dim_date: DataFrame
+    root: str | None = None
+    _scorecard: DataFrame | None = None
 
     @property
     def fact_day(self) -> DataFrame:
@@ -39,6 +41,17 @@ class Layers:
         """fact_day ⋈ dim_route: every day with its entity attributes."""
         return self.fact_day.join(self.dim_route, "route_id")
 
+    def scorecard(self) -> DataFrame:
+        """Per-route verdict; written once per lakehouse and re-read."""
+        if self._scorecard is None:
+            from marginlens.operators.scorecard import scorecard_from_star
+            plan = scorecard_from_star(self.fact_day, self.dim_route)
+            self._scorecard = _persist(plan, self.path("scorecard")) if self.root else plan
+        return self._scorecard
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
     def days_dated(self) -> DataFrame:
         """The full star: fact_day ⋈ dim_route ⋈ dim_date(year, quarter)."""
         return self.days().join(self.dim_date.select("date_key", "year", "quarter"), "date_key")
@@ -65,12 +78,14 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Layers:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKEHOUSES:
         lazy = derive(spark, sf_dir)
-        silver = _persist(lazy.silver, scratch_path(spark, "silver"))
-        quarantine = _persist(lazy.quarantine, scratch_path(spark, "quarantine"))
+        root = scratch_path(spark, "lakehouse")
+        silver = _persist(lazy.silver, f"{root}/silver")
+        quarantine = _persist(lazy.quarantine, f"{root}/quarantine")
         _LAKEHOUSES[key] = Layers(
             bronze=lazy.bronze, silver=silver, quarantine=quarantine,
-            dim_route=_persist(dims.dim_route(silver), scratch_path(spark, "dim_route")),
-            dim_date=_persist(dims.dim_date(silver), scratch_path(spark, "dim_date")),
+            dim_route=_persist(dims.dim_route(silver), f"{root}/dim_route"),
+            dim_date=_persist(dims.dim_date(silver), f"{root}/dim_date"),
+            root=root,
         )
     return _LAKEHOUSES[key]
 

@@ -132,3 +132,50 @@ sql("trend_quarter", f"SELECT year, quarter, {_trend} FROM dated GROUP BY year,
 sql("margin_trend", f"""SELECT CASE WHEN GROUPING(quarter) = 1 THEN 'year' ELSE 'quarter' END AS period_type,
   CASE WHEN GROUPING(quarter) = 1 THEN CAST(year AS VARCHAR) ELSE CAST(year AS VARCHAR) || ' ' || quarter END AS period,
   {_trend} FROM dated GROUP BY GROUPING SETS ((year), (year, quarter))""", ctes=(DATED,))
+
+_UPS = """first_load AS (SELECT route_date_key, route_id, date, total_revenue, gross_profit, 1 AS _batch
+                    FROM silver WHERE date < DATE '1998-01-01'),
+second_load AS (SELECT route_date_key, route_id, date, total_revenue, gross_profit, 2 AS _batch
+                    FROM silver WHERE date >= DATE '1997-07-01')"""
+_UPS_SELECT = """SELECT f.* FROM first_load f ANTI JOIN second_load s USING (route_date_key)
+  UNION ALL SELECT * FROM second_load"""
+sql("upsert_merge", _UPS_SELECT, ctes=(_UPS,))
+sql("upsert_idempotent", _UPS_SELECT, ctes=(_UPS,))
+sql("partitioned_month", "SELECT * FROM fact_month", ctes=(FACT_MONTH,))
+_SRC = ", ".join(["route_date_key", "date", "year", "month", "quarter", "day_of_week", "region", "bu", "area",
+                  "route_id", "primary_waste_stream", "primary_customer_segment", "num_drivers", "num_trucks",
+                  "total_stops", "completed_stops", "missed_stops", "total_distance_km", "total_fuel_used_litres",
+                  "total_labour_hours", "total_yards", "total_tonnes", "avg_revenue_per_stop", "total_revenue",
+                  "disposal_cost", "fuel_cost", "labour_cost", "maintenance_cost", "admin_cost", "total_cost",
+                  "net_revenue", "gross_profit", "gross_margin_pct", "scheduled_hours", "actual_hours",
+                  "delay_minutes", "on_time_flag", "incident_flag", "incident_type"])
+sql("csv_roundtrip", f"SELECT {_SRC} FROM bronze")
+
+_QA = f"""
+SELECT 'clean_plus_quarantine_equals_input' AS "check", (SELECT count(*) FROM bronze) AS expected,
+       (SELECT count(*) FROM silver) + (SELECT count(*) FROM quarantine) AS actual
+UNION ALL SELECT 'lineage_source_file_null', 0, (SELECT count(*) FROM bronze WHERE _source_file IS NULL)
+UNION ALL SELECT 'silver_key_unique', (SELECT count(*) FROM silver), (SELECT count(DISTINCT route_date_key) FROM silver)
+UNION ALL SELECT 'recon_mismatch_rows', 0, (SELECT count_if(recon_flag) FROM silver)
+UNION ALL SELECT 'recon_unknown_rows', NULL, (SELECT count_if(recon_flag IS NULL) FROM silver)
+UNION ALL SELECT 'metric_null_rows', NULL, (SELECT count_if(metric_null_flag) FROM silver)
+UNION ALL SELECT 'null_margin_rows', NULL, (SELECT count_if(gross_margin_pct IS NULL) FROM silver)
+UNION ALL SELECT 'min_date_key', NULL, (SELECT CAST(strftime(min(date), '%Y%m%d') AS BIGINT) FROM silver)
+UNION ALL SELECT 'max_date_key', NULL, (SELECT CAST(strftime(max(date), '%Y%m%d') AS BIGINT) FROM silver)
+UNION ALL SELECT 'quarantine_rows', NULL, (SELECT count(*) FROM quarantine)
+UNION ALL SELECT 'dim_route_key_unique', (SELECT count(*) FROM dim_route), (SELECT count(DISTINCT route_id) FROM dim_route)
+UNION ALL SELECT 'dim_date_key_unique', (SELECT count(*) FROM dim_date), (SELECT count(DISTINCT date_key) FROM dim_date)
+UNION ALL SELECT 'fact_rows_without_route', 0, (SELECT count(*) FROM fact_day f ANTI JOIN dim_route d USING (route_id))
+UNION ALL SELECT 'month_day_untied_measures', 0, (
+    SELECT {" + ".join(f"CAST(abs((SELECT sum({C(c)}) FROM fact_day) - (SELECT sum({C(c)}) FROM fact_month)) >= 50 AS INTEGER)"
+                       for c in ["total_revenue", "gross_profit", "total_cost", "completed_stops"])})
+UNION ALL SELECT 'scorecard_one_row_per_route', (SELECT count(*) FROM dim_route), (SELECT count(*) FROM scorecard)
+UNION ALL SELECT 'scorecard_null_tier', 0, (SELECT count_if(tier IS NULL) FROM scorecard)
+"""
+sql("quality_report", f"""SELECT "check", CAST(expected AS BIGINT) AS expected, CAST(actual AS BIGINT) AS actual,
+  CAST(expected AS BIGINT) = CAST(actual AS BIGINT) AS passed FROM ({_QA}) q""", scorecard=True, ctes=(FACT_MONTH,))
+sql("baseline_drift", """SELECT metric, expected, actual, expected = actual AS matches FROM (
+  SELECT 'routes' AS metric, CAST(120 AS BIGINT) AS expected, (SELECT count(*) FROM scorecard) AS actual
+  UNION ALL SELECT 'below_peer', 22, (SELECT count_if(below_peer_flag) FROM scorecard)
+  UNION ALL SELECT 'tier1', 4, (SELECT count_if(tier_code = 1) FROM scorecard)
+  UNION ALL SELECT 'tier2', 18, (SELECT count_if(tier_code = 2) FROM scorecard)) b""", scorecard=True)

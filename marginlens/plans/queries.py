@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 
 from marginlens.functions.exprs import exact_sum, key_month, key_year, month_key
 from marginlens.operators import dims, reports
+from marginlens.operators import quality as qa
+from marginlens.session import scratch_path
+from marginlens.sinks.upsert import upsert
+from marginlens.sinks.writers import export_csv, write_clustered
+from marginlens.sources.ingest import ingest
+from marginlens.sources.schemas import FACT_MONTH_SCHEMA, SOURCE_COLUMNS
 from marginlens.operators import scorecard as sc
 from marginlens.plans.layers import build
 
@@ -116,28 +122,34 @@ def month_day_tieout(spark, sf_dir):
 # --- Verdict ----------------------------------------------------------------
 @query
 def scorecard(spark, sf_dir):
+    """Computed from the star (fact_day ⋈ dim_route) on every call."""
     L = build(spark, sf_dir)
     return sc.scorecard_from_star(L.fact_day, L.dim_route)
 
 
+def scorecard_table(spark, sf_dir):
+    """The written scorecard layer (computed once per lakehouse)."""
+    return build(spark, sf_dir).scorecard()
+
+
 @query
 def tier_counts(spark, sf_dir):
-    return reports.tier_counts(scorecard(spark, sf_dir))
+    return reports.tier_counts(scorecard_table(spark, sf_dir))
 
 
 @query
 def flagged_routes(spark, sf_dir):
-    return reports.flagged_routes(scorecard(spark, sf_dir))
+    return reports.flagged_routes(scorecard_table(spark, sf_dir))
 
 
 @query
 def scorecard_export(spark, sf_dir):
-    return reports.scorecard_export(scorecard(spark, sf_dir))
+    return reports.scorecard_export(scorecard_table(spark, sf_dir))
 
 
 @query
 def underperforming_export(spark, sf_dir):
-    return reports.underperforming_export(scorecard(spark, sf_dir))
+    return reports.underperforming_export(scorecard_table(spark, sf_dir))
 
 
 # --- Evidence reports -------------------------------------------------------
@@ -189,3 +201,77 @@ def trend_quarter(spark, sf_dir):
 @query
 def margin_trend(spark, sf_dir):
     return reports.margin_trend(build(spark, sf_dir).days_dated())
+
+
+# --- Sinks and table maintenance -------------------------------------------
+UPSERT_FIRST_LOAD_BEFORE = "1998-01-01"   # first batch: days before this date
+UPSERT_SECOND_LOAD_FROM = "1997-07-01"    # second batch: overlaps six months
+
+
+def _upsert_batches(spark, sf_dir):
+    silver = build(spark, sf_dir).silver
+    cols = ["route_date_key", "route_id", "date", "total_revenue", "gross_profit"]
+    first = (silver.filter(F.col("date") < F.lit(UPSERT_FIRST_LOAD_BEFORE).cast("date"))
+             .select(*cols, F.lit(1).alias("_batch")))
+    second = (silver.filter(F.col("date") >= F.lit(UPSERT_SECOND_LOAD_FROM).cast("date"))
+              .select(*cols, F.lit(2).alias("_batch")))
+    return first, second
+
+
+@query
+def upsert_merge(spark, sf_dir):
+    """Two overlapping loads merged on the key: the second load's rows win."""
+    first, second = _upsert_batches(spark, sf_dir)
+    path = scratch_path(spark, "upsert_merge")
+    upsert(spark, first, path, ["route_date_key"])
+    upsert(spark, second, path, ["route_date_key"])
+    return spark.read.parquet(path)
+
+
+@query
+def upsert_idempotent(spark, sf_dir):
+    """The second load applied twice leaves the same table as once."""
+    first, second = _upsert_batches(spark, sf_dir)
+    path = scratch_path(spark, "upsert_twice")
+    upsert(spark, first, path, ["route_date_key"])
+    upsert(spark, second, path, ["route_date_key"])
+    upsert(spark, second, path, ["route_date_key"])
+    return spark.read.parquet(path)
+
+
+@query
+def partitioned_month(spark, sf_dir):
+    """Month fact written partitioned by region and clustered on (bu, area),
+    then re-upserted through dynamic partition overwrite; read back whole."""
+    fm = build(spark, sf_dir).fact_month()
+    path = scratch_path(spark, "fact_month")
+    write_clustered(fm, path, ["region"], ["bu", "area"])
+    upsert(spark, spark.read.schema(FACT_MONTH_SCHEMA).parquet(path).select(*FACT_MONTH_SCHEMA.names),
+           path, ["route_id", "year", "month"], partition_by=["region"])
+    return spark.read.schema(FACT_MONTH_SCHEMA).parquet(path).select(*FACT_MONTH_SCHEMA.names)
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    """Raw rows exported as CSV, re-ingested under the enforced schema."""
+    raw = build(spark, sf_dir).bronze.select(*SOURCE_COLUMNS)
+    path = scratch_path(spark, "route_day_csv")
+    export_csv(raw, path)
+    landed = ingest(spark, path)
+    return landed.filter(F.col("_source_file").isNotNull()).select(*SOURCE_COLUMNS)
+
+
+@query
+def quality_report(spark, sf_dir):
+    L = build(spark, sf_dir)
+    return qa.quality_report(L.bronze, L.silver, L.quarantine, L.dim_route, L.dim_date,
+                             L.fact_day, L.fact_month(), L.scorecard())
+
+
+# --- fixed values: headline figures of the reference's committed dataset ---
+COMMITTED_BASELINE = {"routes": 120, "below_peer": 22, "tier1": 4, "tier2": 18}
+
+
+@query
+def baseline_drift(spark, sf_dir):
+    return qa.baseline_drift(scorecard_table(spark, sf_dir), COMMITTED_BASELINE)
