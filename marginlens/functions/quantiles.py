@@ -104,7 +104,8 @@ def group_medians(df: DataFrame, keys: Sequence[str], values, accuracy: int = DE
             .join(small.filter(F.col("_mode") == 0), g))
     if n_missed:
         missed = counts.filter(F.col("_mode") != 0)
-        wide = (banded.join(F.broadcast(missed) if n_missed <= max_broadcast_rows else missed, g)
+        wide = (banded.select(*g, "_v", "_lo", "_hi")
+                .join(F.broadcast(missed) if n_missed <= max_broadcast_rows else missed, g)
                 .filter(((F.col("_mode") < 0) & (F.col("_v") < F.col("_lo")))
                         | ((F.col("_mode") > 0) & (F.col("_v") > F.col("_hi"))))
                 .select(*g, "_v", "_k", "_mode", "_offset"))

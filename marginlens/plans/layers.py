@@ -80,7 +80,8 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Layers:
         lazy = derive(spark, sf_dir)
         root = scratch_path(spark, "lakehouse")
         silver = _persist(lazy.silver, f"{root}/silver")
-        quarantine = _persist(lazy.quarantine, f"{root}/quarantine")
+        quarantine = _persist(clean.quarantine_rows(lazy.bronze, silver, DEDUP_KEY, DEDUP_ORDER),
+                              f"{root}/quarantine")
         _LAKEHOUSES[key] = Layers(
             bronze=lazy.bronze, silver=silver, quarantine=quarantine,
             dim_route=_persist(dims.dim_route(silver), f"{root}/dim_route"),

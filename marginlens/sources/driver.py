@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from marginlens.functions.exprs import quarter_label, weekday_name
 from marginlens.sources.schemas import BRONZE_SCHEMA
-from marginlens.sources.tables import driver_table
+from marginlens.sources.tables import driver_table, spread
 
 # --- fixed values: category names by ``s_suppkey % 4`` and ``s_nationkey % 2`` ---
 WASTE_STREAMS = ["General Waste", "Recycling", "Organics", "Cardboard"]
@@ -34,16 +34,20 @@ def _pick(idx, names) -> F.Column:
 
 def route_day_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped route-day rows (39 source columns + 3 lineage columns)."""
-    li = driver_table(spark, sf_dir, "lineitem")
+    li = spread(driver_table(spark, sf_dir, "lineitem"), ["l_orderkey"])
     sup = driver_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     nat = driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     reg = driver_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     part = driver_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
 
-    # small dimension chain first; the fact joins it once
-    geo = (sup.join(nat, sup.s_nationkey == nat.n_nationkey)
-              .join(reg, nat.n_regionkey == reg.r_regionkey))
-    base = (li.join(geo, li.l_suppkey == geo.s_suppkey)
+    # Each dimension joins the fact directly: every join side is then a plain
+    # scan whose file size Catalyst knows, so small dimensions are broadcast and
+    # large ones (supplier, part at scale) get a sort-merge join. Pre-joining
+    # the dimensions would hide their size behind a join estimate and force a
+    # shuffle of the fact.
+    base = (li.join(sup, li.l_suppkey == sup.s_suppkey)
+              .join(nat, sup.s_nationkey == nat.n_nationkey)
+              .join(reg, nat.n_regionkey == reg.r_regionkey)
               .join(part, li.l_partkey == part.p_partkey))
 
     q = F.col("l_quantity")

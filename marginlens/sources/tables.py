@@ -11,9 +11,15 @@ def _fs(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a committed Parquet table (``_SUCCESS`` marker)."""
+    """True when ``path`` holds a committed table: a ``_SUCCESS`` marker, or
+    (partitioned tables written in dynamic-overwrite mode leave none) at
+    least one visible file or partition directory."""
     fs, p = _fs(spark, path)
-    return bool(fs.exists(p)) and bool(fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")))
+    if not fs.exists(p):
+        return False
+    if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")):
+        return True
+    return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -23,3 +29,18 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables (``lineitem``, ``supplier`` ...)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, cols: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    A Parquet split cannot be smaller than a row group, so a small table
+    written as one row group scans in one task and everything fused after it
+    (projections, broadcast joins) runs single-threaded. Large inputs already
+    have at least this many splits and pass through untouched (no shuffle).
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    if have >= want:
+        return df
+    return df.repartition(want, *cols) if cols else df.repartition(want)

@@ -1,0 +1,60 @@
+from datetime import date
+
+import pytest
+
+from marginlens.operators import clean, dims, facts
+from tests.conftest import bronze_row
+
+
+def test_hierarchy_passes_and_fails(bronze):
+    ok = clean.silver(bronze(bronze_row(), bronze_row(route_date_key="K-2")))
+    assert dims.assert_strict_hierarchy(ok) == 1
+    moved = clean.silver(bronze(bronze_row(), bronze_row(route_date_key="K-2", area="Vale")))
+    with pytest.raises(AssertionError):
+        dims.assert_strict_hierarchy(moved)
+    flags = dims.hierarchy_flags(moved).first()
+    assert flags["area_varies"] is True and flags["region_varies"] is False and flags["violates"] is True
+
+
+def test_dim_route_one_row_per_route(bronze):
+    s = clean.silver(bronze(bronze_row(), bronze_row(route_date_key="K-2"),
+                            bronze_row(route_date_key="K-3", route_id="R-2")))
+    d = dims.dim_route(s)
+    assert sorted(r["route_id"] for r in d.collect()) == ["R-1", "R-2"]
+    assert len(d.columns) == 7
+
+
+def test_dim_date_attributes(bronze):
+    s = clean.silver(bronze(bronze_row(date=date(2023, 3, 15), year=1900, quarter="Q9")))
+    r = dims.dim_date(s).first()
+    assert (r["date_key"], r["year"], r["month"], r["quarter"], r["day_of_week"]) == \
+        (20230315, 2023, 3, "Q1", "Wednesday")
+
+
+def _two_days(bronze):
+    a = bronze_row(route_date_key="K-1", date=date(2023, 5, 1), total_revenue=1000.0,
+                   disposal_cost=900.0, fuel_cost=0.0, labour_cost=0.0, maintenance_cost=0.0, admin_cost=0.0)
+    b = bronze_row(route_date_key="K-2", date=date(2023, 5, 2), total_revenue=9000.0,
+                   disposal_cost=4500.0, fuel_cost=0.0, labour_cost=0.0, maintenance_cost=0.0, admin_cost=0.0)
+    c = bronze_row(route_date_key="K-3", date=date(2023, 6, 1), total_revenue=100.0,
+                   disposal_cost=150.0, fuel_cost=0.0, labour_cost=0.0, maintenance_cost=0.0, admin_cost=0.0)
+    return clean.silver(bronze(a, b, c))
+
+
+def test_fact_day_grain_and_keys(bronze):
+    s = _two_days(bronze)
+    fd = facts.fact_day(s)
+    assert fd.count() == 3 and len(fd.columns) == 36
+    assert sorted(r["date_key"] for r in fd.collect()) == [20230501, 20230502, 20230601]
+
+
+def test_month_rollup_weighted_margin_and_ties(bronze):
+    s = _two_days(bronze)
+    fm = facts.fact_month(facts.fact_day(s), dims.dim_route(s))
+    may = fm.filter("month = 5").first()
+    # (100 + 4500) / (1000 + 9000) = 46 %, not the 30 % mean of 10 % and 50 %
+    assert may["gross_margin_pct"] == pytest.approx(46.0)
+    assert may["days_active"] == 2 and may["loss_days"] == 0 and may["month_key"] == 202305
+    june = fm.filter("month = 6").first()
+    assert june["loss_days"] == 1
+    assert sum(r["total_revenue"] for r in fm.collect()) == 10100.0
