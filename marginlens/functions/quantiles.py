@@ -26,7 +26,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginlens.functions.joins import DEFAULT_BROADCAST_ROWS, join_checked, materialize
+from marginlens.functions.joins import DEFAULT_BROADCAST_ROWS, materialize
 
 DEFAULT_ACCURACY = 10_000
 
@@ -51,24 +51,29 @@ def long_form(df: DataFrame, keys: Sequence[str], values) -> DataFrame:
     return out.filter(F.col("_v").isNotNull())
 
 
-def group_medians(df: DataFrame, keys: Sequence[str], values, accuracy: int = DEFAULT_ACCURACY,
-                  band_width: float | None = None,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Exact lower median of each measure per group.
-
-    ``values`` is a column name, a list of names, or ``{out_name: column}``.
-    Returns ``keys + [one column per measure]`` for every group that has at
-    least one non-NULL value (left-join it to a group list to keep empty
-    groups, whose median is NULL).
-    """
-    keys = list(keys)
-    ms = _measures(values)
-    g = keys + ["_m"]
+def _nsjoin(left: DataFrame, right: DataFrame, keys: Sequence[str], broadcast_right: bool) -> DataFrame:
+    """Equi-join on ``keys`` treating NULL = NULL (keys may be NULL when
+    several grouping levels share one long frame)."""
+    r = F.broadcast(right) if broadcast_right else right
+    r = r.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                 *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
+
+
+def medians_of_long(long: DataFrame, keys: Sequence[str], accuracy: int = DEFAULT_ACCURACY,
+                    band_width: float | None = None,
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Exact lower median of ``_v`` per ``keys + [_m]`` over a long frame
+    ``(keys..., _m, _v)`` with NULL values already dropped. Keys may be NULL
+    (they compare NULL-safely). Returns ``keys + [_m, _med]``."""
+    g = list(keys) + ["_m"]
     width = band_width if band_width is not None else 4.0 / accuracy
     p_lo, p_hi = max(0.0, 0.5 - width), min(1.0, 0.5 + width)
 
-    long = long_form(df, keys, values)
-
     # 1. per-group size and a sketch-derived band around the median
     stats = long.groupBy(*g).agg(
         F.count("_v").alias("_n"),
@@ -79,7 +84,8 @@ def group_medians(df: DataFrame, keys: Sequence[str], values, accuracy: int = DE
         F.col("_b")[0].alias("_lo"),
         F.col("_b")[1].alias("_hi"),
     )
-    banded = join_checked(long, stats, g, max_rows=max_broadcast_rows)
+    stats, n_stats = materialize(stats)
+    banded = _nsjoin(long, stats, g, n_stats <= max_broadcast_rows)
 
     # 2. exact rank offsets of the band
     counts = banded.groupBy(*g, "_k", "_lo", "_hi").agg(
@@ -96,30 +102,66 @@ def group_medians(df: DataFrame, keys: Sequence[str], values, accuracy: int = DE
          .otherwise(F.col("_below")).alias("_offset"),
     )
     counts, n_groups, n_missed = materialize(counts, F.col("_mode") != 0)
-    small = counts if n_groups > max_broadcast_rows else F.broadcast(counts)
+    small = n_groups <= max_broadcast_rows
 
     # 3. rank only the rows of the band that holds rank k
     in_band = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
-    band = (banded.filter(in_band).select(*g, "_v")
-            .join(small.filter(F.col("_mode") == 0), g))
+    band = _nsjoin(banded.filter(in_band).select(*g, "_v"), counts.filter(F.col("_mode") == 0), g, small)
     if n_missed:
         missed = counts.filter(F.col("_mode") != 0)
-        wide = (banded.select(*g, "_v", "_lo", "_hi")
-                .join(F.broadcast(missed) if n_missed <= max_broadcast_rows else missed, g)
+        wide = (_nsjoin(banded.select(*g, "_v", "_lo", "_hi"), missed, g, n_missed <= max_broadcast_rows)
                 .filter(((F.col("_mode") < 0) & (F.col("_v") < F.col("_lo")))
                         | ((F.col("_mode") > 0) & (F.col("_v") > F.col("_hi"))))
                 .select(*g, "_v", "_k", "_mode", "_offset"))
         band = band.unionByName(wide)
     w = Window.partitionBy(*g).orderBy("_v")
-    picked = (band.withColumn("_r", F.row_number().over(w))
-              .filter(F.col("_r") == F.col("_k") - F.col("_offset") + 1)
-              .select(*g, F.col("_v").alias("_med")))
+    return (band.withColumn("_r", F.row_number().over(w))
+            .filter(F.col("_r") == F.col("_k") - F.col("_offset") + 1)
+            .select(*g, F.col("_v").alias("_med")))
 
-    if len(ms) == 1:
-        return picked.select(*keys, F.col("_med").alias(ms[0][0]))
-    return picked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_m") == F.lit(n), F.col("_med"))).alias(n) for n, _ in ms]
-    )
+
+def widen(meds: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``(keys, _m, _med)`` rows -> one column per measure name."""
+    return meds.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_m") == F.lit(n), F.col("_med"))).alias(n) for n in names])
+
+
+def group_medians(df: DataFrame, keys: Sequence[str], values, accuracy: int = DEFAULT_ACCURACY,
+                  band_width: float | None = None,
+                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Exact lower median of each measure per group.
+
+    ``values`` is a column name, a list of names, or ``{out_name: column}``.
+    Returns ``keys + [one column per measure]`` for every group that has at
+    least one non-NULL value (left-join it to a group list to keep empty
+    groups, whose median is NULL).
+    """
+    keys = list(keys)
+    names = [n for n, _ in _measures(values)]
+    meds = medians_of_long(long_form(df, keys, values), keys, accuracy, band_width, max_broadcast_rows)
+    if len(names) == 1:
+        return meds.select(*keys, F.col("_med").alias(names[0]))
+    return widen(meds, keys, names)
+
+
+def nested_medians(df: DataFrame, outer: str, inner: str, outer_values, inner_values,
+                   accuracy: int = DEFAULT_ACCURACY,
+                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Medians at two grouping levels (``outer`` and ``inner``, inner nested in
+    outer) from one set of passes: both levels share one long frame, the inner
+    key being NULL on the outer-level rows. Returns ``(outer_meds, inner_meds)``."""
+    inner_type = dict(df.dtypes)[inner]
+    keys = ["_lvl", outer, inner]
+    outer_long = long_form(df.withColumns({"_lvl": F.lit(0), inner: F.lit(None).cast(inner_type)}),
+                           keys, outer_values)
+    inner_long = long_form(df.withColumn("_lvl", F.lit(1)), keys, inner_values)
+    meds = medians_of_long(outer_long.unionByName(inner_long), keys, accuracy,
+                           max_broadcast_rows=max_broadcast_rows)
+    meds, _ = materialize(meds)
+    outer_names = [n for n, _ in _measures(outer_values)]
+    inner_names = [n for n, _ in _measures(inner_values)]
+    return (widen(meds.filter(F.col("_lvl") == 0), [outer], outer_names),
+            widen(meds.filter(F.col("_lvl") == 1), [outer, inner], inner_names))
 
 
 def group_medians_direct(df: DataFrame, keys: Sequence[str], values) -> DataFrame:

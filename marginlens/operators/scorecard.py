@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginlens.functions.joins import join_checked
-from marginlens.functions.quantiles import group_medians
+from marginlens.functions.quantiles import group_medians, nested_medians
 
 # --- fixed values: thresholds and tier labels ---
 BELOW_PEER_THRESHOLD = 0.70
@@ -65,18 +65,20 @@ def below_peer_days(days: DataFrame, benchmark: DataFrame, spec: ScorecardSpec =
     return out.withColumn("below_peer_day", below.cast("int"))
 
 
-def entity_profile(flagged: DataFrame, spec: ScorecardSpec = ScorecardSpec(),
-                   days: DataFrame | None = None) -> DataFrame:
-    """Per entity: counts and rates (one map-side-combined aggregate) joined to
-    its exact medians (taken from ``days`` when given: no benchmark join)."""
-    rates = flagged.groupBy(spec.entity, spec.cohort).agg(
+def _rates(flagged: DataFrame, spec: ScorecardSpec) -> DataFrame:
+    return flagged.groupBy(spec.entity, spec.cohort).agg(
         F.count(F.lit(1)).alias("n_days"),
         F.avg((F.col(spec.profit) < 0).cast("int")).alias("loss_day_rate"),
         F.avg("below_peer_day").alias("pct_days_below_peer"),
         F.max("cohort_median_margin").alias("cohort_median_margin"),
         F.max("cohort_median_profit_per_stop").alias("cohort_median_profit_per_stop"),
     )
-    meds = group_medians(flagged if days is None else days, [spec.entity], {
+
+
+def entity_profile(flagged: DataFrame, spec: ScorecardSpec = ScorecardSpec()) -> DataFrame:
+    """Per entity: counts and rates joined to its exact medians."""
+    rates = _rates(flagged, spec)
+    meds = group_medians(flagged, [spec.entity], {
         "median_margin_pct": spec.margin,
         "median_profit_per_stop": spec.unit_profit,
         "median_gross_profit": spec.profit,
@@ -101,11 +103,20 @@ def classify(profile: DataFrame, spec: ScorecardSpec = ScorecardSpec()) -> DataF
 
 def scorecard(days: DataFrame, spec: ScorecardSpec = ScorecardSpec()) -> DataFrame:
     """Day rows carrying ``entity, cohort, margin, unit_profit, profit`` ->
-    one verdict row per entity."""
+    one verdict row per entity.
+
+    Cohort and entity medians come from one set of median passes (the entity
+    is nested in its cohort), then one aggregate computes the rates.
+    """
     days = days.select(spec.entity, spec.cohort, spec.margin, spec.unit_profit, spec.profit)
-    bench = cohort_benchmark(days, spec)
+    bench, meds = nested_medians(
+        days, spec.cohort, spec.entity,
+        {"cohort_median_margin": spec.margin, "cohort_median_profit_per_stop": spec.unit_profit},
+        {"median_margin_pct": spec.margin, "median_profit_per_stop": spec.unit_profit,
+         "median_gross_profit": spec.profit})
     flagged = below_peer_days(days, bench, spec)
-    return classify(entity_profile(flagged, spec, days), spec)
+    rates = _rates(flagged, spec)
+    return classify(rates.join(meds, [spec.entity, spec.cohort], "left"), spec)
 
 
 def scorecard_from_star(fact: DataFrame, dim: DataFrame, spec: ScorecardSpec = ScorecardSpec()) -> DataFrame:
