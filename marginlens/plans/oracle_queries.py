@@ -179,3 +179,4 @@ sql("baseline_drift", """SELECT metric, expected, actual, expected = actual AS m
   UNION ALL SELECT 'below_peer', 22, (SELECT count_if(below_peer_flag) FROM scorecard)
   UNION ALL SELECT 'tier1', 4, (SELECT count_if(tier_code = 1) FROM scorecard)
   UNION ALL SELECT 'tier2', 18, (SELECT count_if(tier_code = 2) FROM scorecard)) b""", scorecard=True)
+sql("incremental_ingest", "SELECT route_date_key, route_id, date, _source_seq, total_revenue, disposal_cost, fuel_cost FROM silver")

@@ -82,3 +82,28 @@ def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[st
     staged = path.rstrip("/") + f"__staging_{uuid.uuid4().hex}"
     merged(spark.read.parquet(path), updates, keys).write.mode("overwrite").parquet(staged)
     _swap(spark, staged, path)
+
+
+def upsert_latest(spark: SparkSession, updates: DataFrame, path: str, key: str,
+                  order_cols: Sequence[str]) -> None:
+    """Upsert where a stored row is replaced only by a *newer* row of its key
+    (by ``order_cols``): incremental loads then give the same table as one
+    batch over all the data, whatever order the loads arrive in.
+
+    Rows of untouched keys are kept as they are; only the touched keys are
+    re-ranked (stored row + incoming rows), with the map-side top-1 of
+    :func:`latest_per_key`.
+    """
+    from marginlens.operators.clean import latest_per_key
+
+    if not table_exists(spark, path):
+        latest_per_key(updates, key, order_cols).write.mode("overwrite").parquet(path)
+        return
+    target = spark.read.parquet(path)
+    keys = updates.select(key).filter(F.col(key).isNotNull()).distinct()
+    untouched = target.join(keys, key, "left_anti")
+    contenders = target.join(keys, key, "left_semi").unionByName(updates.select(*target.columns))
+    merged_rows = untouched.unionByName(latest_per_key(contenders, key, order_cols))
+    staged = path.rstrip("/") + f"__staging_{uuid.uuid4().hex}"
+    merged_rows.write.mode("overwrite").parquet(staged)
+    _swap(spark, staged, path)
