@@ -152,10 +152,15 @@ def nested_medians(df: DataFrame, outer: str, inner: str, outer_values, inner_va
     key being NULL on the outer-level rows. Returns ``(outer_meds, inner_meds)``."""
     inner_type = dict(df.dtypes)[inner]
     keys = ["_lvl", outer, inner]
-    outer_long = long_form(df.withColumns({"_lvl": F.lit(0), inner: F.lit(None).cast(inner_type)}),
-                           keys, outer_values)
-    inner_long = long_form(df.withColumn("_lvl", F.lit(1)), keys, inner_values)
-    meds = medians_of_long(outer_long.unionByName(inner_long), keys, accuracy,
+    # one scan: every day row emits its outer-level and inner-level values
+    cells = ([F.struct(F.lit(0).alias("_lvl"), F.lit(None).cast(inner_type).alias("_in"),
+                       F.lit(n).alias("_m"), c.cast("double").alias("_v")) for n, c in _measures(outer_values)]
+             + [F.struct(F.lit(1).alias("_lvl"), F.col(inner).alias("_in"),
+                         F.lit(n).alias("_m"), c.cast("double").alias("_v")) for n, c in _measures(inner_values)])
+    long = (df.select(outer, F.inline(F.array(*cells)))
+              .withColumnRenamed("_in", inner)
+              .filter(F.col("_v").isNotNull()))
+    meds = medians_of_long(long, keys, accuracy,
                            max_broadcast_rows=max_broadcast_rows)
     meds, _ = materialize(meds)
     outer_names = [n for n, _ in _measures(outer_values)]
