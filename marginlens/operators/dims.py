@@ -69,3 +69,16 @@ def dim_date(df: DataFrame, date_col: str = "date") -> DataFrame:
               .select(date_key("date").alias("date_key"), "date",
                       F.year("date").alias("year"), quarter_label("date").alias("quarter"),
                       F.month("date").alias("month"), weekday_name("date").alias("day_of_week")))
+
+
+def level_violations(df: DataFrame, levels: Sequence[str] = ("area", "bu", "region")) -> DataFrame:
+    """Level-to-level check of a geography (each level maps to one parent):
+    ``(level, member, parent_level)`` for every member with more than one
+    parent. One map-side-combined aggregate per adjacent pair of levels."""
+    out = None
+    for child, parent in zip(levels, levels[1:]):
+        bad = (hierarchy_flags(df, child, [parent]).filter(F.col("violates"))
+               .select(F.lit(child).alias("level"), F.col(child).cast("string").alias("member"),
+                       F.lit(parent).alias("parent_level")))
+        out = bad if out is None else out.unionByName(bad)
+    return out

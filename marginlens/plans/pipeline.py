@@ -16,7 +16,10 @@ import json
 import logging
 import time
 
-from pyspark.sql import SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marginlens.operators import clean, dims, facts
 from marginlens.operators.scorecard import scorecard_from_star
@@ -74,12 +77,17 @@ def run(spark: SparkSession, out: str | None = None, sf_dir: str | None = None,
     upsert(spark, facts.fact_day(silver), p["fact_route_day"], ["route_date_key"], check_unique=False)
     fact_day, dim_route = read(p["fact_route_day"]), read(p["dim_route"])
     lap("dims+fact")
-    write_clustered(facts.fact_month(fact_day, dim_route), p["fact_route_month"], ["region"], ["bu", "area"])
+    write_clustered(facts.fact_month(fact_day, dim_route), p["fact_route_month"], ["region"], ["bu", "area"],
+                    tie_break=["route_id", "month_key"])
     lap("fact_month")
     upsert(spark, scorecard_from_star(fact_day, dim_route), p["route_scorecard"], ["route_id"], check_unique=False)
     lap("scorecard")
 
-    counts = {name: read(path).count() for name, path in p.items()}
+    # every table's row count from one job (a union of per-table counts)
+    tallies = [read(path).agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(name))
+               for name, path in p.items()]
+    counts = {r["table"]: r["rows"] for r in reduce(DataFrame.unionByName, tallies).collect()}
+    counts = {name: counts[name] for name in p}
     lap("counts")
     for name, n in counts.items():
         log.info("%-18s %12s rows", name, f"{n:,}")

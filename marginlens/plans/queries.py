@@ -246,7 +246,7 @@ def partitioned_month(spark, sf_dir):
     then re-upserted through dynamic partition overwrite; read back whole."""
     fm = build(spark, sf_dir).fact_month()
     path = scratch_path(spark, "fact_month")
-    write_clustered(fm, path, ["region"], ["bu", "area"])
+    write_clustered(fm, path, ["region"], ["bu", "area"], tie_break=["route_id", "month_key"])
     upsert(spark, spark.read.schema(FACT_MONTH_SCHEMA).parquet(path).select(*FACT_MONTH_SCHEMA.names),
            path, ["route_id", "year", "month"], partition_by=["region"])
     return spark.read.schema(FACT_MONTH_SCHEMA).parquet(path).select(*FACT_MONTH_SCHEMA.names)

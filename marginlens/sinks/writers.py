@@ -13,17 +13,21 @@ def overwrite(df: DataFrame, path: str) -> None:
 
 
 def write_clustered(df: DataFrame, path: str, partition_by: Sequence[str],
-                    cluster_by: Sequence[str], files_per_partition: int | None = None) -> None:
+                    cluster_by: Sequence[str], tie_break: Sequence[str] = (),
+                    num_ranges: int | None = None) -> None:
     """Partitioned overwrite with rows clustered on ``cluster_by`` inside each
     partition, so Parquet min/max statistics skip row groups on those columns
     (the open-format stand-in for Z-ordering).
 
-    ``repartitionByRange`` on (partition cols, cluster cols) samples the data,
-    so a hot partition value is spread across several tasks instead of one.
+    ``repartitionByRange`` samples the data to cut (partition, cluster,
+    tie_break) into ranges of similar size. ``tie_break`` (e.g. the table key)
+    lets one hot (partition, cluster) value span several ranges, and so
+    several writer tasks, instead of landing in one.
     """
-    n = files_per_partition or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    laid = (df.repartitionByRange(int(n), *[F.col(c) for c in list(partition_by) + list(cluster_by)])
-              .sortWithinPartitions(*cluster_by))
+    n = int(num_ranges or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    range_cols = list(partition_by) + list(cluster_by) + list(tie_break)
+    laid = (df.repartitionByRange(n, *[F.col(c) for c in range_cols])
+              .sortWithinPartitions(*cluster_by, *tie_break))
     laid.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 

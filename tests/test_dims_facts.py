@@ -58,3 +58,9 @@ def test_month_rollup_weighted_margin_and_ties(bronze):
     june = fm.filter("month = 6").first()
     assert june["loss_days"] == 1
     assert sum(r["total_revenue"] for r in fm.collect()) == 10100.0
+
+
+def test_level_to_level_hierarchy(bronze):
+    s = clean.silver(bronze(bronze_row(), bronze_row(route_date_key="K-2", route_id="R-2", bu="Other BU")))
+    bad = [tuple(r) for r in dims.level_violations(s).collect()]
+    assert bad == [("area", "Hill", "bu")]

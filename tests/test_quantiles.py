@@ -55,3 +55,25 @@ def test_matches_percentile_disc(spark):
 def test_even_group_takes_lower_middle(spark):
     df = spark.createDataFrame([("x", float(v)) for v in [4, 1, 3, 2]], "g string, v double")
     assert group_medians(df, ["g"], "v").first()["v"] == 2.0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
+                          st.one_of(st.none(), st.integers(-50, 50).map(float),
+                                    st.floats(-1e6, 1e6, allow_nan=False))),
+                min_size=1, max_size=300),
+       st.sampled_from([(10_000, None), (5, 0.0)]))
+def test_banded_median_property(spark, rows, params):
+    accuracy, width = params
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r["v"] for r in group_medians(df, ["g"], "v", accuracy=accuracy, band_width=width).collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        m = lower_median([r[1] for r in rows if r[0] == g])
+        if m is not None:
+            want[g] = m
+    assert got == want
