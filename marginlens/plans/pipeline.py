@@ -21,13 +21,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginlens.operators import clean, dims, facts
+from marginlens.operators import clean, dims, facts, reports
 from marginlens.operators.scorecard import scorecard_from_star
 from marginlens.session import get_spark, scratch_path
 from marginlens.sinks.upsert import upsert
-from marginlens.sinks.writers import overwrite, write_clustered
+from marginlens.sinks.writers import export_csv, overwrite, write_clustered
 from marginlens.sources.driver import route_day_bronze
 from marginlens.sources.ingest import ingest
+from marginlens.sources.schemas import (
+    DIM_DATE_SCHEMA, DIM_ROUTE_SCHEMA, FACT_MONTH_SCHEMA, SCORECARD_SCHEMA, assert_schema,
+)
 
 log = logging.getLogger("marginlens.pipeline")
 
@@ -43,9 +46,33 @@ TABLES = {
 }
 
 
+def export_reports(spark: SparkSession, out: str, reports_dir: str) -> None:
+    """The published CSV artefacts. Reports bounded by category counts go to
+    one file each; per-route exports stay distributed (they grow with routes)."""
+    read = spark.read.parquet
+    fact_day, dim_route = read(f"{out}/{TABLES['fact_route_day']}"), read(f"{out}/{TABLES['dim_route']}")
+    dim_date, card = read(f"{out}/{TABLES['dim_date']}"), read(f"{out}/{TABLES['route_scorecard']}")
+    days = fact_day.join(dim_route, "route_id")
+    dated = days.join(dim_date.select("date_key", "year", "quarter"), "date_key")
+    bounded = {
+        "waste_stream_margins": reports.stream_medians(days),
+        "cohort_margins": reports.cohort_medians(days),
+        "cost_drivers": reports.cost_drivers(days),
+        "margin_trend": reports.margin_trend(dated),
+    }
+    for name, df in bounded.items():
+        export_csv(df, f"{reports_dir}/{name}", single_file=True)
+    export_csv(reports.scorecard_export(card), f"{reports_dir}/route_scorecard")
+    export_csv(reports.underperforming_export(card), f"{reports_dir}/underperforming_routes")
+
+
+
+
 def run(spark: SparkSession, out: str | None = None, sf_dir: str | None = None,
-        csv: str | None = None, check_hierarchy: bool = True) -> dict[str, int]:
-    """Build every layer under ``out``; returns row counts per table."""
+        csv: str | None = None, check_hierarchy: bool = True,
+        reports_dir: str | None = None) -> dict[str, int]:
+    """Build every layer under ``out``; returns row counts per table.
+    Gold tables are checked against their contracts before they are written."""
     if (sf_dir is None) == (csv is None):
         raise ValueError("give exactly one source: sf_dir (driver tables) or csv (raw file)")
     out = (out or scratch_path(spark, "lakehouse")).rstrip("/")
@@ -72,15 +99,19 @@ def run(spark: SparkSession, out: str | None = None, sf_dir: str | None = None,
 
     if check_hierarchy:
         dims.assert_strict_hierarchy(silver)
-    upsert(spark, dims.dim_route(silver), p["dim_route"], ["route_id"], check_unique=False)
-    upsert(spark, dims.dim_date(silver), p["dim_date"], ["date_key"], check_unique=False)
+    upsert(spark, assert_schema(dims.dim_route(silver), DIM_ROUTE_SCHEMA), p["dim_route"], ["route_id"],
+           check_unique=False)
+    upsert(spark, assert_schema(dims.dim_date(silver), DIM_DATE_SCHEMA), p["dim_date"], ["date_key"],
+           check_unique=False)
     upsert(spark, facts.fact_day(silver), p["fact_route_day"], ["route_date_key"], check_unique=False)
     fact_day, dim_route = read(p["fact_route_day"]), read(p["dim_route"])
     lap("dims+fact")
-    write_clustered(facts.fact_month(fact_day, dim_route), p["fact_route_month"], ["region"], ["bu", "area"],
+    write_clustered(assert_schema(facts.fact_month(fact_day, dim_route), FACT_MONTH_SCHEMA),
+                    p["fact_route_month"], ["region"], ["bu", "area"],
                     tie_break=["route_id", "month_key"])
     lap("fact_month")
-    upsert(spark, scorecard_from_star(fact_day, dim_route), p["route_scorecard"], ["route_id"], check_unique=False)
+    upsert(spark, assert_schema(scorecard_from_star(fact_day, dim_route), SCORECARD_SCHEMA),
+           p["route_scorecard"], ["route_id"], check_unique=False)
     lap("scorecard")
 
     # every table's row count from one job (a union of per-table counts)
@@ -89,6 +120,9 @@ def run(spark: SparkSession, out: str | None = None, sf_dir: str | None = None,
     counts = {r["table"]: r["rows"] for r in reduce(DataFrame.unionByName, tallies).collect()}
     counts = {name: counts[name] for name in p}
     lap("counts")
+    if reports_dir:
+        export_reports(spark, out, reports_dir)
+        lap("reports")
     for name, n in counts.items():
         log.info("%-18s %12s rows", name, f"{n:,}")
     return counts
@@ -99,11 +133,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--sf-dir")
     ap.add_argument("--csv")
     ap.add_argument("--out")
+    ap.add_argument("--reports")
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s | %(message)s")
     spark = get_spark("marginlens-pipeline")
     t0 = time.time()
-    counts = run(spark, args.out, sf_dir=args.sf_dir, csv=args.csv)
+    counts = run(spark, args.out, sf_dir=args.sf_dir, csv=args.csv, reports_dir=args.reports)
     print(json.dumps({"seconds": round(time.time() - t0, 2), "rows": counts}))
     spark.stop()
 

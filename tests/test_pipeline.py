@@ -13,3 +13,22 @@ def test_pipeline_is_idempotent(spark, tmp_path):
     assert first["fact_route_day"] == first["silver"]
     fm = spark.read.parquet(f"{out}/gold/fact_route_month")
     assert fm.inputFiles() and all("region=" in f for f in fm.inputFiles())
+
+
+def test_reports_exported_and_contracts_hold(spark, tmp_path):
+    out, rep = str(tmp_path / "lake"), str(tmp_path / "reports")
+    pipeline.run(spark, out, sf_dir=SF, reports_dir=rep)
+    for name in ["waste_stream_margins", "cohort_margins", "cost_drivers", "margin_trend",
+                 "route_scorecard", "underperforming_routes"]:
+        df = spark.read.option("header", True).csv(f"{rep}/{name}")
+        assert df.count() > 0, name
+    assert spark.read.option("header", True).csv(f"{rep}/margin_trend").columns == \
+        ["period_type", "period", "margin_pct", "loss_day_rate_pct"]
+
+
+def test_schema_contract_violation_raises(spark):
+    import pytest
+    from marginlens.sources.schemas import DIM_DATE_SCHEMA, assert_schema
+    bad = spark.createDataFrame([(1, "x")], "date_key long, date string")
+    with pytest.raises(AssertionError):
+        assert_schema(bad, DIM_DATE_SCHEMA)
