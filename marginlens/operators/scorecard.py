@@ -75,17 +75,6 @@ def _rates(flagged: DataFrame, spec: ScorecardSpec) -> DataFrame:
     )
 
 
-def entity_profile(flagged: DataFrame, spec: ScorecardSpec = ScorecardSpec()) -> DataFrame:
-    """Per entity: counts and rates joined to its exact medians."""
-    rates = _rates(flagged, spec)
-    meds = group_medians(flagged, [spec.entity], {
-        "median_margin_pct": spec.margin,
-        "median_profit_per_stop": spec.unit_profit,
-        "median_gross_profit": spec.profit,
-    })
-    return rates.join(meds, spec.entity, "left")
-
-
 def classify(profile: DataFrame, spec: ScorecardSpec = ScorecardSpec()) -> DataFrame:
     loss_making = (F.col("median_gross_profit") < 0) | (F.col("loss_day_rate") > spec.loss_rate_threshold)
     below_peer = F.col("pct_days_below_peer") > spec.below_peer_threshold

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marginlens.operators import clean, dims, facts
 from marginlens.session import scratch_path
+from marginlens.sources.tables import table_exists
 from marginlens.sources.driver import route_day_bronze
 
 DEDUP_KEY = "route_date_key"
@@ -24,11 +25,20 @@ DEDUP_ORDER = ("_ingested_at", "_source_seq")
 class Layers:
     bronze: DataFrame
     silver: DataFrame
-    quarantine: DataFrame
+    quarantine_plan: DataFrame
     dim_route: DataFrame
     dim_date: DataFrame
     root: str | None = None
     _scorecard: DataFrame | None = None
+    _quarantine: DataFrame | None = None
+
+    @property
+    def quarantine(self) -> DataFrame:
+        """Rejected rows; written on first use (only a few queries need them)."""
+        if self._quarantine is None:
+            plan = self.quarantine_plan
+            self._quarantine = _persist(plan, self.path("quarantine")) if self.root else plan
+        return self._quarantine
 
     @property
     def fact_day(self) -> DataFrame:
@@ -61,7 +71,7 @@ def derive(spark: SparkSession, sf_dir: str) -> Layers:
     """Lazy plans only (nothing is written)."""
     bronze = route_day_bronze(spark, sf_dir)
     silver, quarantine = clean.build_silver(bronze, DEDUP_KEY, DEDUP_ORDER)
-    return Layers(bronze=bronze, silver=silver, quarantine=quarantine,
+    return Layers(bronze=bronze, silver=silver, quarantine_plan=quarantine,
                   dim_route=dims.dim_route(silver), dim_date=dims.dim_date(silver))
 
 
@@ -76,14 +86,16 @@ def _persist(df: DataFrame, path: str) -> DataFrame:
 def lakehouse(spark: SparkSession, sf_dir: str) -> Layers:
     """Silver, quarantine and both dimensions written once per session and source."""
     key = (spark.sparkContext.applicationId, sf_dir)
+    known = _LAKEHOUSES.get(key)
+    if known is not None and not table_exists(spark, known.path("silver")):
+        known = _LAKEHOUSES.pop(key)  # scratch was cleaned up: rebuild
     if key not in _LAKEHOUSES:
         lazy = derive(spark, sf_dir)
         root = scratch_path(spark, "lakehouse")
         silver = _persist(lazy.silver, f"{root}/silver")
-        quarantine = _persist(clean.quarantine_rows(lazy.bronze, silver, DEDUP_KEY, DEDUP_ORDER),
-                              f"{root}/quarantine")
         _LAKEHOUSES[key] = Layers(
-            bronze=lazy.bronze, silver=silver, quarantine=quarantine,
+            bronze=lazy.bronze, silver=silver,
+            quarantine_plan=clean.quarantine_rows(lazy.bronze, silver, DEDUP_KEY, DEDUP_ORDER),
             dim_route=_persist(dims.dim_route(silver), f"{root}/dim_route"),
             dim_date=_persist(dims.dim_date(silver), f"{root}/dim_date"),
             root=root,

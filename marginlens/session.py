@@ -65,10 +65,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+RUN_ID = uuid.uuid4().hex  # one scratch folder per process
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/marginlens-scratch/{RUN_ID}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a staged/scratch table under the checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/marginlens-scratch/{uuid.uuid4().hex}/{name}"
+    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def cleanup_scratch(spark: SparkSession) -> None:
+    """Delete this process's scratch tables (call when their DataFrames are no
+    longer needed, e.g. before stopping the session)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
 
 
 def local_path(path: str) -> str:
@@ -76,6 +92,7 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_spark", "checkpoint_dir", "ensure_checkpoint_dir", "scratch_path", "local_path"]
+__all__ = ["get_spark", "checkpoint_dir", "ensure_checkpoint_dir", "scratch_path", "cleanup_scratch",
+           "local_path"]
 
 _ = os  # keep import for callers patching env in tests

@@ -19,6 +19,8 @@ def spark():
                   extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    from marginlens.session import cleanup_scratch
+    cleanup_scratch(s)
     s.stop()
 
 
