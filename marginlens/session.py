@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

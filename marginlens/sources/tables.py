@@ -39,8 +39,11 @@ def spread(df: DataFrame, cols: list[str] | None = None, min_partitions: int | N
     (projections, broadcast joins) runs single-threaded. Large inputs already
     have at least this many splits and pass through untouched (no shuffle).
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the scan as it is
+        return df
     if have >= want:
         return df
     return df.repartition(want, *cols) if cols else df.repartition(want)
