@@ -48,6 +48,22 @@ def merged(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     return kept.unionByName(updates.select(*target.columns))
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish an interrupted swap: if ``path`` is gone but a moved-aside copy
+    (``<path>__old_*``) exists, the new table never landed -- put the old one
+    back so the next upsert merges into it instead of starting empty."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return
+    parent, base = p.getParent(), p.getName()
+    if parent is None or not fs.exists(parent):
+        return
+    olds = sorted((st for st in fs.listStatus(parent) if st.getPath().getName().startswith(base + "__old_")),
+                  key=lambda st: st.getModificationTime())
+    if olds:
+        fs.rename(olds[-1].getPath(), p)
+
+
 def _swap(spark: SparkSession, staged: str, path: str) -> None:
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
@@ -65,6 +81,7 @@ def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[st
     keys = list(keys)
     if check_unique:
         assert_unique_keys(updates, keys)
+    recover(spark, path)
     if not table_exists(spark, path):
         w = updates.write.mode("overwrite")
         if partition_by:
@@ -96,6 +113,7 @@ def upsert_latest(spark: SparkSession, updates: DataFrame, path: str, key: str,
     """
     from marginlens.operators.clean import latest_per_key
 
+    recover(spark, path)
     if not table_exists(spark, path):
         latest_per_key(updates, key, order_cols).write.mode("overwrite").parquet(path)
         return

@@ -39,3 +39,12 @@ def test_partitioned_touches_only_updated_partitions(spark, tmp_table):
            partition_by=["region"])
     got = sorted((r["id"], r["region"], r["val"]) for r in spark.read.parquet(path).collect())
     assert got == [(1, "EU", "a"), (2, "US", "B"), (3, "US", "c"), (4, "US", "d")]
+
+
+def test_interrupted_swap_is_recovered(spark, tmp_table):
+    import os
+    path = tmp_table()
+    upsert(spark, spark.createDataFrame([(1, "a"), (2, "b")], "id long, val string"), path, ["id"])
+    os.rename(path, path + "__old_deadbeef")  # crash after moving the old table aside
+    upsert(spark, spark.createDataFrame([(3, "c")], "id long, val string"), path, ["id"])
+    assert _table(spark, path) == [(1, "a"), (2, "b"), (3, "c")]
