@@ -6,7 +6,6 @@ when that setting is absent -- local runs and tests -- do we pick one.
 """
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -37,7 +36,9 @@ def get_spark(app_name: str = "marginlens", master: str | None = None,
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    for k, v in DEFAULT_CONF.items():
+    # an existing session keeps its launch config; apply the runtime options,
+    # caller-supplied values last so they win over the defaults
+    for k, v in {**DEFAULT_CONF, **{k: v for k, v in (extra or {}).items() if k.startswith("spark.sql.")}}.items():
         spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
@@ -88,12 +89,4 @@ def cleanup_scratch(spark: SparkSession) -> None:
         fs.delete(path, True)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so a path can be shown to local tools."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["get_spark", "checkpoint_dir", "ensure_checkpoint_dir", "scratch_path", "cleanup_scratch",
-           "local_path"]
-
-_ = os  # keep import for callers patching env in tests
+__all__ = ["get_spark", "checkpoint_dir", "ensure_checkpoint_dir", "scratch_path", "cleanup_scratch"]
