@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from marginlens.functions.exprs import date_key, quarter_label, weekday_name
 from marginlens.sources.schemas import ROUTE_ATTRS
@@ -82,3 +83,32 @@ def level_violations(df: DataFrame, levels: Sequence[str] = ("area", "bu", "regi
                        F.lit(parent).alias("parent_level")))
         out = bad if out is None else out.unionByName(bad)
     return out
+
+
+def checked_dim_entity(df: DataFrame, entity: str = "route_id",
+                       attrs: Sequence[str] = tuple(ROUTE_ATTRS)) -> tuple[DataFrame, DataFrame]:
+    """The entity dimension and its stability check from ONE aggregate.
+
+    Per-entity ``min``/``max`` of every attribute are computed once (map-side
+    combined) and persisted; an entity whose min and max differ fails the
+    check (raises), otherwise the dimension is the ``max`` columns. Saves the
+    second pass over the fact-sized input that a separate check would need.
+    Returns ``(dimension, persisted aggregate)``; unpersist the latter once
+    the dimension is written.
+    """
+    aggs = []
+    for a in attrs:
+        aggs += [F.min(a).alias(f"_min_{a}"), F.max(a).alias(a)]
+    per = df.groupBy(entity).agg(*aggs)
+    varies = None
+    for a in attrs:
+        v = F.coalesce(F.col(f"_min_{a}") != F.col(a), F.lit(False))
+        varies = v if varies is None else varies | v
+    per = per.withColumn("_varies", varies).persist(StorageLevel.MEMORY_AND_DISK)
+    bad = per.agg(F.count_if("_varies").alias("bad")).first()["bad"]
+    if bad:
+        sample = [r[entity] for r in per.filter("_varies").select(entity).limit(20).collect()]
+        per.unpersist()
+        raise AssertionError(f"{bad} {entity}(s) have a non-stable hierarchy; SCD Type 1 invalid. "
+                             f"Examples: {sample}")
+    return per.select(entity, *attrs), per

@@ -97,10 +97,11 @@ def run(spark: SparkSession, out: str | None = None, sf_dir: str | None = None,
     overwrite(clean.quarantine_rows(bronze, silver, "route_date_key", clean.DEDUP_ORDER), p["quarantine"])
     lap("silver")
 
-    if check_hierarchy:
-        dims.assert_strict_hierarchy(silver)
-    upsert(spark, assert_schema(dims.dim_route(silver), DIM_ROUTE_SCHEMA), p["dim_route"], ["route_id"],
-           check_unique=False)
+    # one aggregate gives both the stability check and the entity dimension
+    dim_route, cached = dims.checked_dim_entity(silver) if check_hierarchy else (dims.dim_route(silver), None)
+    upsert(spark, assert_schema(dim_route, DIM_ROUTE_SCHEMA), p["dim_route"], ["route_id"], check_unique=False)
+    if cached is not None:
+        cached.unpersist()
     upsert(spark, assert_schema(dims.dim_date(silver), DIM_DATE_SCHEMA), p["dim_date"], ["date_key"],
            check_unique=False)
     upsert(spark, facts.fact_day(silver), p["fact_route_day"], ["route_date_key"], check_unique=False)

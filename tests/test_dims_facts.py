@@ -64,3 +64,15 @@ def test_level_to_level_hierarchy(bronze):
     s = clean.silver(bronze(bronze_row(), bronze_row(route_date_key="K-2", route_id="R-2", bu="Other BU")))
     bad = [tuple(r) for r in dims.level_violations(s).collect()]
     assert bad == [("area", "Hill", "bu")]
+
+
+def test_checked_dim_entity_one_pass(bronze):
+    ok = clean.silver(bronze(bronze_row(), bronze_row(route_date_key="K-2"),
+                             bronze_row(route_date_key="K-3", route_id="R-2", area="Vale")))
+    dim, cached = dims.checked_dim_entity(ok)
+    d = {r["route_id"]: r["area"] for r in dim.collect()}
+    cached.unpersist()
+    assert d == {"R-1": "Hill", "R-2": "Vale"}
+    moved = clean.silver(bronze(bronze_row(), bronze_row(route_date_key="K-2", area="Vale")))
+    with pytest.raises(AssertionError):
+        dims.checked_dim_entity(moved)
