@@ -19,11 +19,22 @@ from pyspark.storagelevel import StorageLevel
 #: Largest derived side (rows) we are willing to ship to every executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
+_PERSISTED: list[DataFrame] = []
+
+
+def release_materialized() -> None:
+    """Unpersist every frame :func:`materialize` persisted. Always safe: a
+    released frame is recomputed from its (short, file-backed) lineage if it
+    is used again."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
 
 def materialize(small: DataFrame, *extra_counts) -> tuple[DataFrame, int] | tuple:
     """Persist ``small`` and count it (plus optional ``count_if`` conditions)
     in one job. Returns ``(df, rows, *extra)``."""
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(small)
     if not extra_counts:
         return small, small.count()
     row = small.agg(F.count(F.lit(1)), *[F.count_if(c) for c in extra_counts]).first()

@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginlens.functions.joins import release_materialized
 from marginlens.operators import clean, dims, facts, reports
 from marginlens.operators.scorecard import scorecard_from_star
 from marginlens.session import get_spark, scratch_path
@@ -113,6 +114,7 @@ def run(spark: SparkSession, out: str | None = None, sf_dir: str | None = None,
     lap("fact_month")
     upsert(spark, assert_schema(scorecard_from_star(fact_day, dim_route), SCORECARD_SCHEMA),
            p["route_scorecard"], ["route_id"], check_unique=False)
+    release_materialized()
     lap("scorecard")
 
     # every table's row count from one job (a union of per-table counts)
