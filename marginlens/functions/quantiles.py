@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from marginlens.functions.joins import DEFAULT_BROADCAST_ROWS, materialize
 
 DEFAULT_ACCURACY = 10_000
+#: Groups up to this many values may be ranked directly in one task.
+DEFAULT_DIRECT_MAX_ROWS = 1_000_000
 
 
 def _measures(values) -> list[tuple[str, Column]]:
@@ -66,10 +68,17 @@ def _nsjoin(left: DataFrame, right: DataFrame, keys: Sequence[str], broadcast_ri
 
 def medians_of_long(long: DataFrame, keys: Sequence[str], accuracy: int = DEFAULT_ACCURACY,
                     band_width: float | None = None,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    direct_max_rows: int = DEFAULT_DIRECT_MAX_ROWS) -> DataFrame:
     """Exact lower median of ``_v`` per ``keys + [_m]`` over a long frame
     ``(keys..., _m, _v)`` with NULL values already dropped. Keys may be NULL
-    (they compare NULL-safely). Returns ``keys + [_m, _med]``."""
+    (they compare NULL-safely). Returns ``keys + [_m, _med]``.
+
+    The first pass measures every group. When even the largest group is at
+    most ``direct_max_rows`` values, one ``percentile_disc`` pass returns the
+    same element (its per-group buffer is then bounded); otherwise the banded
+    passes below keep every task's share bounded whatever the skew.
+    """
     g = list(keys) + ["_m"]
     width = band_width if band_width is not None else 4.0 / accuracy
     p_lo, p_hi = max(0.0, 0.5 - width), min(1.0, 0.5 + width)
@@ -80,11 +89,16 @@ def medians_of_long(long: DataFrame, keys: Sequence[str], accuracy: int = DEFAUL
         F.percentile_approx("_v", F.array(F.lit(p_lo), F.lit(p_hi)), accuracy).alias("_b"),
     ).select(
         *g,
+        F.col("_n"),
         F.expr("cast((_n - 1) div 2 as long)").alias("_k"),
         F.col("_b")[0].alias("_lo"),
         F.col("_b")[1].alias("_hi"),
     )
-    stats, n_stats = materialize(stats)
+    stats, n_stats, n_large = materialize(stats, F.col("_n") > direct_max_rows)
+    if n_large == 0:
+        return long.groupBy(*g).agg(
+            F.expr("percentile_disc(0.5) within group (order by _v)").alias("_med"))
+    stats = stats.drop("_n")
     banded = _nsjoin(long, stats, g, n_stats <= max_broadcast_rows)
 
     # 2. exact rank offsets of the band
@@ -128,7 +142,8 @@ def widen(meds: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFra
 
 def group_medians(df: DataFrame, keys: Sequence[str], values, accuracy: int = DEFAULT_ACCURACY,
                   band_width: float | None = None,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                  direct_max_rows: int = DEFAULT_DIRECT_MAX_ROWS) -> DataFrame:
     """Exact lower median of each measure per group.
 
     ``values`` is a column name, a list of names, or ``{out_name: column}``.
@@ -138,7 +153,8 @@ def group_medians(df: DataFrame, keys: Sequence[str], values, accuracy: int = DE
     """
     keys = list(keys)
     names = [n for n, _ in _measures(values)]
-    meds = medians_of_long(long_form(df, keys, values), keys, accuracy, band_width, max_broadcast_rows)
+    meds = medians_of_long(long_form(df, keys, values), keys, accuracy, band_width, max_broadcast_rows,
+                           direct_max_rows)
     if len(names) == 1:
         return meds.select(*keys, F.col("_med").alias(names[0]))
     return widen(meds, keys, names)
@@ -146,7 +162,8 @@ def group_medians(df: DataFrame, keys: Sequence[str], values, accuracy: int = DE
 
 def nested_medians(df: DataFrame, outer: str, inner: str, outer_values, inner_values,
                    accuracy: int = DEFAULT_ACCURACY,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                   direct_max_rows: int = DEFAULT_DIRECT_MAX_ROWS) -> tuple[DataFrame, DataFrame]:
     """Medians at two grouping levels (``outer`` and ``inner``, inner nested in
     outer) from one set of passes: both levels share one long frame, the inner
     key being NULL on the outer-level rows. Returns ``(outer_meds, inner_meds)``."""
@@ -160,8 +177,8 @@ def nested_medians(df: DataFrame, outer: str, inner: str, outer_values, inner_va
     long = (df.select(outer, F.inline(F.array(*cells)))
               .withColumnRenamed("_in", inner)
               .filter(F.col("_v").isNotNull()))
-    meds = medians_of_long(long, keys, accuracy,
-                           max_broadcast_rows=max_broadcast_rows)
+    meds = medians_of_long(long, keys, accuracy, max_broadcast_rows=max_broadcast_rows,
+                           direct_max_rows=direct_max_rows)
     meds, _ = materialize(meds)
     outer_names = [n for n, _ in _measures(outer_values)]
     inner_names = [n for n, _ in _measures(inner_values)]

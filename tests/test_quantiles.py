@@ -34,12 +34,14 @@ def _expected(rows):
     return out
 
 
-@pytest.mark.parametrize("accuracy,width", [(10_000, None), (10, 0.0), (1, 0.0)])
-def test_banded_median_is_exact(spark, accuracy, width):
+@pytest.mark.parametrize("accuracy,width,direct", [(10_000, None, 0), (10, 0.0, 0), (1, 0.0, 0),
+                                                   (10_000, None, 1_000_000), (10_000, None, 100)])
+def test_banded_median_is_exact(spark, accuracy, width, direct):
     rows = _data()
     df = spark.createDataFrame(rows, "g string, a double, b double").repartition(5)
     got = {r["g"]: (r["a"], r["b"]) for r in
-           group_medians(df, ["g"], ["a", "b"], accuracy=accuracy, band_width=width).collect()}
+           group_medians(df, ["g"], ["a", "b"], accuracy=accuracy, band_width=width,
+                         direct_max_rows=direct).collect()}
     want = {g: v for g, v in _expected(rows).items() if v != (None, None)}
     assert got == want
 
@@ -70,10 +72,29 @@ from hypothesis import strategies as st  # noqa: E402
 def test_banded_median_property(spark, rows, params):
     accuracy, width = params
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r["g"]: r["v"] for r in group_medians(df, ["g"], "v", accuracy=accuracy, band_width=width).collect()}
+    got = {r["g"]: r["v"] for r in group_medians(df, ["g"], "v", accuracy=accuracy, band_width=width,
+                                                 direct_max_rows=0).collect()}
     want = {}
     for g in {r[0] for r in rows}:
         m = lower_median([r[1] for r in rows if r[0] == g])
         if m is not None:
             want[g] = m
     assert got == want
+
+
+@pytest.mark.parametrize("direct", [0, 1_000_000])
+def test_nested_medians_both_paths(spark, direct):
+    from marginlens.functions.quantiles import nested_medians
+    rnd = random.Random(3)
+    rows = [(f"c{i % 3}", f"r{i % 7}", rnd.uniform(-10, 10), rnd.choice([None, rnd.uniform(0, 1)]))
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "c string, r string, a double, b double")
+    outer, inner = nested_medians(df, "c", "r", {"oa": "a"}, {"ia": "a", "ib": "b"}, direct_max_rows=direct)
+    got_o = {r["c"]: r["oa"] for r in outer.collect()}
+    got_i = {(r["c"], r["r"]): (r["ia"], r["ib"]) for r in inner.collect()}
+    assert got_o == {c: lower_median([x[2] for x in rows if x[0] == c]) for c in {x[0] for x in rows}}
+    want_i = {}
+    for key in {(x[0], x[1]) for x in rows}:
+        sel = [x for x in rows if (x[0], x[1]) == key]
+        want_i[key] = (lower_median([x[2] for x in sel]), lower_median([x[3] for x in sel]))
+    assert got_i == want_i
