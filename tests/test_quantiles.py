@@ -77,3 +77,20 @@ def test_banded_median_property(spark, rows, params):
         if m is not None:
             want[g] = m
     assert got == want
+
+
+def test_nested_medians_match_brute_force(spark):
+    from marginlens.functions.quantiles import nested_medians
+    rnd = random.Random(3)
+    rows = [(f"c{i % 3}", f"r{i % 7}", rnd.uniform(-10, 10), rnd.choice([None, rnd.uniform(0, 1)]))
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "c string, r string, a double, b double")
+    outer, inner = nested_medians(df, "c", "r", {"oa": "a"}, {"ia": "a", "ib": "b"})
+    got_o = {r["c"]: r["oa"] for r in outer.collect()}
+    got_i = {(r["c"], r["r"]): (r["ia"], r["ib"]) for r in inner.collect()}
+    assert got_o == {c: lower_median([x[2] for x in rows if x[0] == c]) for c in {x[0] for x in rows}}
+    want_i = {}
+    for key in {(x[0], x[1]) for x in rows}:
+        sel = [x for x in rows if (x[0], x[1]) == key]
+        want_i[key] = (lower_median([x[2] for x in sel]), lower_median([x[3] for x in sel]))
+    assert got_i == want_i
