@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 #: Largest derived side (rows) we are willing to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 1_000_000  # narrow tables: tens of MB at most
 
 _PERSISTED: list[DataFrame] = []
 
