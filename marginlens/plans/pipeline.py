@@ -94,9 +94,11 @@ def run(spark: SparkSession, out: str | None = None, sf_dir: str | None = None,
     winners = clean.latest_per_key(bronze, "route_date_key", clean.DEDUP_ORDER)
     upsert(spark, clean.silver(winners), p["silver"], ["route_date_key"], check_unique=False)  # unique by construction
     silver = read(p["silver"])
+    lap("silver")
     # losers are found against the written Silver table, not a second ranking
     overwrite(clean.quarantine_rows(bronze, silver, "route_date_key", clean.DEDUP_ORDER), p["quarantine"])
-    lap("silver")
+    release_materialized()
+    lap("quarantine")
 
     # one aggregate gives both the stability check and the entity dimension
     dim_route, cached = dims.checked_dim_entity(silver) if check_hierarchy else (dims.dim_route(silver), None)
