@@ -15,7 +15,6 @@ import argparse
 import json
 import logging
 import time
-
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +46,10 @@ TABLES = {
 }
 
 
+def _rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
 def export_reports(spark: SparkSession, out: str, reports_dir: str) -> None:
     """The published CSV artefacts. Reports bounded by category counts go to
     one file each; per-route exports stay distributed (they grow with routes)."""
@@ -55,11 +58,13 @@ def export_reports(spark: SparkSession, out: str, reports_dir: str) -> None:
     dim_date, card = read(f"{out}/{TABLES['dim_date']}"), read(f"{out}/{TABLES['route_scorecard']}")
     days = fact_day.join(dim_route, "route_id")
     dated = days.join(dim_date.select("date_key", "year", "quarter"), "date_key")
+    # presentation rounding of the published artefacts (queries stay unrounded)
     bounded = {
-        "waste_stream_margins": reports.stream_medians(days),
-        "cohort_margins": reports.cohort_medians(days),
-        "cost_drivers": reports.cost_drivers(days),
-        "margin_trend": reports.margin_trend(dated),
+        "waste_stream_margins": _rounded(reports.stream_medians(days), {"median_margin_pct": 2}),
+        "cohort_margins": _rounded(reports.cohort_medians(days), {"cohort_median_margin": 2}),
+        "cost_drivers": _rounded(reports.cost_drivers(days), {
+            "loss_day_share_pct": 1, "profit_day_share_pct": 1, "loss_day_avg": 0, "profit_day_avg": 0}),
+        "margin_trend": _rounded(reports.margin_trend(dated), {"margin_pct": 1, "loss_day_rate_pct": 1}),
     }
     for name, df in bounded.items():
         export_csv(df, f"{reports_dir}/{name}", single_file=True)
@@ -67,8 +72,6 @@ def export_reports(spark: SparkSession, out: str, reports_dir: str) -> None:
     export_csv(reports.underperforming_export(card), f"{reports_dir}/underperforming_routes")
 
 
-
-
 def run(spark: SparkSession, out: str | None = None, sf_dir: str | None = None,
         csv: str | None = None, check_hierarchy: bool = True,
         reports_dir: str | None = None) -> dict[str, int]:
