@@ -59,6 +59,10 @@ sql("dim_route", "SELECT * FROM dim_route")
 _flags = ", ".join(f"coalesce(min({a}) <> max({a}), false) AS {a}_varies" for a in ROUTE_ATTRS)
 _viol = " OR ".join(f"coalesce(min({a}) <> max({a}), false)" for a in ROUTE_ATTRS)
 sql("hierarchy_violations", f"SELECT route_id, {_flags}, ({_viol}) AS violates FROM silver GROUP BY route_id")
+sql("level_violations", """SELECT 'area' AS level, area AS member, 'bu' AS parent_level FROM silver
+  GROUP BY area HAVING coalesce(min(bu) <> max(bu), false)
+  UNION ALL
+  SELECT 'bu', bu, 'region' FROM silver GROUP BY bu HAVING coalesce(min(region) <> max(region), false)""")
 sql("fact_day", "SELECT * FROM fact_day")
 
 _month_sums = ", ".join([f"CAST(sum({c}) AS BIGINT) AS {c}" for c in SUMS_INT]

@@ -91,6 +91,12 @@ def hierarchy_violations(spark, sf_dir):
     return dims.hierarchy_flags(build(spark, sf_dir).silver)
 
 
+@query
+def level_violations(spark, sf_dir):
+    """Geography members with more than one parent (area -> bu -> region)."""
+    return dims.level_violations(build(spark, sf_dir).silver)
+
+
 @query
 def fact_day(spark, sf_dir):
     return build(spark, sf_dir).fact_day
