@@ -107,9 +107,11 @@ def upsert_latest(spark: SparkSession, updates: DataFrame, path: str, key: str,
     (by ``order_cols``): incremental loads then give the same table as one
     batch over all the data, whatever order the loads arrive in.
 
-    Rows of untouched keys are kept as they are; only the touched keys are
-    re-ranked (stored row + incoming rows), with the map-side top-1 of
-    :func:`latest_per_key`.
+    The stored table holds one row per key, so the merged table is simply the
+    latest row per key over ``stored ∪ incoming``: one shuffle, with the
+    map-side top-1 of :func:`latest_per_key` (a hot key ships one row per map
+    task). Incoming rows with a NULL key are left out (they belong to the
+    quarantine).
     """
     from marginlens.operators.clean import latest_per_key
 
@@ -118,10 +120,7 @@ def upsert_latest(spark: SparkSession, updates: DataFrame, path: str, key: str,
         latest_per_key(updates, key, order_cols).write.mode("overwrite").parquet(path)
         return
     target = spark.read.parquet(path)
-    keys = updates.select(key).filter(F.col(key).isNotNull()).distinct()
-    untouched = target.join(keys, key, "left_anti")
-    contenders = target.join(keys, key, "left_semi").unionByName(updates.select(*target.columns))
-    merged_rows = untouched.unionByName(latest_per_key(contenders, key, order_cols))
+    merged_rows = latest_per_key(target.unionByName(updates.select(*target.columns)), key, order_cols)
     staged = path.rstrip("/") + f"__staging_{uuid.uuid4().hex}"
     merged_rows.write.mode("overwrite").parquet(staged)
     _swap(spark, staged, path)
