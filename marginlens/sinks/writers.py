@@ -26,8 +26,11 @@ def write_clustered(df: DataFrame, path: str, partition_by: Sequence[str],
     """
     n = int(num_ranges or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     range_cols = list(partition_by) + list(cluster_by) + list(tie_break)
+    # sorting on the partition columns first satisfies the partitioned
+    # writer's required ordering, so it adds no sort of its own that would
+    # scramble the (cluster, tie_break) order inside each file
     laid = (df.repartitionByRange(n, *[F.col(c) for c in range_cols])
-              .sortWithinPartitions(*cluster_by, *tie_break))
+              .sortWithinPartitions(*range_cols))
     laid.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
