@@ -254,7 +254,7 @@ def partitioned_month(spark, sf_dir):
     path = scratch_path(spark, "fact_month")
     write_clustered(fm, path, ["region"], ["bu", "area"], tie_break=["route_id", "month_key"])
     upsert(spark, spark.read.schema(FACT_MONTH_SCHEMA).parquet(path).select(*FACT_MONTH_SCHEMA.names),
-           path, ["route_id", "year", "month"], partition_by=["region"])
+           path, ["route_id", "year", "month"], partition_by=["region"], cluster_by=["bu", "area"])
     return spark.read.schema(FACT_MONTH_SCHEMA).parquet(path).select(*FACT_MONTH_SCHEMA.names)
 
 

@@ -26,6 +26,7 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginlens.sinks.writers import clustered_layout
 from marginlens.sources.tables import _fs, table_exists
 
 
@@ -77,7 +78,11 @@ def _swap(spark: SparkSession, staged: str, path: str) -> None:
 
 
 def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str],
-           partition_by: Sequence[str] | None = None, check_unique: bool = True) -> None:
+           partition_by: Sequence[str] | None = None, check_unique: bool = True,
+           cluster_by: Sequence[str] | None = None) -> None:
+    """Merge ``updates`` into the table at ``path`` on ``keys`` (see module doc).
+    With ``partition_by`` and ``cluster_by`` the rewritten partitions keep the
+    clustered layout of :func:`clustered_layout` (the key breaks ties)."""
     keys = list(keys)
     if check_unique:
         assert_unique_keys(updates, keys)
@@ -93,6 +98,8 @@ def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[st
         target = spark.read.parquet(path)
         touched = target.join(updates.select(*parts).distinct(), parts, "left_semi")
         out = merged(touched, updates, keys)
+        if cluster_by:
+            out = clustered_layout(out, parts, cluster_by, [k for k in keys if k not in parts])
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(*parts).parquet(path))
         return

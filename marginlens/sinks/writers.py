@@ -12,25 +12,30 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_clustered(df: DataFrame, path: str, partition_by: Sequence[str],
-                    cluster_by: Sequence[str], tie_break: Sequence[str] = (),
-                    num_ranges: int | None = None) -> None:
-    """Partitioned overwrite with rows clustered on ``cluster_by`` inside each
-    partition, so Parquet min/max statistics skip row groups on those columns
-    (the open-format stand-in for Z-ordering).
+def clustered_layout(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str],
+                     tie_break: Sequence[str] = (), num_ranges: int | None = None) -> DataFrame:
+    """Rows laid out for a partitioned write clustered on ``cluster_by``.
 
     ``repartitionByRange`` samples the data to cut (partition, cluster,
-    tie_break) into ranges of similar size. ``tie_break`` (e.g. the table key)
+    tie_break) into ranges of similar size; ``tie_break`` (e.g. the table key)
     lets one hot (partition, cluster) value span several ranges, and so
-    several writer tasks, instead of landing in one.
+    several writer tasks, instead of landing in one. Sorting on the partition
+    columns first satisfies the partitioned writer's required ordering, so it
+    adds no sort of its own that would scramble the order inside each file.
     """
     n = int(num_ranges or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     range_cols = list(partition_by) + list(cluster_by) + list(tie_break)
-    # sorting on the partition columns first satisfies the partitioned
-    # writer's required ordering, so it adds no sort of its own that would
-    # scramble the (cluster, tie_break) order inside each file
-    laid = (df.repartitionByRange(n, *[F.col(c) for c in range_cols])
+    return (df.repartitionByRange(n, *[F.col(c) for c in range_cols])
               .sortWithinPartitions(*range_cols))
+
+
+def write_clustered(df: DataFrame, path: str, partition_by: Sequence[str],
+                    cluster_by: Sequence[str], tie_break: Sequence[str] = (),
+                    num_ranges: int | None = None) -> None:
+    """Partitioned overwrite with rows clustered on ``cluster_by`` inside each
+    partition, so Parquet min/max statistics skip row groups on those columns
+    (the open-format stand-in for Z-ordering)."""
+    laid = clustered_layout(df, partition_by, cluster_by, tie_break, num_ranges)
     laid.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 

@@ -29,3 +29,18 @@ def test_spread_only_when_scan_is_narrow(spark, tmp_table):
     assert wide.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     many = spark.range(1000, numPartitions=64)
     assert spread(many) is many  # already parallel: untouched, no shuffle
+
+
+def test_partitioned_upsert_keeps_cluster_order(spark, tmp_table):
+    from marginlens.sinks.upsert import upsert
+    rows = [(f"R{i % 2}", f"BU{(i * 7) % 5}", f"A{(i * 11) % 4}", i, "v1") for i in range(300)]
+    schema = "region string, bu string, area string, id int, val string"
+    path = tmp_table("ups_clustered")
+    write_clustered(spark.createDataFrame(rows, schema), path, ["region"], ["bu", "area"], tie_break=["id"])
+    upd = spark.createDataFrame([(r[0], r[1], r[2], r[3], "v2") for r in rows if r[3] % 3 == 0], schema)
+    upsert(spark, upd, path, ["id"], partition_by=["region"], cluster_by=["bu", "area"])
+    for f in glob.glob(f"{path}/region=*/*.parquet"):
+        seq = [(r["bu"], r["area"]) for r in pq.read_table(f, columns=["bu", "area"]).to_pylist()]
+        assert seq == sorted(seq), f
+    got = spark.read.parquet(path)
+    assert got.count() == 300 and got.filter("val = 'v2'").count() == 100
