@@ -37,3 +37,18 @@ def test_exact_sum_survives_bigint_scale(spark):
     df = spark.createDataFrame([(3e14,)] * 40, "x double")
     assert df.agg(exact_sum("x")).first()[0] == 1.2e16
     assert df.agg(F.count("x")).first()[0] == 40
+
+
+def test_join_checked_hints_broadcast_only_under_the_bound(spark):
+    from marginlens.functions.joins import join_checked, release_materialized
+    big = spark.range(20_000).withColumn("k", F.col("id") % 50)
+    small = spark.range(50).withColumnRenamed("id", "k").groupBy("k").agg(F.max("k").alias("w"))
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted(join_checked(big, small, "k", max_rows=100))
+    # over the bound no hint is forced: the planner/AQE decide from measured sizes
+    assert not hinted(join_checked(big, small, "k", max_rows=10))
+    assert join_checked(big, small, "k", max_rows=10).count() == 20_000
+    release_materialized()
