@@ -29,7 +29,7 @@ from marginlens.sinks.writers import export_csv, overwrite, write_clustered
 from marginlens.sources.driver import route_day_bronze
 from marginlens.sources.ingest import ingest
 from marginlens.sources.schemas import (
-    DIM_DATE_SCHEMA, DIM_ROUTE_SCHEMA, FACT_MONTH_SCHEMA, SCORECARD_SCHEMA, assert_schema,
+    COST_COMPONENTS, DIM_DATE_SCHEMA, DIM_ROUTE_SCHEMA, FACT_MONTH_SCHEMA, SCORECARD_SCHEMA, assert_schema,
 )
 
 log = logging.getLogger("marginlens.pipeline")
@@ -63,7 +63,8 @@ def export_reports(spark: SparkSession, out: str, reports_dir: str) -> None:
         "waste_stream_margins": _rounded(reports.stream_medians(days), {"median_margin_pct": 2}),
         "cohort_margins": _rounded(reports.cohort_medians(days), {"cohort_median_margin": 2}),
         "cost_drivers": _rounded(reports.cost_drivers(days), {
-            "loss_day_share_pct": 1, "profit_day_share_pct": 1, "loss_day_avg": 0, "profit_day_avg": 0}),
+            "loss_day_share_pct": 1, "profit_day_share_pct": 1, "loss_day_avg": 0, "profit_day_avg": 0})
+        .orderBy(F.array_position(F.array(*[F.lit(c) for c in COST_COMPONENTS]), F.col("cost_component"))),
         "margin_trend": _rounded(reports.margin_trend(dated), {"margin_pct": 1, "loss_day_rate_pct": 1}),
     }
     for name, df in bounded.items():

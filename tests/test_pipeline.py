@@ -32,3 +32,11 @@ def test_schema_contract_violation_raises(spark):
     bad = spark.createDataFrame([(1, "x")], "date_key long, date string")
     with pytest.raises(AssertionError):
         assert_schema(bad, DIM_DATE_SCHEMA)
+
+
+def test_cost_driver_export_in_component_order(spark, tmp_path):
+    out, rep = str(tmp_path / "lake2"), str(tmp_path / "reports2")
+    pipeline.run(spark, out, sf_dir=SF, reports_dir=rep)
+    rows = spark.read.option("header", True).csv(f"{rep}/cost_drivers").collect()
+    assert [r["cost_component"] for r in rows] == \
+        ["disposal_cost", "fuel_cost", "labour_cost", "maintenance_cost", "admin_cost"]
