@@ -1,12 +1,14 @@
 """The package's registered queries and their SQL twins."""
 from __future__ import annotations
 
-from marginlens.llm import chat, exact_dedup, warc
+from marginlens.llm import bpe, chat, exact_dedup, token_files, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_chat_formatting": chat.op2_chat_formatting,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_token_files": token_files.op5_token_files,
+    "op7_bpe": bpe.op7_bpe,
 }
 ORACLE = {
     "op1_warc": warc.SQL,
