@@ -1,17 +1,21 @@
 """The package's registered queries and their SQL twins."""
 from __future__ import annotations
 
-from marginlens.llm import bpe, chat, exact_dedup, token_files, warc
+from marginlens.llm import bpe, chat, decontaminate, exact_dedup, html_extract, quality, token_files, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_chat_formatting": chat.op2_chat_formatting,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_token_files": token_files.op5_token_files,
+    "op6_html": html_extract.op6_html,
     "op7_bpe": bpe.op7_bpe,
+    "op8_decontamination": decontaminate.op8_decontamination,
+    "op10_quality": quality.op10_quality,
 }
 ORACLE = {
     "op1_warc": warc.SQL,
     "op2_chat_formatting": chat.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
+    "op8_decontamination": decontaminate.SQL,
 }
