@@ -60,8 +60,16 @@ def open_fs(path: str):
     return fs.FileSystem.from_uri(file_uri(path))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(col: str) -> F.Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
-__all__ = ["staged", "open_fs", "file_uri", "text_or_empty", "ship_package", "driver_table", "DataFrame", "SparkSession"]
+__all__ = ["staged", "open_fs", "file_uri", "text_or_empty", "fresh", "ship_package", "driver_table", "DataFrame", "SparkSession"]

@@ -34,7 +34,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marginlens.llm.common import driver_table, staged
+from marginlens.llm.common import driver_table, fresh, staged
 
 WINDOW = 10
 #: Everything but word characters, as a fixed pattern of the contract.
@@ -46,10 +46,15 @@ def words(text) -> F.Column:
     return F.array_remove(F.split(F.coalesce(lowered, F.lit("")), BETWEEN, -1), "")
 
 
+def _doc_key(id_col: str, text_col: str) -> F.Column:
+    return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")),
+                       F.xxhash64(text_col).cast("string"))
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, words, doc``; ``doc`` names a row by its id and text."""
-    doc = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(text_col).cast("string"))
-    return docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("words"), doc.alias("doc"))
+    return docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("words"),
+                       _doc_key(id_col, text_col).alias("doc"))
 
 
 def build_postings(keyed: DataFrame, terms: DataFrame) -> DataFrame:
@@ -105,25 +110,21 @@ def proximity_matches(postings: DataFrame, queries: DataFrame, span: int) -> Dat
             .select("query", "doc", F.col("pos").alias("last_pos")))
 
 
-def _verified(cand) -> F.Column:
+def _verified(cand, text_words: str) -> F.Column:
     """The candidate's item id and the document positions of its windows that match in full."""
     n = F.least(F.lit(WINDOW), F.size(cand["words"]))
-    same = F.transform(cand["words"], lambda w, j: F.coalesce(F.get("words", cand["diagonal"] + j) == w, F.lit(False)))
+    same = F.transform(cand["words"], lambda w, j: F.coalesce(F.get(text_words, cand["diagonal"] + j) == w, F.lit(False)))
     starts = F.filter(F.sequence(F.lit(0), F.size(cand["words"]) - n),
                       lambda j: F.forall(F.slice(same, j + 1, n), lambda x: x))
     return F.struct(cand["item_id"].alias("item_id"), n.alias("n"),
                     F.transform(starts, lambda j: cand["diagonal"] + j).alias("at"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hits``.
-
-    ``hits`` lists (item id, window length, document word positions) of the matches.
-    """
+def _search(keyed: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``doc, candidates`` of the documents that hold a candidate."""
     items = staged(benchmark.select(F.monotonically_increasing_id().alias("item"),
                                     F.col("item_id").cast("string").alias("item_id"),
                                     words(F.col("text")).alias("words")), "benchmark_items")
-    keyed = _keyed(docs, id_col, text_col)
     windows = staged(_windows(items, WINDOW), "benchmark_windows")
     vocabulary = staged(windows.select("term").distinct(), "benchmark_terms")
     frequency = staged(keyed.select(F.explode("words").alias("term")).join(vocabulary, "term")
@@ -133,14 +134,35 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     postings = build_postings(keyed, wanted)
     found = (phrase_candidates(postings, anchors).join(items, "item")
              .groupBy("doc").agg(F.collect_list(F.struct("item_id", "words", "diagonal")).alias("candidates")))
-    found = staged(found, "candidates")
+    return staged(found, "candidates")
+
+
+def _hits() -> F.Column:
+    return F.filter(F.transform(F.coalesce("candidates", F.array()), lambda c: _verified(c, "words")), lambda c: F.size(c["at"]) > 0)
 
-    hits = F.filter(F.transform(F.coalesce("candidates", F.array()), _verified), lambda c: F.size(c["at"]) > 0)
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no window of ``benchmark``, all columns."""
+    doc, own, cands = (fresh(docs, n) for n in ("_doc", "_words", "_candidates"))
+    found = _search(_keyed(docs, id_col, text_col), benchmark).withColumnsRenamed({"doc": f"{doc}_r", "candidates": cands})
+    joined = (docs.withColumn(doc, _doc_key(id_col, text_col)).join(found, F.col(doc) == F.col(f"{doc}_r"), "left")
+              .withColumn(own, F.when(F.col(cands).isNotNull(), words(F.col(text_col)))))
+    dirty = F.exists(F.col(cands), lambda c: F.size(_verified(c, own)["at"]) > 0)
+    return joined.filter(~F.coalesce(dirty, F.lit(False))).select(*docs.columns)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hits``.
+
+    ``hits`` lists (item id, window length, document word positions) of the matches.
+    """
+    keyed = _keyed(docs, id_col, text_col)
+    found = _search(keyed, benchmark)
     covered = F.array_distinct(F.flatten(F.transform(
         "hits", lambda c: F.flatten(F.transform(c["at"], lambda s: F.sequence(s, s + c["n"] - 1))))))
     ids = F.array_sort(F.array_distinct(F.filter(F.transform("hits", lambda c: c["item_id"]),
                                                  lambda x: x.isNotNull())))
-    return (keyed.join(found, "doc", "left").withColumn("hits", hits)
+    return (keyed.join(found, "doc", "left").withColumn("hits", _hits())
             .select("doc_id", F.size("words").cast("long").alias("n_words"), "hits",
                     F.size(covered).cast("long").alias("n_hit"), ids.alias("ids"))
             .select("doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"),

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginlens.llm.common import staged, text_or_empty
+from marginlens.llm.common import driver_table, fresh, staged, text_or_empty
 
 #: Share of the rows from which a digest counts as hot; bounds the broadcast
 #: to ``1 / SUPPORT`` rows.
@@ -62,19 +62,15 @@ def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Rows equal in id and text collapse to one of them.
     """
-    out = exact_dedup(docs, id_col, text_col)
-    survivors = staged(out.filter("kept").select(F.col("doc_id").alias("_keep_id"),
-                                                 F.col("text_sha256").alias("_keep_sha")), "dedup_survivors")
-    tagged = docs.withColumns({"_keep_id": F.col(id_col), "_keep_sha": F.sha2(text_or_empty(text_col), 256)})
-    on = (tagged["_keep_id"].eqNullSafe(survivors["_keep_id"])) & (tagged["_keep_sha"] == survivors["_keep_sha"])
-    return (tagged.join(survivors, on, "left_semi")
-            .dropDuplicates(["_keep_id", "_keep_sha"])
-            .select(*docs.columns))
+    key, sha = fresh(docs, "_keep_id"), fresh(docs, "_keep_sha")
+    survivors = staged(exact_dedup(docs, id_col, text_col).filter("kept")
+                       .select(F.col("doc_id").alias(key), F.col("text_sha256").alias(sha)), "dedup_survivors")
+    tagged = docs.withColumns({key: F.col(id_col), sha: F.sha2(text_or_empty(text_col), 256)})
+    on = tagged[key].eqNullSafe(survivors[key]) & (tagged[sha] == survivors[sha])
+    return tagged.join(survivors, on, "left_semi").dropDuplicates([key, sha]).select(*docs.columns)
 
 
 def op4_exact_dedup(spark, sf_dir):
-    from marginlens.llm.common import driver_table
-
     return exact_dedup(driver_table(spark, sf_dir, "documents"))
 
 

@@ -1,11 +1,12 @@
 """The package's registered queries and their SQL twins."""
 from __future__ import annotations
 
-from marginlens.llm import bpe, chat, decontaminate, exact_dedup, html_extract, quality, token_files, warc
+from marginlens.llm import bpe, chat, decontaminate, exact_dedup, html_extract, jaccard_join, quality, token_files, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_chat_formatting": chat.op2_chat_formatting,
+    "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_token_files": token_files.op5_token_files,
     "op6_html": html_extract.op6_html,
