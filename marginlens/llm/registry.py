@@ -1,7 +1,7 @@
 """The package's registered queries and their SQL twins."""
 from __future__ import annotations
 
-from marginlens.llm import bpe, chat, decontaminate, exact_dedup, html_extract, jaccard_join, quality, token_files, warc
+from marginlens.llm import bpe, chat, decontaminate, exact_dedup, html_extract, jaccard_join, quality, substring_dedup, token_files, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_html": html_extract.op6_html,
     "op7_bpe": bpe.op7_bpe,
     "op8_decontamination": decontaminate.op8_decontamination,
+    "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_quality": quality.op10_quality,
 }
 ORACLE = {
