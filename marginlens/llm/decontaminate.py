@@ -145,7 +145,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """The rows of ``docs`` that hold no window of ``benchmark``, all columns."""
     doc, own, cands = (fresh(docs, n) for n in ("_doc", "_words", "_candidates"))
     found = _search(_keyed(docs, id_col, text_col), benchmark).withColumnsRenamed({"doc": f"{doc}_r", "candidates": cands})
-    joined = (docs.withColumn(doc, _doc_key(id_col, text_col)).join(found, F.col(doc) == F.col(f"{doc}_r"), "left")
+    joined = (docs.withColumn(doc, _doc_key(id_col, text_col)).join(found.hint("merge"), F.col(doc) == F.col(f"{doc}_r"), "left")
               .withColumn(own, F.when(F.col(cands).isNotNull(), words(F.col(text_col)))))
     dirty = F.exists(F.col(cands), lambda c: F.size(_verified(c, own)["at"]) > 0)
     return joined.filter(~F.coalesce(dirty, F.lit(False))).select(*docs.columns)
@@ -156,15 +156,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     ``hits`` lists (item id, window length, document word positions) of the matches.
     """
-    keyed = _keyed(docs, id_col, text_col)
-    found = _search(keyed, benchmark)
+    found = _search(_keyed(docs, id_col, text_col), benchmark)
+    # the list of candidates grows with the corpus: a merge join at every size, words cut after it
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), _doc_key(id_col, text_col).alias("doc"))
+    judged = (rows.join(found.hint("merge"), "doc", "left").withColumn("words", words(F.col("text")))
+              .withColumn("hits", _hits()))
     covered = F.array_distinct(F.flatten(F.transform(
         "hits", lambda c: F.flatten(F.transform(c["at"], lambda s: F.sequence(s, s + c["n"] - 1))))))
     ids = F.array_sort(F.array_distinct(F.filter(F.transform("hits", lambda c: c["item_id"]),
                                                  lambda x: x.isNotNull())))
-    return (keyed.join(found, "doc", "left").withColumn("hits", _hits())
-            .select("doc_id", F.size("words").cast("long").alias("n_words"), "hits",
-                    F.size(covered).cast("long").alias("n_hit"), ids.alias("ids"))
+    return (judged.select("doc_id", F.size("words").cast("long").alias("n_words"), "hits",
+                          F.size(covered).cast("long").alias("n_hit"), ids.alias("ids"))
             .select("doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"),
                     F.sha2(F.array_join("ids", ","), 256).alias("items_sha256"),
                     (F.col("n_hit") > 0).alias("contaminated"), "hits"))
