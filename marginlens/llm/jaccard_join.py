@@ -254,9 +254,12 @@ def exact_links(members: DataFrame) -> DataFrame:
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The shingle set of each wanted node, from its representative row."""
+    """The shingle set of each wanted node, from its representative row.
+
+    A merge join at every size: the wanted list grows with the corpus.
+    """
     rows = docs.join(wanted.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "node", "cluster",
-                                   "copies", "set_id"),
+                                   "copies", "set_id").hint("merge"),
                      F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
     rows = rows.select("node", "cluster", "copies", "set_id", "text")
 
@@ -288,7 +291,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketch = staged(_sketch(own, depth), "sketch")
     first = F.min(F.struct("doc_id", "text_key"))
     groups = (sketch.filter(F.col("set_id").isNotNull()).groupBy("set_id")
-              .agg(first.alias("first"), F.count(F.lit(1)).alias("copies"),
+              .agg(first.alias("first"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"),
                    F.first("keys").alias("keys"), F.first("sig").alias("sig")))
     nodes = staged(groups.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
@@ -298,11 +301,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = staged(exact_links(staged(_with_sets(own, wanted), "sets")), "links")
     counts = links.filter("node IS NOT NULL").groupBy("node").agg(F.sum("n_links").alias("n_links"))
     roots = components(links.filter("a IS NOT NULL").select("a", "b"))
-    named = (nodes.select("node", "set_id", "copies", "first").join(roots, "node", "left").join(counts, "node", "left")
-             .select("set_id", "first", F.coalesce("root", "node").alias("root"),
+    named = (nodes.select("node", "set_id", "copies", "first", "least_id").join(roots, "node", "left").join(counts, "node", "left")
+             .select("set_id", "first", "least_id", F.coalesce("root", "node").alias("root"),
                      (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     named = staged(named, "named")
-    classes = named.groupBy("root").agg(F.min("first").alias("keeper"), F.min("first.doc_id").alias("class_id"))
+    classes = named.groupBy("root").agg(F.min("first").alias("keeper"), F.min("least_id").alias("class_id"))
     classes = staged(named.join(staged(classes, "class_ids"), "root").select("set_id", "keeper", "class_id", "n_links"),
                      "classes")
     return (sketch.select("doc_id", "text_key", "set_id").join(classes, "set_id", "left")
@@ -323,7 +326,7 @@ def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     .select(F.col("doc_id").alias(lost), F.col("text_key").alias(key)).distinct(), "losers")
     tagged = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     on = tagged[id_col].cast("long").eqNullSafe(losers[lost]) & (tagged[key] == losers[key])
-    return tagged.join(losers, on, "left_anti").dropDuplicates([id_col, key]).select(*docs.columns)
+    return tagged.join(losers.hint("merge"), on, "left_anti").dropDuplicates([id_col, key]).select(*docs.columns)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
