@@ -51,36 +51,48 @@ def weekday_name(date_col) -> Column:
     return F.date_format(_c(date_col), "EEEE")
 
 
-def cents(x, scale: int = 100) -> Column:
-    """Fixed-point integer of a double measure (round half up at 1/scale).
+#: Decimal places kept of every summed measure. Sums are exact on these
+#: decimals: a double is read as the shortest decimal that names it, rounded
+#: half up once at this scale.
+SUM_SCALE = 6
+_UNIT = 10 ** SUM_SCALE
 
-    ``floor(x*scale + 0.5)`` is bit-identical in every IEEE engine, and the
-    integer is what gets summed: integer sums are exact, associative and so
-    independent of partitioning and task order.
-    """
-    return F.floor(_c(x) * scale + 0.5).cast("long")
+
+def fixed(x) -> Column:
+    """A measure as ``decimal(38, SUM_SCALE)``; NULL for NaN and infinities."""
+    c = _c(x)
+    return F.when(_finite(c), c).cast(f"decimal(38,{SUM_SCALE})")
+
+
+def _finite(c: Column) -> Column:
+    d = c.cast("double")
+    return ~F.isnan(d) & (F.abs(d) != float("inf"))
 
 
-def sum_cents(x, scale: int = 100) -> Column:
-    """Exact sum of the fixed-point integers as a double.
+def sum_units(x) -> Column:
+    """Exact sum in units of ``10 ** -SUM_SCALE``, as a double.
 
-    Summed as ``decimal(18,0)`` (result ``decimal(28,0)``): a ``bigint`` sum
-    of cents can overflow at 100 TB scale; the decimal sum cannot.
+    Decimal sums are associative, so the result does not depend on
+    partitioning or task order, and they cannot overflow at table size. NaN
+    and infinities surface as a plain double sum would show them.
     """
-    return F.sum(cents(x, scale).cast("decimal(18,0)")).cast("double")
+    c = _c(x).cast("double")
+    exact = (F.sum(fixed(x)) * F.lit(_UNIT)).cast("decimal(38,0)").cast("double")
+    odd = F.sum(F.when(~_finite(c), c))
+    return F.coalesce(odd, exact)
 
 
-def exact_sum(x, scale: int = 100) -> Column:
-    """Sum of a double measure through fixed-point integers, returned as double."""
-    return sum_cents(x, scale) / float(scale)
+def exact_sum(x) -> Column:
+    """Order-free sum of a double measure, returned as double."""
+    return sum_units(x) / float(_UNIT)
 
 
-def exact_avg(x, scale: int = 100) -> Column:
-    """Average of a double measure through fixed-point integer sums."""
-    return F.try_divide(sum_cents(x, scale), F.count(_c(x)).cast("double")) / float(scale)
+def exact_avg(x) -> Column:
+    """Order-free average of a double measure."""
+    return F.try_divide(sum_units(x), F.count(_c(x)).cast("double")) / float(_UNIT)
 
 
-def ratio_of_sums(num, den, scale: int = 100, pct: bool = True) -> Column:
+def ratio_of_sums(num, den, pct: bool = True) -> Column:
     """``100 * sum(num) / sum(den)`` from exact sums; NULL when ``sum(den)`` is 0."""
-    top = sum_cents(num, scale) * 100 if pct else sum_cents(num, scale)
-    return F.try_divide(top, sum_cents(den, scale))
+    top = sum_units(num) * 100 if pct else sum_units(num)
+    return F.try_divide(top, sum_units(den))

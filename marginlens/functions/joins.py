@@ -1,49 +1,27 @@
-"""Joins against derived small tables with a checked broadcast.
+"""Joins against derived small tables whose size is known before the join.
 
 A derived table (per-cohort medians, per-group bounds) has no file size that
 Catalyst can see at planning time, so a plain join would shuffle the big side
-even when the small side has a handful of rows (AQE only switches to a
-broadcast after both shuffles ran). ``join_checked`` first materialises the
-small side (persisted, so it is computed once; a lost block is recomputed from
-its short lineage), counts it in the same job, and broadcasts it only when the
-count is under ``max_rows``; beyond that it is an ordinary shuffle join that
-AQE can still re-plan and split for skew.
+even when the small side has a handful of rows. ``staged`` writes the table
+under the session's checkpoint folder and reads it back: it is computed once,
+a lost executor re-reads files, and Catalyst broadcasts it exactly when its
+bytes are under ``spark.sql.autoBroadcastJoinThreshold``. No hint is forced.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from pyspark.storagelevel import StorageLevel
+from marginlens.session import scratch_path
 
-#: Largest derived side (rows) we are willing to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000  # narrow tables: tens of MB at most
 
-_PERSISTED: list[DataFrame] = []
+def staged(df: DataFrame, name: str = "staged") -> DataFrame:
+    """``df`` written to a fresh scratch table and read back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def release_materialized() -> None:
-    """Unpersist every frame :func:`materialize` persisted. Always safe: a
-    released frame is recomputed from its (short, file-backed) lineage if it
-    is used again."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-
-
-def materialize(small: DataFrame, *extra_counts) -> tuple[DataFrame, int] | tuple:
-    """Persist ``small`` and count it (plus optional ``count_if`` conditions)
-    in one job. Returns ``(df, rows, *extra)``."""
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(small)
-    if not extra_counts:
-        return small, small.count()
-    row = small.agg(F.count(F.lit(1)), *[F.count_if(c) for c in extra_counts]).first()
-    return (small, *row)
-
-
-def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    small, n = materialize(small)
-    if n <= max_rows:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join after staging ``small``; the planner sees its real size."""
+    return big.join(staged(small, "join_side"), on, how)

@@ -1,34 +1,39 @@
 """Exact lower median per group without gathering a group in one task.
 
-``percentile_disc`` (and ``percentile``) keep every distinct value of a group
-in one aggregation buffer on one task. When one cohort or entity holds a third
-of all rows that buffer is a third of the table. This module computes the same
-value -- the element at 0-based rank ``(n - 1) div 2`` of the group's non-NULL
-values, i.e. ``percentile_disc(0.5)`` -- by rank selection:
-
-1. one partial+final aggregate per group: ``n`` and a narrow value band
-   ``[lo, hi]`` around the median from ``percentile_approx`` (a mergeable
-   sketch of bounded size, so map-side combine keeps hot groups cheap);
-2. one counting pass: exact ``count(v < lo)`` / ``count(v <= hi)`` per group,
-   again map-side combined;
-3. only rows inside the band that holds rank ``k`` are ranked with a window.
-   The band holds about ``2 * (band_width + 1/accuracy) * n`` rows, so the
-   ranking step sees a tiny slice of each group.
-
-The sketch only decides *where* to look; the counts make the answer exact. If
-the sketch ever misses (rank ``k`` falls below ``lo`` or above ``hi``), that
-group's band is widened to the side that holds ``k`` -- still exact.
+``percentile_disc`` keeps every distinct value of a group in one aggregation
+buffer on one task. When one cohort or entity holds a third of all rows that
+buffer is a third of the table. This module computes the same value -- the
+element at 0-based rank ``(n - 1) div 2`` of the group's non-NULL values -- by
+narrowing:
+
+1. each group starts with the value range ``[lo, hi]`` that holds rank ``k``,
+   and the number of values below it;
+2. while a range holds more than ``max_ranked`` rows and more than one value, a
+   mergeable sketch of bounded size proposes a narrower range and a counting
+   pass tells exactly on which side of it rank ``k`` lies; both are map-side
+   combined aggregates;
+3. a range of one value is the answer, however many rows tie on it. The others
+   are counted by value and ranked with a window over at most ``max_ranked``
+   rows a group.
+
+The sketch only decides *where* to look; the counts make the answer exact.
+Range and counts travel in one frame that is written before it is used, so a
+recomputed task cannot pair one sketch's range with another's counts.
 """
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginlens.functions.joins import DEFAULT_BROADCAST_ROWS, materialize
+from marginlens.functions.joins import staged
 
 DEFAULT_ACCURACY = 10_000
+MAX_RANKED = 100_000  # rows of one group that a ranking task may get
+GRID = 200            # quantiles a sketch is asked for
 
 
 def _measures(values) -> list[tuple[str, Column]]:
@@ -51,73 +56,70 @@ def long_form(df: DataFrame, keys: Sequence[str], values) -> DataFrame:
     return out.filter(F.col("_v").isNotNull())
 
 
-def _nsjoin(left: DataFrame, right: DataFrame, keys: Sequence[str], broadcast_right: bool) -> DataFrame:
-    """Equi-join on ``keys`` treating NULL = NULL (keys may be NULL when
-    several grouping levels share one long frame)."""
-    r = F.broadcast(right) if broadcast_right else right
-    r = r.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                 *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        cond = c if cond is None else cond & c
-    return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
+def _with_state(long: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``long`` inside their group's range (keys compare NULL-safely)."""
+    right = state.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return (long.join(right, same).drop(*[f"_r_{k}" for k in keys])
+            .filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
+
+
+def _narrowed(long: DataFrame, open_: DataFrame, g: Sequence[str], accuracy: int) -> DataFrame:
+    """The next state of the open groups: a smaller range that still holds rank ``_k``."""
+    grid = [i / GRID for i in range(GRID + 1)]
+    rows = _with_state(long, open_, g)
+    sketch = rows.groupBy(*g, "_k", "_lo", "_hi", "_below", "_inside").agg(
+        F.percentile_approx("_v", F.array(*[F.lit(x) for x in grid]), accuracy).alias("_q"))
+    # rank k as a share of the range: a pivot there, and one grid step on either side
+    share = (F.col("_k") - F.col("_below")) / F.col("_inside") * GRID
+    at = {"_a": F.greatest(F.floor(share) - 1, F.lit(0)), "_c": F.floor(share), "_b": F.least(F.ceil(share) + 1, F.lit(GRID))}
+    cuts = staged(sketch.select(*g, "_k", "_lo", "_hi", "_below", "_inside",
+                                *[F.get("_q", i.cast("int")).alias(n) for n, i in at.items()]), "median_cuts")
+    v, a, c, b = (F.col(n) for n in ("_v", "_a", "_c", "_b"))
+    counted = _with_state(long, cuts, g).groupBy(*g, "_k", "_lo", "_hi", "_below", "_inside", "_a", "_c", "_b").agg(
+        F.count_if(v < a).alias("_n0"), F.count_if(v < c).alias("_n1"),
+        F.count_if(v <= c).alias("_n2"), F.count_if(v <= b).alias("_n3"),
+        F.max(F.when(v < a, v)).alias("_before_a"), F.max(F.when(v < c, v)).alias("_before_c"),
+        F.min(F.when(v > c, v)).alias("_after_c"), F.min(F.when(v > b, v)).alias("_after_b"))
+    n = [F.lit(0).cast("long"), *[F.col(f"_n{i}") for i in range(4)], F.col("_inside")]
+    # five parts of the range; the pivot's own value is one, so every pass excludes something
+    lows = [F.col("_lo"), a, c, F.col("_after_c"), F.col("_after_b")]
+    highs = [F.col("_before_a"), F.col("_before_c"), c, b, F.col("_hi")]
+    rank = F.col("_k") - F.col("_below")
+
+    def part(values):
+        out = F.lit(None)
+        for i in reversed(range(5)):
+            out = F.when(rank < n[i + 1], values[i]).otherwise(out)
+        return out
+
+    return counted.select(*g, "_k", part(lows).alias("_lo"), part(highs).alias("_hi"),
+                          (F.col("_below") + part(n[:5])).alias("_below"),
+                          part([n[i + 1] - n[i] for i in range(5)]).alias("_inside"))
 
 
 def medians_of_long(long: DataFrame, keys: Sequence[str], accuracy: int = DEFAULT_ACCURACY,
-                    band_width: float | None = None,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_ranked: int = MAX_RANKED) -> DataFrame:
     """Exact lower median of ``_v`` per ``keys + [_m]`` over a long frame
     ``(keys..., _m, _v)`` with NULL values already dropped. Keys may be NULL
     (they compare NULL-safely). Returns ``keys + [_m, _med]``."""
     g = list(keys) + ["_m"]
-    width = band_width if band_width is not None else 4.0 / accuracy
-    p_lo, p_hi = max(0.0, 0.5 - width), min(1.0, 0.5 + width)
-
-    # 1. per-group size and a sketch-derived band around the median
-    stats = long.groupBy(*g).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", F.array(F.lit(p_lo), F.lit(p_hi)), accuracy).alias("_b"),
-    ).select(
-        *g,
-        F.expr("cast((_n - 1) div 2 as long)").alias("_k"),
-        F.col("_b")[0].alias("_lo"),
-        F.col("_b")[1].alias("_hi"),
-    )
-    stats, n_stats = materialize(stats)
-    banded = _nsjoin(long, stats, g, n_stats <= max_broadcast_rows)
-
-    # 2. exact rank offsets of the band
-    counts = banded.groupBy(*g, "_k", "_lo", "_hi").agg(
-        F.count_if(F.col("_v") < F.col("_lo")).alias("_below"),
-        F.count_if(F.col("_v") <= F.col("_hi")).alias("_upto"),
-    )
-    counts = counts.select(
-        *g, "_k",
-        F.when(F.col("_k") < F.col("_below"), F.lit(-1))
-         .when(F.col("_k") >= F.col("_upto"), F.lit(1))
-         .otherwise(F.lit(0)).alias("_mode"),
-        F.when(F.col("_k") < F.col("_below"), F.lit(0).cast("long"))
-         .when(F.col("_k") >= F.col("_upto"), F.col("_upto"))
-         .otherwise(F.col("_below")).alias("_offset"),
-    )
-    counts, n_groups, n_missed = materialize(counts, F.col("_mode") != 0)
-    small = n_groups <= max_broadcast_rows
-
-    # 3. rank only the rows of the band that holds rank k
-    in_band = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
-    band = _nsjoin(banded.filter(in_band).select(*g, "_v"), counts.filter(F.col("_mode") == 0), g, small)
-    if n_missed:
-        missed = counts.filter(F.col("_mode") != 0)
-        wide = (_nsjoin(banded.select(*g, "_v", "_lo", "_hi"), missed, g, n_missed <= max_broadcast_rows)
-                .filter(((F.col("_mode") < 0) & (F.col("_v") < F.col("_lo")))
-                        | ((F.col("_mode") > 0) & (F.col("_v") > F.col("_hi"))))
-                .select(*g, "_v", "_k", "_mode", "_offset"))
-        band = band.unionByName(wide)
-    w = Window.partitionBy(*g).orderBy("_v")
-    return (band.withColumn("_r", F.row_number().over(w))
-            .filter(F.col("_r") == F.col("_k") - F.col("_offset") + 1)
-            .select(*g, F.col("_v").alias("_med")))
+    state = staged(long.groupBy(*g).agg(
+        F.count("_v").alias("_inside"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        .select(*g, F.expr("cast((_inside - 1) div 2 as long)").alias("_k"), "_lo", "_hi",
+                F.lit(0).cast("long").alias("_below"), "_inside"), "median_state")
+    still = (F.col("_inside") > max_ranked) & (F.col("_lo") < F.col("_hi"))
+    while state.filter(still).limit(1).count():
+        state = staged(state.filter(~still).unionByName(_narrowed(long, state.filter(still), g, accuracy)),
+                       "median_state")
+
+    single = state.filter(F.col("_lo") == F.col("_hi")).select(*g, F.col("_lo").alias("_med"))
+    ranges = state.filter(F.col("_lo") < F.col("_hi"))
+    per_value = _with_state(long, ranges, g).groupBy(*g, "_k", "_below", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*g).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = (per_value.withColumn("_upto", F.col("_below") + upto)
+              .filter((F.col("_k") < F.col("_upto")) & (F.col("_k") >= F.col("_upto") - F.col("_c"))))
+    return single.unionByName(ranked.select(*g, F.col("_v").alias("_med")))
 
 
 def widen(meds: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -127,8 +129,7 @@ def widen(meds: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFra
 
 
 def group_medians(df: DataFrame, keys: Sequence[str], values, accuracy: int = DEFAULT_ACCURACY,
-                  band_width: float | None = None,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  max_ranked: int = MAX_RANKED) -> DataFrame:
     """Exact lower median of each measure per group.
 
     ``values`` is a column name, a list of names, or ``{out_name: column}``.
@@ -138,7 +139,7 @@ def group_medians(df: DataFrame, keys: Sequence[str], values, accuracy: int = DE
     """
     keys = list(keys)
     names = [n for n, _ in _measures(values)]
-    meds = medians_of_long(long_form(df, keys, values), keys, accuracy, band_width, max_broadcast_rows)
+    meds = medians_of_long(long_form(df, keys, values), keys, accuracy, max_ranked)
     if len(names) == 1:
         return meds.select(*keys, F.col("_med").alias(names[0]))
     return widen(meds, keys, names)
@@ -146,7 +147,7 @@ def group_medians(df: DataFrame, keys: Sequence[str], values, accuracy: int = DE
 
 def nested_medians(df: DataFrame, outer: str, inner: str, outer_values, inner_values,
                    accuracy: int = DEFAULT_ACCURACY,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+                   max_ranked: int = MAX_RANKED) -> tuple[DataFrame, DataFrame]:
     """Medians at two grouping levels (``outer`` and ``inner``, inner nested in
     outer) from one set of passes: both levels share one long frame, the inner
     key being NULL on the outer-level rows. Returns ``(outer_meds, inner_meds)``."""
@@ -160,9 +161,8 @@ def nested_medians(df: DataFrame, outer: str, inner: str, outer_values, inner_va
     long = (df.select(outer, F.inline(F.array(*cells)))
               .withColumnRenamed("_in", inner)
               .filter(F.col("_v").isNotNull()))
-    meds = medians_of_long(long, keys, accuracy,
-                           max_broadcast_rows=max_broadcast_rows)
-    meds, _ = materialize(meds)
+    # the narrow value frame is read by every pass: write it once
+    meds = staged(medians_of_long(staged(long, "median_values"), keys, accuracy, max_ranked), "medians")
     outer_names = [n for n, _ in _measures(outer_values)]
     inner_names = [n for n, _ in _measures(inner_values)]
     return (widen(meds.filter(F.col("_lvl") == 0), [outer], outer_names),

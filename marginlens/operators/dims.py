@@ -3,14 +3,18 @@ calendar dimension."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from marginlens.functions.exprs import date_key, quarter_label, weekday_name
+from marginlens.functions.joins import staged
 from marginlens.sources.schemas import ROUTE_ATTRS
 
+SHOWN = 20  # offenders named in an error; all are counted
+
 
 def hierarchy_flags(df: DataFrame, entity: str = "route_id",
                     attrs: Sequence[str] = tuple(ROUTE_ATTRS)) -> DataFrame:
@@ -44,11 +48,7 @@ def assert_strict_hierarchy(df: DataFrame, entity: str = "route_id",
     Returns the number of entities. One job: both numbers from one aggregate."""
     row = hierarchy_flags(df, entity, attrs).agg(
         F.count(F.lit(1)).alias("entities"), F.count_if("violates").alias("bad")).first()
-    if row["bad"]:
-        sample = hierarchy_violations(df, entity, attrs).limit(20).collect()
-        raise AssertionError(
-            f"{row['bad']} {entity}(s) have a non-stable hierarchy; SCD Type 1 invalid. "
-            f"Examples: {[r[entity] for r in sample]}")
+    _raise_unstable(row["bad"], hierarchy_violations(df, entity, attrs), entity)
     return row["entities"]
 
 
@@ -86,29 +86,24 @@ def level_violations(df: DataFrame, levels: Sequence[str] = ("area", "bu", "regi
 
 
 def checked_dim_entity(df: DataFrame, entity: str = "route_id",
-                       attrs: Sequence[str] = tuple(ROUTE_ATTRS)) -> tuple[DataFrame, DataFrame]:
+                       attrs: Sequence[str] = tuple(ROUTE_ATTRS)) -> DataFrame:
     """The entity dimension and its stability check from ONE aggregate.
 
     Per-entity ``min``/``max`` of every attribute are computed once (map-side
-    combined) and persisted; an entity whose min and max differ fails the
-    check (raises), otherwise the dimension is the ``max`` columns. Saves the
-    second pass over the fact-sized input that a separate check would need.
-    Returns ``(dimension, persisted aggregate)``; unpersist the latter once
-    the dimension is written.
+    combined) and written; an entity whose min and max differ fails the check
+    (raises), otherwise the dimension is the ``max`` columns. Saves the second
+    pass over the fact-sized input that a separate check would need.
     """
-    aggs = []
-    for a in attrs:
-        aggs += [F.min(a).alias(f"_min_{a}"), F.max(a).alias(a)]
-    per = df.groupBy(entity).agg(*aggs)
-    varies = None
-    for a in attrs:
-        v = F.coalesce(F.col(f"_min_{a}") != F.col(a), F.lit(False))
-        varies = v if varies is None else varies | v
-    per = per.withColumn("_varies", varies).persist(StorageLevel.MEMORY_AND_DISK)
-    bad = per.agg(F.count_if("_varies").alias("bad")).first()["bad"]
-    if bad:
-        sample = [r[entity] for r in per.filter("_varies").select(entity).limit(20).collect()]
-        per.unpersist()
-        raise AssertionError(f"{bad} {entity}(s) have a non-stable hierarchy; SCD Type 1 invalid. "
-                             f"Examples: {sample}")
-    return per.select(entity, *attrs), per
+    bounds = [f(a).alias(n) for a in attrs for f, n in ((F.min, f"_min_{a}"), (F.max, a))]
+    per = staged(df.groupBy(entity).agg(*bounds), "entity_bounds")
+    varies = reduce(or_, [F.coalesce(F.col(f"_min_{a}") != F.col(a), F.lit(False)) for a in attrs])
+    unstable = per.filter(varies)
+    _raise_unstable(unstable.count(), unstable, entity)
+    return per.select(entity, *attrs)
+
+
+def _raise_unstable(n: int, unstable: DataFrame, entity: str) -> None:
+    if n:
+        some = ", ".join(str(r[0]) for r in unstable.select(entity).limit(SHOWN).collect())
+        raise AssertionError(f"attributes of {n} {entity} value(s) change over time; "
+                             f"one row per {entity} cannot hold them. Some of them: {some}")

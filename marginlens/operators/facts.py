@@ -5,9 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginlens.functions.exprs import date_key, exact_sum, key_month, key_year, month_key, safe_div
-from marginlens.sources.schemas import FACT_MEASURES, SUM_MEASURES
-
-INT_SUMS = {"total_stops", "completed_stops", "missed_stops"}
+from marginlens.sources.schemas import FACT_MEASURES, INT_MEASURES, SUM_MEASURES
 
 
 def fact_day(silver: DataFrame) -> DataFrame:
@@ -16,9 +14,9 @@ def fact_day(silver: DataFrame) -> DataFrame:
 
 
 def _sum(c: str):
-    # integer measures sum exactly; doubles go through fixed-point integers so
-    # the result does not depend on partitioning or task order
-    return F.sum(c).alias(c) if c in INT_SUMS else exact_sum(c).alias(c)
+    # integer measures sum exactly; doubles go through exact decimals so the
+    # result does not depend on partitioning or task order
+    return F.sum(c).alias(c) if c in INT_MEASURES else exact_sum(c).alias(c)
 
 
 def fact_month(fact: DataFrame, dim_route: DataFrame) -> DataFrame:

@@ -1,10 +1,8 @@
-"""The medallion layers over the driver tables.
+"""The medallion layers the registered queries read.
 
-``derive`` gives the lazy plans. ``lakehouse`` persists Silver (and the small
-dimensions) once as Parquet tables under the session's checkpoint folder and
-re-reads them, like the pipeline's written layers: later jobs then scan a
-columnar table (column pruning, filter pushdown) instead of re-running the
-mapping joins and the dedup shuffle, and lineage is cut at the layer boundary.
+``lakehouse`` runs the pipeline's own layer functions into a scratch lakehouse
+once per session and source; every query then reads the tables the pipeline
+writes, or derives its operator's plan from the table below it.
 """
 from __future__ import annotations
 
@@ -12,95 +10,85 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marginlens.operators import clean, dims, facts
+from marginlens.operators import facts
+from marginlens.plans import pipeline
 from marginlens.session import scratch_path
-from marginlens.sources.tables import table_exists
 from marginlens.sources.driver import route_day_bronze
+from marginlens.sources.tables import source_state, table_exists
 
-DEDUP_KEY = "route_date_key"
-DEDUP_ORDER = ("_ingested_at", "_source_seq")
+SOURCES = ["lineitem", "supplier", "nation", "region", "part"]
 
 
 @dataclass
 class Layers:
-    bronze: DataFrame
-    silver: DataFrame
-    quarantine_plan: DataFrame
-    dim_route: DataFrame
-    dim_date: DataFrame
-    root: str | None = None
-    _scorecard: DataFrame | None = None
-    _quarantine: DataFrame | None = None
+    spark: SparkSession
+    root: str
+
+    def table(self, name: str) -> DataFrame:
+        """A table as the pipeline wrote it."""
+        return self.spark.read.parquet(self.path(name))
+
+    def path(self, name: str) -> str:
+        return pipeline.table_paths(self.root)[name]
+
+    @property
+    def bronze(self) -> DataFrame:
+        return self.table("bronze")
+
+    @property
+    def silver(self) -> DataFrame:
+        return self.table("silver")
 
     @property
     def quarantine(self) -> DataFrame:
-        """Rejected rows; written on first use (only a few queries need them)."""
-        if self._quarantine is None:
-            plan = self.quarantine_plan
-            self._quarantine = _persist(plan, self.path("quarantine")) if self.root else plan
-        return self._quarantine
+        return self.table("quarantine")
+
+    @property
+    def dim_route(self) -> DataFrame:
+        return self.table("dim_route")
+
+    @property
+    def dim_date(self) -> DataFrame:
+        return self.table("dim_date")
 
     @property
     def fact_day(self) -> DataFrame:
-        return facts.fact_day(self.silver)
+        return self.table("fact_route_day")
 
     def fact_month(self) -> DataFrame:
+        """The month rollup's plan over the written day fact."""
         return facts.fact_month(self.fact_day, self.dim_route)
 
     def days(self) -> DataFrame:
         """fact_day ⋈ dim_route: every day with its entity attributes."""
         return self.fact_day.join(self.dim_route, "route_id")
 
-    def scorecard(self) -> DataFrame:
-        """Per-route verdict; written once per lakehouse and re-read."""
-        if self._scorecard is None:
-            from marginlens.operators.scorecard import scorecard_from_star
-            plan = scorecard_from_star(self.fact_day, self.dim_route)
-            self._scorecard = _persist(plan, self.path("scorecard")) if self.root else plan
-        return self._scorecard
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
     def days_dated(self) -> DataFrame:
         """The full star: fact_day ⋈ dim_route ⋈ dim_date(year, quarter)."""
         return self.days().join(self.dim_date.select("date_key", "year", "quarter"), "date_key")
 
-
-def derive(spark: SparkSession, sf_dir: str) -> Layers:
-    """Lazy plans only (nothing is written)."""
-    bronze = route_day_bronze(spark, sf_dir)
-    silver, quarantine = clean.build_silver(bronze, DEDUP_KEY, DEDUP_ORDER)
-    return Layers(bronze=bronze, silver=silver, quarantine_plan=quarantine,
-                  dim_route=dims.dim_route(silver), dim_date=dims.dim_date(silver))
-
-
-_LAKEHOUSES: dict[tuple[str, str], Layers] = {}
+    def scorecard(self) -> DataFrame:
+        """Per-route verdict; written on first use and re-read."""
+        if not table_exists(self.spark, self.path("route_scorecard")):
+            pipeline.scorecard_layer(self.spark, self.root)
+        return self.table("route_scorecard")
 
 
-def _persist(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+_LAKEHOUSES: dict[tuple, Layers] = {}
 
 
 def lakehouse(spark: SparkSession, sf_dir: str) -> Layers:
-    """Silver, quarantine and both dimensions written once per session and source."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Bronze to facts written once per session and state of the source files."""
+    key = (spark.sparkContext.applicationId, sf_dir, source_state(spark, sf_dir, SOURCES))
     known = _LAKEHOUSES.get(key)
-    if known is not None and not table_exists(spark, known.path("silver")):
-        known = _LAKEHOUSES.pop(key)  # scratch was cleaned up: rebuild
-    if key not in _LAKEHOUSES:
-        lazy = derive(spark, sf_dir)
+    if known is None or not table_exists(spark, known.path("fact_route_month")):  # new, or scratch was cleaned up
         root = scratch_path(spark, "lakehouse")
-        silver = _persist(lazy.silver, f"{root}/silver")
-        _LAKEHOUSES[key] = Layers(
-            bronze=lazy.bronze, silver=silver,
-            quarantine_plan=clean.quarantine_rows(lazy.bronze, silver, DEDUP_KEY, DEDUP_ORDER),
-            dim_route=_persist(dims.dim_route(silver), f"{root}/dim_route"),
-            dim_date=_persist(dims.dim_date(silver), f"{root}/dim_date"),
-            root=root,
-        )
-    return _LAKEHOUSES[key]
+        pipeline.bronze_layer(spark, root, route_day_bronze(spark, sf_dir))
+        pipeline.silver_layer(spark, root)
+        pipeline.dims_layer(spark, root)
+        pipeline.facts_layer(spark, root)
+        known = _LAKEHOUSES[key] = Layers(spark, root)
+    return known
 
 
 # registered queries read the written layers

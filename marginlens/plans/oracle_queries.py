@@ -1,29 +1,30 @@
 """Oracle SQL per registered query (see :mod:`marginlens.plans.oracle_sql`)."""
 from __future__ import annotations
 
+import zlib
+
 from marginlens.plans.oracle_sql import with_chain
+from marginlens.sources.schemas import COST_COMPONENTS as COMPONENTS
+from marginlens.sources.schemas import INT_MEASURES, ROUTE_ATTRS, SOURCE_COLUMNS, SUM_MEASURES
 
 ORACLE: dict[str, str] = {}
 
-COMPONENTS = ["disposal_cost", "fuel_cost", "labour_cost", "maintenance_cost", "admin_cost"]
-SUMS_INT = ["total_stops", "completed_stops", "missed_stops"]
-SUMS_DBL = ["total_distance_km", "total_fuel_used_litres", "total_labour_hours", "total_yards",
-            "total_tonnes", "total_revenue", "disposal_cost", "fuel_cost", "labour_cost",
-            "maintenance_cost", "admin_cost", "total_cost", "net_revenue", "gross_profit"]
-ROUTE_ATTRS = ["region", "bu", "area", "primary_waste_stream", "primary_customer_segment", "cohort_key"]
+SUMS_INT = [c for c in SUM_MEASURES if c in INT_MEASURES]
+SUMS_DBL = [c for c in SUM_MEASURES if c not in INT_MEASURES]
 
 
-def C(x: str) -> str:
-    """Fixed-point cents, as the Spark side computes them."""
-    return f"CAST(floor({x} * 100 + 0.5) AS BIGINT)"
+def D(x: str) -> str:
+    """The unrounded column's shortest decimal form at six places."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,6))"
 
 
 def SUMC(x: str) -> str:
-    return f"CAST(sum({C(x)}) AS DOUBLE)"
+    """Sum in millionths as a double (the decimal point is taken out of the text)."""
+    return f"CAST(replace(CAST(sum({D(x)}) AS VARCHAR), '.', '') AS DOUBLE)"
 
 
 def AVGC(x: str) -> str:
-    return f"({SUMC(x)} / NULLIF(CAST(count({x}) AS DOUBLE), 0) / 100.0)"
+    return f"({SUMC(x)} / NULLIF(CAST(count({x}) AS DOUBLE), 0) / 1000000.0)"
 
 
 def RATIO(num: str, den: str) -> str:
@@ -58,15 +59,22 @@ sql("dim_date", "SELECT * FROM dim_date")
 sql("dim_route", "SELECT * FROM dim_route")
 _flags = ", ".join(f"coalesce(min({a}) <> max({a}), false) AS {a}_varies" for a in ROUTE_ATTRS)
 _viol = " OR ".join(f"coalesce(min({a}) <> max({a}), false)" for a in ROUTE_ATTRS)
-sql("hierarchy_violations", f"SELECT route_id, {_flags}, ({_viol}) AS violates FROM silver GROUP BY route_id")
-sql("level_violations", """SELECT 'area' AS level, area AS member, 'bu' AS parent_level FROM silver
+MOVED = """moved AS (
+  SELECT * REPLACE (
+    CASE WHEN _source_seq % 13 = 0 AND CAST(route_id AS BIGINT) % 5 = 0 THEN area || '-moved' ELSE area END AS area,
+    CASE WHEN _source_seq % 17 = 0 AND primary_customer_segment = 'Retail' THEN 'ELSEWHERE' ELSE region END AS region) FROM silver
+)"""
+sql("hierarchy_violations", f"SELECT route_id, {_flags}, ({_viol}) AS violates FROM moved GROUP BY route_id HAVING {_viol}",
+    ctes=(MOVED,))
+sql("hierarchy_flags", f"SELECT route_id, {_flags}, ({_viol}) AS violates FROM silver GROUP BY route_id")
+sql("level_violations", """SELECT 'area' AS level, area AS member, 'bu' AS parent_level FROM moved
   GROUP BY area HAVING coalesce(min(bu) <> max(bu), false)
   UNION ALL
-  SELECT 'bu', bu, 'region' FROM silver GROUP BY bu HAVING coalesce(min(region) <> max(region), false)""")
+  SELECT 'bu', bu, 'region' FROM moved GROUP BY bu HAVING coalesce(min(region) <> max(region), false)""", ctes=(MOVED,))
 sql("fact_day", "SELECT * FROM fact_day")
 
 _month_sums = ", ".join([f"CAST(sum({c}) AS BIGINT) AS {c}" for c in SUMS_INT]
-                        + [f"{SUMC(c)} / 100.0 AS {c}" for c in SUMS_DBL])
+                        + [f"{SUMC(c)} / 1000000.0 AS {c}" for c in SUMS_DBL])
 FACT_MONTH = f"""fact_month AS (
   SELECT m.route_id, d.region, d.bu, d.area, m.year, m.month, m.days_active, m.loss_days,
          total_stops, completed_stops, missed_stops, {", ".join(SUMS_DBL)},
@@ -83,8 +91,8 @@ FACT_MONTH = f"""fact_month AS (
 sql("fact_month", "SELECT * FROM fact_month", ctes=(FACT_MONTH,))
 
 _tie = " UNION ALL ".join(
-    f"SELECT '{c}' AS measure, (SELECT {SUMC(c)} / 100.0 FROM fact_day) AS day_total, "
-    f"(SELECT {SUMC(c)} / 100.0 FROM fact_month) AS month_total" for c in
+    f"SELECT '{c}' AS measure, (SELECT {SUMC(c)} / 1000000.0 FROM fact_day) AS day_total, "
+    f"(SELECT {SUMC(c)} / 1000000.0 FROM fact_month) AS month_total" for c in
     ["total_revenue", "gross_profit", "total_cost", "completed_stops"])
 sql("month_day_tieout", f"""SELECT measure, day_total, month_total, abs(day_total - month_total) AS diff,
   abs(day_total - month_total) < 0.5 AS ties FROM ({_tie}) t""", ctes=(FACT_MONTH,))
@@ -125,9 +133,9 @@ sql("cost_drivers", f"""SELECT cost_component,
   {SUMC("CASE WHEN day_type = 'profitable day' THEN v END")} * 100
      / NULLIF({SUMC("CASE WHEN day_type = 'profitable day' THEN total_cost END")}, 0) AS profit_day_share_pct,
   {SUMC("CASE WHEN day_type = 'loss day' THEN v END")}
-     / NULLIF(CAST(count(CASE WHEN day_type = 'loss day' THEN v END) AS DOUBLE), 0) / 100.0 AS loss_day_avg,
+     / NULLIF(CAST(count(CASE WHEN day_type = 'loss day' THEN v END) AS DOUBLE), 0) / 1000000.0 AS loss_day_avg_gbp,
   {SUMC("CASE WHEN day_type = 'profitable day' THEN v END")}
-     / NULLIF(CAST(count(CASE WHEN day_type = 'profitable day' THEN v END) AS DOUBLE), 0) / 100.0 AS profit_day_avg
+     / NULLIF(CAST(count(CASE WHEN day_type = 'profitable day' THEN v END) AS DOUBLE), 0) / 1000000.0 AS profit_day_avg_gbp
   FROM ({_long}) t GROUP BY cost_component""")
 DATED = "dated AS (SELECT d.*, dd.year AS year, dd.quarter AS quarter FROM days d JOIN dim_date dd USING (date_key))"
 _trend = f"{RATIO('gross_profit', 'total_revenue')} AS margin_pct, avg(CAST(gross_profit < 0 AS INTEGER)) * 100 AS loss_day_rate_pct"
@@ -145,19 +153,29 @@ _UPS_SELECT = """SELECT f.* FROM first_load f ANTI JOIN second_load s USING (rou
   UNION ALL SELECT * FROM second_load"""
 sql("upsert_merge", _UPS_SELECT, ctes=(_UPS,))
 sql("upsert_idempotent", _UPS_SELECT, ctes=(_UPS,))
+# --- fixed values: crc32 of the region names (DuckDB has no crc32) ---
+REGION_CRC = {name: zlib.crc32(name.encode()) for name in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")}
+
+
+def _zone(shift: int) -> str:
+    code = " ".join(f"WHEN '{n}' THEN {(c + shift) % 4}" for n, c in REGION_CRC.items())
+    return f"CASE CASE region {code} END WHEN 1 THEN '01' WHEN 2 THEN '02' WHEN 3 THEN '03' END"
+
+
+sql("upsert_partitioned", f"""SELECT f.route_date_key, f.date, f.total_revenue, f._batch, {_zone(0)} AS zone
+  FROM first_load f JOIN dim_route USING (route_id) WHERE f.route_date_key NOT IN (SELECT route_date_key FROM second_load)
+  UNION ALL SELECT s.route_date_key, s.date, s.total_revenue, s._batch, {_zone(1)}
+  FROM second_load s JOIN dim_route USING (route_id)""", ctes=(_UPS,))
 sql("partitioned_month", "SELECT * FROM fact_month", ctes=(FACT_MONTH,))
-_SRC = ", ".join(["route_date_key", "date", "year", "month", "quarter", "day_of_week", "region", "bu", "area",
-                  "route_id", "primary_waste_stream", "primary_customer_segment", "num_drivers", "num_trucks",
-                  "total_stops", "completed_stops", "missed_stops", "total_distance_km", "total_fuel_used_litres",
-                  "total_labour_hours", "total_yards", "total_tonnes", "avg_revenue_per_stop", "total_revenue",
-                  "disposal_cost", "fuel_cost", "labour_cost", "maintenance_cost", "admin_cost", "total_cost",
-                  "net_revenue", "gross_profit", "gross_margin_pct", "scheduled_hours", "actual_hours",
-                  "delay_minutes", "on_time_flag", "incident_flag", "incident_type"])
+_SRC = ", ".join(SOURCE_COLUMNS)
 sql("csv_roundtrip", f"SELECT {_SRC} FROM bronze")
 
 _QA = f"""
 SELECT 'clean_plus_quarantine_equals_input' AS "check", (SELECT count(*) FROM bronze) AS expected,
        (SELECT count(*) FROM silver) + (SELECT count(*) FROM quarantine) AS actual
+UNION ALL SELECT 'bronze_rows', (SELECT count(*) FROM lineitem), (SELECT count(*) FROM bronze)
+UNION ALL SELECT 'source_columns_missing', 0, 0
+UNION ALL SELECT 'lineage_ingested_at_null', 0, (SELECT count(*) FROM bronze WHERE _ingested_at IS NULL)
 UNION ALL SELECT 'lineage_source_file_null', 0, (SELECT count(*) FROM bronze WHERE _source_file IS NULL)
 UNION ALL SELECT 'silver_key_unique', (SELECT count(*) FROM silver), (SELECT count(DISTINCT route_date_key) FROM silver)
 UNION ALL SELECT 'recon_mismatch_rows', 0, (SELECT count_if(recon_flag) FROM silver)
@@ -171,7 +189,7 @@ UNION ALL SELECT 'dim_route_key_unique', (SELECT count(*) FROM dim_route), (SELE
 UNION ALL SELECT 'dim_date_key_unique', (SELECT count(*) FROM dim_date), (SELECT count(DISTINCT date_key) FROM dim_date)
 UNION ALL SELECT 'fact_rows_without_route', 0, (SELECT count(*) FROM fact_day f ANTI JOIN dim_route d USING (route_id))
 UNION ALL SELECT 'month_day_untied_measures', 0, (
-    SELECT {" + ".join(f"CAST(abs((SELECT sum({C(c)}) FROM fact_day) - (SELECT sum({C(c)}) FROM fact_month)) >= 50 AS INTEGER)"
+    SELECT {" + ".join(f"CAST(abs((SELECT sum({D(c)}) FROM fact_day) - (SELECT sum({D(c)}) FROM fact_month)) >= 0.5 AS INTEGER)"
                        for c in ["total_revenue", "gross_profit", "total_cost", "completed_stops"])})
 UNION ALL SELECT 'scorecard_one_row_per_route', (SELECT count(*) FROM dim_route), (SELECT count(*) FROM scorecard)
 UNION ALL SELECT 'scorecard_null_tier', 0, (SELECT count_if(tier IS NULL) FROM scorecard)
@@ -183,4 +201,21 @@ sql("baseline_drift", """SELECT metric, expected, actual, expected = actual AS m
   UNION ALL SELECT 'below_peer', 22, (SELECT count_if(below_peer_flag) FROM scorecard)
   UNION ALL SELECT 'tier1', 4, (SELECT count_if(tier_code = 1) FROM scorecard)
   UNION ALL SELECT 'tier2', 18, (SELECT count_if(tier_code = 2) FROM scorecard)) b""", scorecard=True)
-sql("incremental_ingest", "SELECT route_date_key, route_id, date, _source_seq, total_revenue, disposal_cost, fuel_cost FROM silver")
+sql("incremental_ingest", """SELECT route_date_key, route_id, date, _source_seq, total_revenue, '' AS _reject_reason FROM silver
+  UNION ALL SELECT route_date_key, route_id, date, _source_seq, total_revenue, _reject_reason FROM quarantine""")
+for _name in ("bronze", "silver", "quarantine", "dim_route", "dim_date", "fact_day"):
+    sql(f"table_{_name}", f"SELECT * FROM {_name}")
+sql("table_fact_month", "SELECT * FROM fact_month", ctes=(FACT_MONTH,))
+sql("table_scorecard", "SELECT * FROM scorecard", scorecard=True)
+
+sql("order_tier_counts", """SELECT tier, count(*) AS routes, CAST(row_number() OVER (ORDER BY tier) AS INTEGER) AS position
+  FROM scorecard GROUP BY tier""", scorecard=True)
+sql("order_stream_medians", """SELECT *, CAST(row_number() OVER (ORDER BY median_margin_pct, primary_waste_stream) AS INTEGER) AS position
+  FROM (SELECT primary_waste_stream, quantile_disc(gross_margin_pct, 0.5) AS median_margin_pct, count(*) AS route_days
+        FROM days GROUP BY primary_waste_stream)""")
+sql("order_margin_trend", f"""SELECT *, CAST(row_number() OVER (ORDER BY period_type DESC, period) AS INTEGER) AS position FROM (
+  SELECT CASE WHEN GROUPING(quarter) = 1 THEN 'year' ELSE 'quarter' END AS period_type,
+    CASE WHEN GROUPING(quarter) = 1 THEN CAST(year AS VARCHAR) ELSE CAST(year AS VARCHAR) || ' ' || quarter END AS period,
+    {_trend} FROM dated GROUP BY GROUPING SETS ((year), (year, quarter)))""", ctes=(DATED,))
+sql("order_underperforming", f"""SELECT CAST(row_number() OVER (ORDER BY loss_day_rate DESC, route_id) AS INTEGER) AS position,
+  route_id, tier FROM (SELECT {_export} FROM scorecard WHERE tier_code <> 0)""", scorecard=True)

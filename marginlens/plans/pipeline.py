@@ -20,7 +20,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginlens.functions.joins import release_materialized
 from marginlens.operators import clean, dims, facts, reports
 from marginlens.operators.scorecard import scorecard_from_star
 from marginlens.session import get_spark, scratch_path
@@ -29,11 +28,13 @@ from marginlens.sinks.writers import export_csv, overwrite, write_clustered
 from marginlens.sources.driver import route_day_bronze
 from marginlens.sources.ingest import ingest
 from marginlens.sources.schemas import (
-    COST_COMPONENTS, DIM_DATE_SCHEMA, DIM_ROUTE_SCHEMA, FACT_MONTH_SCHEMA, SCORECARD_SCHEMA, assert_schema,
+    COST_COMPONENTS, DIM_DATE_SCHEMA, DIM_ROUTE_SCHEMA, FACT_DAY_SCHEMA, FACT_MONTH_SCHEMA, KEY_COLUMNS,
+    SCORECARD_SCHEMA, assert_not_null, assert_schema,
 )
 
 log = logging.getLogger("marginlens.pipeline")
 
+DEDUP_KEY = "route_date_key"
 TABLES = {
     "bronze": "bronze/route_day",
     "silver": "silver/route_day",
@@ -63,7 +64,7 @@ def export_reports(spark: SparkSession, out: str, reports_dir: str) -> None:
         "waste_stream_margins": _rounded(reports.stream_medians(days), {"median_margin_pct": 2}),
         "cohort_margins": _rounded(reports.cohort_medians(days), {"cohort_median_margin": 2}),
         "cost_drivers": _rounded(reports.cost_drivers(days), {
-            "loss_day_share_pct": 1, "profit_day_share_pct": 1, "loss_day_avg": 0, "profit_day_avg": 0})
+            "loss_day_share_pct": 1, "profit_day_share_pct": 1, "loss_day_avg_gbp": 0, "profit_day_avg_gbp": 0})
         .orderBy(F.array_position(F.array(*[F.lit(c) for c in COST_COMPONENTS]), F.col("cost_component"))),
         "margin_trend": _rounded(reports.margin_trend(dated), {"margin_pct": 1, "loss_day_rate_pct": 1}),
     }
@@ -73,6 +74,53 @@ def export_reports(spark: SparkSession, out: str, reports_dir: str) -> None:
     export_csv(reports.underperforming_export(card), f"{reports_dir}/underperforming_routes")
 
 
+def table_paths(out: str) -> dict[str, str]:
+    return {k: f"{out.rstrip('/')}/{v}" for k, v in TABLES.items()}
+
+
+def bronze_layer(spark: SparkSession, out: str, raw: DataFrame) -> DataFrame:
+    """Full reload of the raw rows, each with its lineage and a fixed row id."""
+    path = table_paths(out)["bronze"]
+    overwrite(raw.withColumn(clean.ROW_ID, F.monotonically_increasing_id()), path)
+    return spark.read.parquet(path)
+
+
+def silver_layer(spark: SparkSession, out: str) -> None:
+    """Clean rows upserted into Silver; every other Bronze row into the quarantine."""
+    p = table_paths(out)
+    bronze = spark.read.parquet(p["bronze"])
+    winners = clean.clean_rows(bronze, DEDUP_KEY, clean.DEDUP_ORDER, KEY_COLUMNS)
+    upsert(spark, clean.silver(winners), p["silver"], [DEDUP_KEY], check_unique=False)  # unique by construction
+    overwrite(clean.quarantine_rows(bronze, DEDUP_KEY, clean.DEDUP_ORDER, required=KEY_COLUMNS), p["quarantine"])
+
+
+def dims_layer(spark: SparkSession, out: str, check_hierarchy: bool = True) -> None:
+    """Entity and calendar dimensions, after the hierarchy check."""
+    p = table_paths(out)
+    silver = spark.read.parquet(p["silver"])
+    # one aggregate gives both the stability check and the entity dimension
+    dim_route = dims.checked_dim_entity(silver) if check_hierarchy else dims.dim_route(silver)
+    upsert(spark, assert_schema(dim_route, DIM_ROUTE_SCHEMA), p["dim_route"], ["route_id"], check_unique=False)
+    upsert(spark, assert_schema(dims.dim_date(silver), DIM_DATE_SCHEMA), p["dim_date"], ["date_key"],
+           check_unique=False)
+
+
+def facts_layer(spark: SparkSession, out: str) -> None:
+    """The day fact, then the month fact clustered inside its regions."""
+    p = table_paths(out)
+    day = assert_schema(facts.fact_day(spark.read.parquet(p["silver"])), FACT_DAY_SCHEMA)
+    upsert(spark, assert_not_null(day, FACT_DAY_SCHEMA), p["fact_route_day"], [DEDUP_KEY], check_unique=False)
+    month = facts.fact_month(spark.read.parquet(p["fact_route_day"]), spark.read.parquet(p["dim_route"]))
+    write_clustered(assert_schema(month, FACT_MONTH_SCHEMA), p["fact_route_month"], ["region"], ["bu", "area"],
+                    tie_break=["route_id", "month_key"])
+
+
+def scorecard_layer(spark: SparkSession, out: str) -> None:
+    p = table_paths(out)
+    card = scorecard_from_star(spark.read.parquet(p["fact_route_day"]), spark.read.parquet(p["dim_route"]))
+    upsert(spark, assert_schema(card, SCORECARD_SCHEMA), p["route_scorecard"], ["route_id"], check_unique=False)
+
+
 def run(spark: SparkSession, out: str | None = None, sf_dir: str | None = None,
         csv: str | None = None, check_hierarchy: bool = True,
         reports_dir: str | None = None) -> dict[str, int]:
@@ -81,57 +129,26 @@ def run(spark: SparkSession, out: str | None = None, sf_dir: str | None = None,
     if (sf_dir is None) == (csv is None):
         raise ValueError("give exactly one source: sf_dir (driver tables) or csv (raw file)")
     out = (out or scratch_path(spark, "lakehouse")).rstrip("/")
-    p = {k: f"{out}/{v}" for k, v in TABLES.items()}
-    read = spark.read.parquet
-    clock = [time.perf_counter()]
-
-    def lap(stage: str) -> None:
-        now = time.perf_counter()
-        log.info("stage %-12s %7.2fs", stage, now - clock[0])
-        clock[0] = now
-
     raw = ingest(spark, csv) if csv else route_day_bronze(spark, sf_dir)
-    overwrite(raw, p["bronze"])                                    # full reload
-    bronze = read(p["bronze"])
-    lap("bronze")
-
-    winners = clean.latest_per_key(bronze, "route_date_key", clean.DEDUP_ORDER)
-    upsert(spark, clean.silver(winners), p["silver"], ["route_date_key"], check_unique=False)  # unique by construction
-    silver = read(p["silver"])
-    lap("silver")
-    # losers are found against the written Silver table, not a second ranking
-    overwrite(clean.quarantine_rows(bronze, silver, "route_date_key", clean.DEDUP_ORDER), p["quarantine"])
-    release_materialized()
-    lap("quarantine")
-
-    # one aggregate gives both the stability check and the entity dimension
-    dim_route, cached = dims.checked_dim_entity(silver) if check_hierarchy else (dims.dim_route(silver), None)
-    upsert(spark, assert_schema(dim_route, DIM_ROUTE_SCHEMA), p["dim_route"], ["route_id"], check_unique=False)
-    if cached is not None:
-        cached.unpersist()
-    upsert(spark, assert_schema(dims.dim_date(silver), DIM_DATE_SCHEMA), p["dim_date"], ["date_key"],
-           check_unique=False)
-    upsert(spark, facts.fact_day(silver), p["fact_route_day"], ["route_date_key"], check_unique=False)
-    fact_day, dim_route = read(p["fact_route_day"]), read(p["dim_route"])
-    lap("dims+fact")
-    write_clustered(assert_schema(facts.fact_month(fact_day, dim_route), FACT_MONTH_SCHEMA),
-                    p["fact_route_month"], ["region"], ["bu", "area"],
-                    tie_break=["route_id", "month_key"])
-    lap("fact_month")
-    upsert(spark, assert_schema(scorecard_from_star(fact_day, dim_route), SCORECARD_SCHEMA),
-           p["route_scorecard"], ["route_id"], check_unique=False)
-    release_materialized()
-    lap("scorecard")
+    layers = {
+        "bronze": lambda: bronze_layer(spark, out, raw),
+        "silver": lambda: silver_layer(spark, out),
+        "dims": lambda: dims_layer(spark, out, check_hierarchy),
+        "facts": lambda: facts_layer(spark, out),
+        "scorecard": lambda: scorecard_layer(spark, out),
+    }
+    if reports_dir:
+        layers["reports"] = lambda: export_reports(spark, out, reports_dir)
+    for name, build in layers.items():
+        began = time.perf_counter()
+        build()
+        log.info("layer %-12s %7.2fs", name, time.perf_counter() - began)
 
     # every table's row count from one job (a union of per-table counts)
-    tallies = [read(path).agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(name))
-               for name, path in p.items()]
+    tallies = [spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(name))
+               for name, path in table_paths(out).items()]
     counts = {r["table"]: r["rows"] for r in reduce(DataFrame.unionByName, tallies).collect()}
-    counts = {name: counts[name] for name in p}
-    lap("counts")
-    if reports_dir:
-        export_reports(spark, out, reports_dir)
-        lap("reports")
+    counts = {name: counts[name] for name in TABLES}
     for name, n in counts.items():
         log.info("%-18s %12s rows", name, f"{n:,}")
     return counts

@@ -7,17 +7,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marginlens.functions.exprs import exact_sum, key_month, key_year, month_key
-from marginlens.operators import dims, reports
+from marginlens.operators import clean, dims, facts, reports
 from marginlens.operators import quality as qa
 from marginlens.session import scratch_path
 from marginlens.sinks.upsert import upsert
 from marginlens.sinks.writers import export_csv, write_clustered
 from marginlens.sources.ingest import ingest
-from marginlens.sources.schemas import FACT_MONTH_SCHEMA, SOURCE_COLUMNS
+from marginlens.sources.schemas import FACT_MONTH_SCHEMA, KEY_COLUMNS, SOURCE_COLUMNS
+from marginlens.sources.tables import driver_table
 from marginlens.streaming.incremental import ingest_stream
 from marginlens.operators import scorecard as sc
 from marginlens.plans.layers import build
@@ -32,28 +33,32 @@ def query(fn: QueryFn) -> QueryFn:
 
 
 # --- Silver ---------------------------------------------------------------
+def _winners(spark, sf_dir):
+    return clean.clean_rows(build(spark, sf_dir).bronze, "route_date_key", clean.DEDUP_ORDER, KEY_COLUMNS)
+
+
 @query
 def clean_latest_wins(spark, sf_dir):
-    return build(spark, sf_dir).silver.select(
+    return _winners(spark, sf_dir).select(
         "route_date_key", "route_id", "date", "_source_seq", "total_revenue", "disposal_cost", "fuel_cost")
 
 
 @query
 def quarantine(spark, sf_dir):
-    return build(spark, sf_dir).quarantine.select(
-        "route_date_key", "route_id", "date", "_source_seq", "total_revenue", "_reject_reason")
+    rows = clean.quarantine_rows(build(spark, sf_dir).bronze, "route_date_key", clean.DEDUP_ORDER, required=KEY_COLUMNS)
+    return rows.select("route_date_key", "route_id", "date", "_source_seq", "total_revenue", "_reject_reason")
 
 
 @query
 def recompute_reconcile(spark, sf_dir):
-    return build(spark, sf_dir).silver.select(
+    return clean.recompute(_winners(spark, sf_dir)).select(
         "route_date_key", "total_cost_src", "total_cost", "net_revenue_src", "net_revenue",
         "gross_profit_src", "gross_profit", "gross_margin_pct_src", "gross_margin_pct", "recon_flag")
 
 
 @query
 def guarded_metrics(spark, sf_dir):
-    return build(spark, sf_dir).silver.select(
+    return clean.guard_metrics(clean.recompute(_winners(spark, sf_dir))).select(
         "route_date_key", "completed_stops", "total_stops", "profit_per_stop", "profit_per_km",
         "cost_per_tonne", "completion_rate", "metric_null_flag")
 
@@ -68,7 +73,7 @@ def cohort_key(spark, sf_dir):
 # --- Gold dimensions and facts --------------------------------------------
 @query
 def date_key_roundtrip(spark, sf_dir):
-    dd = build(spark, sf_dir).dim_date
+    dd = dims.dim_date(build(spark, sf_dir).silver)
     out = dd.select("date", "date_key", key_year("date_key").alias("key_year"),
                     key_month("date_key").alias("key_month"))
     return out.select("*", month_key("key_year", "key_month").alias("month_key"),
@@ -78,28 +83,45 @@ def date_key_roundtrip(spark, sf_dir):
 
 @query
 def dim_date(spark, sf_dir):
-    return build(spark, sf_dir).dim_date
+    return dims.dim_date(build(spark, sf_dir).silver)
 
 
 @query
 def dim_route(spark, sf_dir):
-    return build(spark, sf_dir).dim_route
+    return dims.dim_route(build(spark, sf_dir).silver)
+
+
+def _with_moves(silver: DataFrame) -> DataFrame:
+    """Silver with two injected faults for the checks to find: days of
+    some routes in another area, and retail days in another region."""
+    moved = (F.col("_source_seq") % 13 == 0) & (F.col("route_id").cast("long") % 5 == 0)
+    strayed = (F.col("_source_seq") % 17 == 0) & (F.col("primary_customer_segment") == F.lit("Retail"))
+    return silver.withColumns({
+        "area": F.when(moved, F.concat("area", F.lit("-moved"))).otherwise(F.col("area")),
+        "region": F.when(strayed, F.lit("ELSEWHERE")).otherwise(F.col("region"))})
 
 
 @query
 def hierarchy_violations(spark, sf_dir):
+    """Routes with more than one value of an attribute, and which ones vary."""
+    return dims.hierarchy_violations(_with_moves(build(spark, sf_dir).silver))
+
+
+@query
+def hierarchy_flags(spark, sf_dir):
+    """Every route's flags on the tables as they are (none varies)."""
     return dims.hierarchy_flags(build(spark, sf_dir).silver)
 
 
 @query
 def level_violations(spark, sf_dir):
     """Geography members with more than one parent (area -> bu -> region)."""
-    return dims.level_violations(build(spark, sf_dir).silver)
+    return dims.level_violations(_with_moves(build(spark, sf_dir).silver))
 
 
 @query
 def fact_day(spark, sf_dir):
-    return build(spark, sf_dir).fact_day
+    return facts.fact_day(build(spark, sf_dir).silver)
 
 
 @query
@@ -246,6 +268,29 @@ def upsert_idempotent(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def upsert_partitioned(spark, sf_dir):
+    """Two overlapping loads into a table partitioned by region label.
+
+    The labels look like numbers (``01``), one region is NULL, and the second
+    load moves every route to another partition, so keys leave the old one.
+    """
+    first, second = _upsert_batches(spark, sf_dir)
+    names = build(spark, sf_dir).dim_route.select("route_id", "region")
+
+    def labelled(df, shift):
+        code = F.pmod(F.crc32("region") + shift, F.lit(4)).cast("int")
+        return df.join(names, "route_id").select(
+            "route_date_key", "date", "total_revenue", "_batch",
+            F.when(code > 0, F.lpad(code.cast("string"), 2, "0")).alias("zone"))
+
+    path = scratch_path(spark, "upsert_partitioned")
+    upsert(spark, labelled(first, 0), path, ["route_date_key"], partition_by=["zone"])
+    upsert(spark, labelled(second, 1), path, ["route_date_key"], partition_by=["zone"])
+    return (spark.read.schema("route_date_key string, date date, total_revenue double, _batch int, zone string")
+            .parquet(path))
+
+
 @query
 def partitioned_month(spark, sf_dir):
     """Month fact written partitioned by region and clustered on (bu, area),
@@ -272,7 +317,78 @@ def csv_roundtrip(spark, sf_dir):
 def quality_report(spark, sf_dir):
     L = build(spark, sf_dir)
     return qa.quality_report(L.bronze, L.silver, L.quarantine, L.dim_route, L.dim_date,
-                             L.fact_day, L.fact_month(), L.scorecard())
+                             L.fact_day, L.table("fact_route_month"), L.scorecard(),
+                             expected_rows=driver_table(spark, sf_dir, "lineitem").count())
+
+
+# --- Tables as the pipeline writes them -------------------------------------
+@query
+def table_bronze(spark, sf_dir):
+    return build(spark, sf_dir).bronze.drop("_row_id")
+
+
+@query
+def table_silver(spark, sf_dir):
+    return build(spark, sf_dir).silver
+
+
+@query
+def table_quarantine(spark, sf_dir):
+    return build(spark, sf_dir).quarantine
+
+
+@query
+def table_dim_route(spark, sf_dir):
+    return build(spark, sf_dir).dim_route
+
+
+@query
+def table_dim_date(spark, sf_dir):
+    return build(spark, sf_dir).dim_date
+
+
+@query
+def table_fact_day(spark, sf_dir):
+    return build(spark, sf_dir).fact_day
+
+
+@query
+def table_fact_month(spark, sf_dir):
+    L = build(spark, sf_dir)
+    return spark.read.schema(FACT_MONTH_SCHEMA).parquet(L.path("fact_route_month")).select(*FACT_MONTH_SCHEMA.names)
+
+
+@query
+def table_scorecard(spark, sf_dir):
+    return scorecard_table(spark, sf_dir)
+
+
+# --- Order of the ordered reports: the position of every row is a column ----
+def _positions(df: DataFrame) -> DataFrame:
+    """The rows in the report's own order, numbered. Reports are small: bounded
+    by tiers, periods, cohorts, or one row per entity, written in one range-sorted pass."""
+    row = Window.orderBy(F.monotonically_increasing_id())
+    return df.withColumn("position", F.row_number().over(row))
+
+
+@query
+def order_tier_counts(spark, sf_dir):
+    return _positions(reports.tier_counts(scorecard_table(spark, sf_dir)))
+
+
+@query
+def order_stream_medians(spark, sf_dir):
+    return _positions(reports.stream_medians(build(spark, sf_dir).days()))
+
+
+@query
+def order_margin_trend(spark, sf_dir):
+    return _positions(reports.margin_trend(build(spark, sf_dir).days_dated()))
+
+
+@query
+def order_underperforming(spark, sf_dir):
+    return _positions(reports.underperforming_export(scorecard_table(spark, sf_dir))).select("position", "route_id", "tier")
 
 
 # --- fixed values: headline figures of the reference's committed dataset ---
@@ -284,16 +400,23 @@ def baseline_drift(spark, sf_dir):
     return qa.baseline_drift(scorecard_table(spark, sf_dir), COMMITTED_BASELINE)
 
 
-@query
-def incremental_ingest(spark, sf_dir):
-    """Raw rows exported as CSV files (one folder per ship year), ingested by
-    the file stream three files per micro-batch; the resulting Silver equals the
-    one-batch ``clean_latest_wins`` table."""
-    raw = build(spark, sf_dir).bronze
+def _streamed(spark, sf_dir):
+    """Raw rows as CSV files (one folder per ship year), ingested by the file
+    stream three files per micro-batch; returns the lake's folder."""
+    raw = build(spark, sf_dir).bronze.drop("_row_id")
     src = scratch_path(spark, "stream_source")
     (raw.withColumn("_ship_year", F.year("date")).repartition("_ship_year")
         .write.mode("overwrite").option("header", True).partitionBy("_ship_year").csv(src))
     lake = scratch_path(spark, "stream_lake")
     ingest_stream(spark, src, lake, has_lineage=True, max_files_per_trigger=3)
-    return spark.read.parquet(f"{lake}/silver").select(
-        "route_date_key", "route_id", "date", "_source_seq", "total_revenue", "disposal_cost", "fuel_cost")
+    return lake
+
+
+@query
+def incremental_ingest(spark, sf_dir):
+    """Every raw row after an incremental ingest: in Silver, or in the
+    quarantine with its reason. Equals the one-batch result."""
+    lake = _streamed(spark, sf_dir)
+    cols = ["route_date_key", "route_id", "date", "_source_seq", "total_revenue"]
+    silver = spark.read.parquet(f"{lake}/silver").select(*cols, F.lit("").alias("_reject_reason"))
+    return silver.unionByName(spark.read.parquet(f"{lake}/quarantine").select(*cols, "_reject_reason"))

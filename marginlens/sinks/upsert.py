@@ -11,21 +11,28 @@ the key for the anti-join, no per-row Python.
 
 * Unpartitioned table: the merged table is written to a sibling staging
   directory and swapped in (a table being read cannot be overwritten in
-  place).
-* Partitioned table: only partitions that ``updates`` touches are read,
-  merged and replaced (dynamic partition overwrite); the rest of the table is
-  not rewritten. Partition columns must not change for a key.
+  place). Between the swap's two renames readers find no table; on an object
+  store a rename is a copy. A catalog with row-level operations should use
+  ``DataFrame.mergeInto`` instead.
+* Partitioned table: the partitions that hold an updated key or receive an
+  update are read, merged and replaced (dynamic partition overwrite); the rest
+  is not rewritten. A key whose partition changed leaves the old one, and a
+  partition that becomes empty is removed. Partition values keep the type of
+  the update batch, so ``01`` stays text, and NULL is a partition like others.
+
+The update batch is staged once; check, merge and partition search read that.
 """
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marginlens.functions.joins import staged
 from marginlens.sinks.writers import clustered_layout
 from marginlens.sources.tables import _fs, table_exists
 
@@ -77,6 +84,33 @@ def _swap(spark: SparkSession, staged: str, path: str) -> None:
     fs.delete(old, True)
 
 
+def _partition_dirs(spark: SparkSession, rows: DataFrame, parts: Sequence[str]) -> set[str]:
+    """Relative directories (``a=1/b=x``) of the distinct partitions of ``rows``."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    found = rows.select(*[F.col(c).cast("string").alias(c) for c in parts]).distinct().collect()
+    return {"/".join(escape(c, r[c]) for c in parts) for r in found}
+
+
+def _same_partition(parts: Sequence[str], prefix: str):
+    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in parts])
+
+
+def _upsert_partitions(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str],
+                       cluster_by: Sequence[str] | None) -> None:
+    target = spark.read.schema(updates.schema).parquet(path).select(*updates.columns)
+    # where the updated keys are stored now, and where the updates go
+    stored = target.select(*dict.fromkeys([*keys, *parts])).join(updates.select(*keys), list(keys), "left_semi")
+    touched = staged(stored.select(*parts).unionByName(updates.select(*parts)).distinct(), "touched_partitions")
+    renamed = touched.withColumnsRenamed({c: f"_t_{c}" for c in parts})
+    out = staged(merged(target.join(renamed, _same_partition(parts, "_t_"), "left_semi"), updates, keys), "merged")
+    emptied = _partition_dirs(spark, touched, parts) - _partition_dirs(spark, out, parts)
+    laid = clustered_layout(out, parts, cluster_by, [k for k in keys if k not in parts]) if cluster_by else out
+    (laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+    fs, _ = _fs(spark, path)
+    for folder in emptied:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}"), True)
+
+
 def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str],
            partition_by: Sequence[str] | None = None, check_unique: bool = True,
            cluster_by: Sequence[str] | None = None) -> None:
@@ -84,50 +118,65 @@ def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[st
     With ``partition_by`` and ``cluster_by`` the rewritten partitions keep the
     clustered layout of :func:`clustered_layout` (the key breaks ties)."""
     keys = list(keys)
+    recover(spark, path)
+    exists = table_exists(spark, path)
+    if exists or check_unique:
+        updates = staged(updates, "updates")
     if check_unique:
         assert_unique_keys(updates, keys)
-    recover(spark, path)
-    if not table_exists(spark, path):
-        w = updates.write.mode("overwrite")
+    if not exists:
+        out = updates
+        if partition_by and cluster_by:
+            out = clustered_layout(out, partition_by, cluster_by, [k for k in keys if k not in partition_by])
+        w = out.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         return
     if partition_by:
-        parts = list(partition_by)
-        target = spark.read.parquet(path)
-        touched = target.join(updates.select(*parts).distinct(), parts, "left_semi")
-        out = merged(touched, updates, keys)
-        if cluster_by:
-            out = clustered_layout(out, parts, cluster_by, [k for k in keys if k not in parts])
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts).parquet(path))
+        _upsert_partitions(spark, updates, path, keys, list(partition_by), cluster_by)
         return
-    staged = path.rstrip("/") + f"__staging_{uuid.uuid4().hex}"
-    merged(spark.read.parquet(path), updates, keys).write.mode("overwrite").parquet(staged)
-    _swap(spark, staged, path)
+    new = path.rstrip("/") + f"__staging_{uuid.uuid4().hex}"
+    merged(spark.read.parquet(path), updates, keys).write.mode("overwrite").parquet(new)
+    _swap(spark, new, path)
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
 
 
-def upsert_latest(spark: SparkSession, updates: DataFrame, path: str, key: str,
-                  order_cols: Sequence[str]) -> None:
+def upsert_latest(spark: SparkSession, updates: DataFrame, path: str, key: str, order_cols: Sequence[str],
+                  on_losers: Callable[[DataFrame], None] | None = None, batch: str | None = None) -> None:
     """Upsert where a stored row is replaced only by a *newer* row of its key
-    (by ``order_cols``): incremental loads then give the same table as one
-    batch over all the data, whatever order the loads arrive in.
-
-    The stored table holds one row per key, so the merged table is simply the
-    latest row per key over ``stored ∪ incoming``: one shuffle, with the
-    map-side top-1 of :func:`latest_per_key` (a hot key ships one row per map
-    task). Incoming rows with a NULL key are left out (they belong to the
-    quarantine).
+    (by ``order_cols``; the stored row wins a tie): incremental loads then give
+    the same table as one batch over all the data.
+
+    ``updates`` holds a key at most once. Rows that lose -- a stored row that
+    is superseded, an incoming one that is older -- are handed to
+    ``on_losers`` before the table is swapped. ``batch`` names the load: its
+    marker is swapped in with the table, so a replay of a load that already
+    landed does nothing.
     """
-    from marginlens.operators.clean import latest_per_key
-
     recover(spark, path)
-    if not table_exists(spark, path):
-        latest_per_key(updates, key, order_cols).write.mode("overwrite").parquet(path)
-        return
-    target = spark.read.parquet(path)
-    merged_rows = latest_per_key(target.unionByName(updates.select(*target.columns)), key, order_cols)
-    staged = path.rstrip("/") + f"__staging_{uuid.uuid4().hex}"
-    merged_rows.write.mode("overwrite").parquet(staged)
-    _swap(spark, staged, path)
+    exists = table_exists(spark, path)
+    if exists and batch:
+        fs, marker = _fs(spark, f"{path.rstrip('/')}/_batch_{batch}")
+        if fs.exists(marker):
+            return
+    rows = updates.filter(F.col(key).isNotNull()).withColumn("_stored", F.lit(0))
+    if exists:
+        target = spark.read.parquet(path)
+        rows = rows.select(*target.columns, "_stored").unionByName(target.withColumn("_stored", F.lit(1)))
+        order = [F.col(c).desc_nulls_last() for c in [*order_cols, "_stored"]]
+        # at most two rows a key: no key is hot here
+        rows = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+        rows = staged(rows, "ranked")
+        if on_losers:
+            on_losers(rows.filter("_rn > 1").drop("_rn", "_stored"))
+        rows = rows.filter("_rn = 1").drop("_rn")
+    new = path.rstrip("/") + f"__staging_{uuid.uuid4().hex}"
+    rows.drop("_stored").write.mode("overwrite").parquet(new)
+    if batch:
+        _touch(spark, f"{new}/_batch_{batch}")
+    _swap(spark, new, path)

@@ -17,16 +17,18 @@ def clustered_layout(df: DataFrame, partition_by: Sequence[str], cluster_by: Seq
     """Rows laid out for a partitioned write clustered on ``cluster_by``.
 
     ``repartitionByRange`` samples the data to cut (partition, cluster,
-    tie_break) into ranges of similar size; ``tie_break`` (e.g. the table key)
+    tie_break) into ranges of similar size. Without ``num_ranges`` there are as
+    many as shuffle partitions at most, and AQE merges ranges that are small in
+    bytes, so the number of files follows the data; ``tie_break`` (e.g. the table key)
     lets one hot (partition, cluster) value span several ranges, and so
     several writer tasks, instead of landing in one. Sorting on the partition
     columns first satisfies the partitioned writer's required ordering, so it
     adds no sort of its own that would scramble the order inside each file.
     """
-    n = int(num_ranges or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     range_cols = list(partition_by) + list(cluster_by) + list(tie_break)
-    return (df.repartitionByRange(n, *[F.col(c) for c in range_cols])
-              .sortWithinPartitions(*range_cols))
+    cols = [F.col(c) for c in range_cols]
+    ranges = df.repartitionByRange(num_ranges, *cols) if num_ranges else df.repartitionByRange(*cols)
+    return ranges.sortWithinPartitions(*range_cols)
 
 
 def write_clustered(df: DataFrame, path: str, partition_by: Sequence[str],

@@ -22,6 +22,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
+def source_state(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple:
+    """Names, sizes and change times of the tables' files: differs once a source changes."""
+    out = []
+    for name in names:
+        fs, p = _fs(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for s in fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{p}{{,/*}}")) or []:
+            out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -39,11 +49,7 @@ def spread(df: DataFrame, cols: list[str] | None = None, min_partitions: int | N
     (projections, broadcast joins) runs single-threaded. Large inputs already
     have at least this many splits and pass through untouched (no shuffle).
     """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the scan as it is
-        return df
-    if have >= want:
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want, *cols) if cols else df.repartition(want)

@@ -19,7 +19,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from marginlens.plans.queries import REGISTRY
+    assert set(REGISTRY) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def _norm(v):
@@ -29,7 +30,8 @@ def _norm(v):
 
 
 @pytest.mark.parametrize("name", ["scorecard", "fact_month", "margin_trend", "cost_drivers", "quarantine",
-                                  "quality_report"])
+                                  "quality_report", "upsert_partitioned", "hierarchy_violations", "order_margin_trend",
+                                  "incremental_ingest"])
 def test_matches_oracle_on_smallest_tables(spark, name):
     con = duckdb.connect()
     for t in TABLES:
@@ -43,3 +45,15 @@ def test_matches_oracle_on_smallest_tables(spark, name):
     idx = [names.index(c) for c in cols]
     want = sorted(tuple(_norm(r[i]) for i in idx) for r in cur.fetchall())
     assert got == want
+
+
+def test_the_rest_stands_without_the_training_data_part(tmp_path):
+    import os
+    import shutil
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    shutil.copytree(os.path.join(root, "marginlens"), tmp_path / "marginlens", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
+    code = "import __spark_entry__ as e; q = set(e.queries()); assert len(q) > 40 and q == set(e.oracle_sql()), q"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})

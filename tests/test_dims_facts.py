@@ -32,13 +32,12 @@ def test_dim_date_attributes(bronze):
 
 
 def _two_days(bronze):
-    a = bronze_row(route_date_key="K-1", date=date(2023, 5, 1), total_revenue=1000.0,
-                   disposal_cost=900.0, fuel_cost=0.0, labour_cost=0.0, maintenance_cost=0.0, admin_cost=0.0)
-    b = bronze_row(route_date_key="K-2", date=date(2023, 5, 2), total_revenue=9000.0,
-                   disposal_cost=4500.0, fuel_cost=0.0, labour_cost=0.0, maintenance_cost=0.0, admin_cost=0.0)
-    c = bronze_row(route_date_key="K-3", date=date(2023, 6, 1), total_revenue=100.0,
-                   disposal_cost=150.0, fuel_cost=0.0, labour_cost=0.0, maintenance_cost=0.0, admin_cost=0.0)
-    return clean.silver(bronze(a, b, c))
+    """Two days of May (margins 20 % and 70 %) and a losing day of June."""
+    days = [(date(2023, 5, 1), 500.0, 400.0), (date(2023, 5, 2), 4500.0, 1350.0), (date(2023, 6, 1), 50.0, 75.0)]
+    free = dict.fromkeys(("fuel_cost", "labour_cost", "maintenance_cost", "admin_cost"), 0.0)
+    return clean.silver(bronze(*[
+        bronze_row(route_date_key=f"K-{i}", date=d, total_revenue=revenue, disposal_cost=cost, **free)
+        for i, (d, revenue, cost) in enumerate(days)]))
 
 
 def test_fact_day_grain_and_keys(bronze):
@@ -52,12 +51,12 @@ def test_month_rollup_weighted_margin_and_ties(bronze):
     s = _two_days(bronze)
     fm = facts.fact_month(facts.fact_day(s), dims.dim_route(s))
     may = fm.filter("month = 5").first()
-    # (100 + 4500) / (1000 + 9000) = 46 %, not the 30 % mean of 10 % and 50 %
-    assert may["gross_margin_pct"] == pytest.approx(46.0)
+    # (100 + 3150) / (500 + 4500) = 65 %, not the 45 % mean of 20 % and 70 %
+    assert may["gross_margin_pct"] == pytest.approx(65.0)
     assert may["days_active"] == 2 and may["loss_days"] == 0 and may["month_key"] == 202305
     june = fm.filter("month = 6").first()
     assert june["loss_days"] == 1
-    assert sum(r["total_revenue"] for r in fm.collect()) == 10100.0
+    assert sum(r["total_revenue"] for r in fm.collect()) == 5050.0
 
 
 def test_level_to_level_hierarchy(bronze):
@@ -69,10 +68,21 @@ def test_level_to_level_hierarchy(bronze):
 def test_checked_dim_entity_one_pass(bronze):
     ok = clean.silver(bronze(bronze_row(), bronze_row(route_date_key="K-2"),
                              bronze_row(route_date_key="K-3", route_id="R-2", area="Vale")))
-    dim, cached = dims.checked_dim_entity(ok)
-    d = {r["route_id"]: r["area"] for r in dim.collect()}
-    cached.unpersist()
+    d = {r["route_id"]: r["area"] for r in dims.checked_dim_entity(ok).collect()}
     assert d == {"R-1": "Hill", "R-2": "Vale"}
     moved = clean.silver(bronze(bronze_row(), bronze_row(route_date_key="K-2", area="Vale")))
     with pytest.raises(AssertionError):
         dims.checked_dim_entity(moved)
+
+
+def test_month_sums_are_not_rounded_per_row(bronze):
+    s = clean.silver(bronze(*[bronze_row(route_date_key=f"K-{i}", total_tonnes=0.004) for i in range(3)]))
+    assert facts.fact_month(facts.fact_day(s), dims.dim_route(s)).first()["total_tonnes"] == 0.012
+
+
+def test_fact_contract(spark, bronze):
+    from marginlens.sources.schemas import FACT_DAY_SCHEMA, assert_not_null, assert_schema
+    day = assert_schema(facts.fact_day(clean.silver(bronze(bronze_row()))), FACT_DAY_SCHEMA)
+    assert assert_not_null(day, FACT_DAY_SCHEMA).count() == 1 and len(FACT_DAY_SCHEMA.fields) == 36
+    with pytest.raises(Exception, match="route_id"):
+        assert_not_null(facts.fact_day(clean.silver(bronze(bronze_row(route_id=None)))), FACT_DAY_SCHEMA).collect()

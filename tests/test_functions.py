@@ -39,16 +39,41 @@ def test_exact_sum_survives_bigint_scale(spark):
     assert df.agg(F.count("x")).first()[0] == 40
 
 
-def test_join_checked_hints_broadcast_only_under_the_bound(spark):
-    from marginlens.functions.joins import join_checked, release_materialized
+def test_sums_keep_small_values_and_show_nan(spark):
+    import math
+    df = spark.createDataFrame([("a", 0.004)] * 3 + [("b", 1.0), ("b", float("nan"))] + [("c", float("inf")), ("c", 1.0)]
+                               + [("d", None)], "k string, x double")
+    got = {r["k"]: r["s"] for r in df.groupBy("k").agg(exact_sum("x").alias("s")).collect()}
+    assert got["a"] == 0.012 and math.isnan(got["b"]) and got["c"] == float("inf") and got["d"] is None
+
+
+def test_join_checked_lets_bytes_decide(spark):
+    from marginlens.functions.joins import join_checked
     big = spark.range(20_000).withColumn("k", F.col("id") % 50)
     small = spark.range(50).withColumnRenamed("id", "k").groupBy("k").agg(F.max("k").alias("w"))
+    joined = join_checked(big, small, "k")
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        over = join_checked(big, small, "k")
+        assert "SortMergeJoin" in over._jdf.queryExecution().executedPlan().toString()
+        assert over.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+
+    from marginlens.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
 
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    class Session:
+        sparkContext, conf = Context(), {}
 
-    assert hinted(join_checked(big, small, "k", max_rows=100))
-    # over the bound no hint is forced: the planner/AQE decide from measured sizes
-    assert not hinted(join_checked(big, small, "k", max_rows=10))
-    assert join_checked(big, small, "k", max_rows=10).count() == 20_000
-    release_materialized()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

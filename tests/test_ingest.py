@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from marginlens.sources.ingest import ingest, read_source, read_untyped
 from marginlens.sources.schemas import KEY_COLUMNS, SOURCE_COLUMNS, SOURCE_SCHEMA
-from tests.conftest import BASE_ROW
+from tests.conftest import route_day
 
 
 def _csv(path, header, rows):
@@ -14,7 +14,7 @@ def _csv(path, header, rows):
 
 
 def _row(**kw):
-    r = {**BASE_ROW, **kw}
+    r = route_day(**kw)
     return [r[c] for c in SOURCE_COLUMNS]
 
 
@@ -31,7 +31,7 @@ def test_typed_read_with_lineage(spark, tmp_path):
     assert len(df.columns) == 42
     rows = df.collect()
     assert len(rows) == 2
-    assert rows[0]["total_stops"] == 100 and rows[0]["total_revenue"] == 5000.0
+    assert rows[0]["total_stops"] == 80 and rows[0]["total_revenue"] == 2400.0
     assert df.filter(F.col("_source_file").isNull() | F.col("_ingested_at").isNull()).count() == 0
     assert read_untyped(spark, p).count() == 2
 
@@ -48,7 +48,7 @@ def test_permuted_header_is_rejected(spark, tmp_path):
     i, j = cols.index("labour_cost"), cols.index("fuel_cost")
     cols[i], cols[j] = cols[j], cols[i]
     p = str(tmp_path / "perm.csv")
-    r = {**BASE_ROW}
+    r = route_day()
     _csv(p, cols, [[r[c] for c in cols]])
     with pytest.raises(Exception):
         read_source(spark, p).collect()
