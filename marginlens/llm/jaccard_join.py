@@ -103,11 +103,13 @@ def _sketch(docs: DataFrame, depth: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text_key long, set_id binary, keys array<long>, sig binary")
 
 
-def _blocks(rows: DataFrame, key: str, block: int, weight: str | None = None, block_bytes: int = 0) -> DataFrame:
+def _blocks(rows: DataFrame, key: str, block: int, weight: str | None = None, block_bytes: int = 0,
+            payload: DataFrame | None = None) -> DataFrame:
     """Deal the rows of every key with at least two rows to its block pairs.
 
     Adds ``left``, ``right`` (the block pair) and ``own`` (the row's block).
-    A key of ``b`` blocks sends each row to ``b`` pairs.
+    A key of ``b`` blocks sends each row to ``b`` pairs. ``payload`` (by
+    ``node``) joins only the rows that are dealt.
     """
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
                                    F.sum(weight if weight else F.lit(0)).alias("_bytes"))
@@ -115,11 +117,14 @@ def _blocks(rows: DataFrame, key: str, block: int, weight: str | None = None, bl
     if weight:
         n_blocks = F.greatest(n_blocks, F.ceil(F.col("_bytes") / block_bytes))
     sizes = staged(counts.filter("_n > 1").select(key, n_blocks.cast("int").alias("_b")), f"{key}_blocks")
-    dealt = rows.join(sizes, key).withColumn("own", F.pmod(F.hash("node"), F.col("_b")))
+    dealt = rows.join(sizes.hint("merge"), key).withColumn("own", F.pmod(F.hash("node"), F.col("_b")))
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_b") - 1)))
     dealt = dealt.withColumns({"left": F.least("own", "_other"), "right": F.greatest("own", "_other")})
+    dealt = dealt.drop("_b", "_other")
+    if payload is not None:
+        dealt = dealt.join(payload.hint("merge"), "node")
     order = [key, "left", "right"]
-    return dealt.drop("_b", "_other").repartition(*order).sortWithinPartitions(*order, "own", "node")
+    return dealt.repartition(*order).sortWithinPartitions(*order, "own", "node")
 
 
 def _groups(batches, columns: list[str]):
@@ -159,7 +164,7 @@ def _compared(own: list[int]) -> tuple[slice, slice]:
 
 def likely_pairs(nodes: DataFrame) -> DataFrame:
     """Spanning forests (``a, b``) of the pairs that share a prefix and most of their signature."""
-    rows = nodes.select("node", "sig", F.explode("keys").alias("key"))
+    rows = nodes.select("node", F.explode("keys").alias("key"))
     columns = ["key", "left", "right", "own", "node", "sig"]
 
     def run(batches):
@@ -181,7 +186,8 @@ def likely_pairs(nodes: DataFrame) -> DataFrame:
                 edges = []
         yield _edge_batch(edges)
 
-    return _blocks(rows, "key", SIGNATURE_BLOCK).select(*columns).mapInArrow(run, "a long, b long")
+    dealt = _blocks(rows, "key", SIGNATURE_BLOCK, payload=nodes.select("node", "sig"))
+    return dealt.select(*columns).mapInArrow(run, "a long, b long")
 
 
 def _edge_batch(edges: list) -> pa.RecordBatch:
