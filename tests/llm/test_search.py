@@ -242,6 +242,28 @@ def test_passages_against_brute_force(spark):
     assert substring_dedup.repeated_passages(df.limit(0)).count() == 0
 
 
+def _marked(rows):
+    got = defaultdict(set)
+    for r in rows:
+        got[r.doc_id].update(range(r.start_word, r.end_word))
+    return got
+
+
+def test_passage_around_a_frequent_line_is_found(spark):
+    # the line is in every document, a passage of 50 words around it in two of them each
+    rnd = random.Random(14)
+    line = prose(rnd, 40)
+    docs, want = [], {}
+    for k in range(60):
+        before, after = prose(rnd, k % 11), prose(rnd, 10 - k % 11)
+        for i in (2 * k, 2 * k + 1):
+            lead = prose(rnd, rnd.randint(3, 40))
+            docs.append((i, f"{lead} {before} {line} {after} {prose(rnd, 30)}"))
+            want[i] = set(range(len(lead.split()), len(lead.split()) + 50))
+    got = _marked(substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert [i for i in want if not want[i] <= got[i]] == []
+
+
 @pytest.mark.parametrize("query", ["op3_jaccard_join", "op9_substring_dedup"])
 def test_queries_on_the_smallest_tables(spark, query):
     from marginlens.llm.registry import QUERIES
