@@ -264,6 +264,19 @@ def test_passage_around_a_frequent_line_is_found(spark):
     assert [i for i in want if not want[i] <= got[i]] == []
 
 
+def test_recall_of_passages_at_the_threshold(spark):
+    # one changed word inside 50 leaves 41 of 46 shingles: similarity 41 / 51
+    rnd = random.Random(15)
+    docs = []
+    for k in range(400):
+        passage = [f"p{rnd.randrange(10 ** 9)}" for _ in range(50)]
+        for i in (2 * k, 2 * k + 1):
+            docs.append((i, f"{prose(rnd, rnd.randint(3, 60))} {' '.join(passage)} {prose(rnd, rnd.randint(3, 60))}"))
+            passage[rnd.randrange(4, 46)] = "changed"
+    got = _marked(substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert len(got) >= 798
+
+
 @pytest.mark.parametrize("query", ["op3_jaccard_join", "op9_substring_dedup"])
 def test_queries_on_the_smallest_tables(spark, query):
     from marginlens.llm.registry import QUERIES
