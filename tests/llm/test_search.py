@@ -277,6 +277,48 @@ def test_recall_of_passages_at_the_threshold(spark):
     assert len(got) >= 798
 
 
+def test_scattered_shingles_are_no_passage():
+    rng = np.random.default_rng(3)
+    lines = [rng.integers(0, 1 << 32, 20, dtype=np.uint32) for _ in range(12)]
+    fill = lambda n: rng.integers(0, 1 << 32, n, dtype=np.uint32)
+    x = np.concatenate(lines)
+    y = np.concatenate([part for k in rng.permutation(12) for part in (lines[k], fill(12))])
+    assert substring_dedup.shared_spans(x, y) == ([], [])  # every line, but in no order and far apart
+    line, rest = lines[0], lines[1:5]
+    x = np.concatenate([fill(30), line, *rest, fill(30)])
+    y = np.concatenate([line, fill(50), line, *rest[:2], fill(2), *rest[2:], fill(9), line])  # repeats and an insertion
+    (a, b), = substring_dedup.shared_spans(x, y)[0]
+    (c, d), = substring_dedup.shared_spans(x, y)[1]
+    assert (a, b, c, d) == (30, 130, 70, 172)
+    one, two = np.zeros(50, np.uint32), np.concatenate((fill(60), np.zeros(1, np.uint32), fill(60)))
+    assert substring_dedup.shared_spans(one, two) == ([], [])  # one place is not fifty
+
+
+def test_spans_against_every_pair_of_passages():
+    rng = np.random.default_rng(4)
+    span = substring_dedup.SPAN
+    for _ in range(12):
+        base = rng.integers(0, 1 << 32, 70, dtype=np.uint32)
+        other = base.copy()
+        for _ in range(rng.integers(0, 6)):
+            at = int(rng.integers(len(other)))
+            kind = rng.integers(3)
+            part = rng.integers(0, 1 << 32, int(rng.integers(1, 4)), dtype=np.uint32)
+            other = np.concatenate((other[:at], part if kind < 2 else part[:0], other[at + (kind != 1):]))
+        x, y = np.concatenate((base[40:60], base)), np.concatenate((other, base[:20]))
+        if len(y) < span:
+            continue
+        want = np.zeros(len(x), bool)
+        for i in range(len(x) - span + 1):
+            own = substring_dedup.Counter(x[i:i + span].tolist())
+            for j in range(len(y) - span + 1):
+                both = (own & substring_dedup.Counter(y[j:j + span].tolist())).total()
+                if both / (2 * span - both) >= 0.8:
+                    want[i:i + span] = True
+        got = substring_dedup.similar_places(x, y)[0]
+        assert not (want & ~got).any()
+
+
 @pytest.mark.parametrize("query", ["op3_jaccard_join", "op9_substring_dedup"])
 def test_queries_on_the_smallest_tables(spark, query):
     from marginlens.llm.registry import QUERIES
