@@ -2,7 +2,8 @@
 
 The page is parsed once into a flat tree. Blocks of boilerplate elements
 (menus, page headers and footers, sidebars, notices, adverts, forms, scripts,
-styles, reader comments; by element, role or class word) are taken out. Every
+styles, reader comments; by element, role or class word; inside an article by
+the class words of containers only, never by an id) are taken out. Every
 remaining text block passes points -- for its length and its commas -- to its
 ancestors, halved and then thinned with distance. An ancestor's points are
 discounted by its link density; the best container is kept, widened to the
@@ -52,6 +53,8 @@ DROP_WORDS = set("""ad ads adv advert adverts advertisement advertising adsense
     subscribe subscription signup login search widget widgets toolbar skip alert disclaimer paywall""".split())
 KEEP_WORDS = set("article content main post story entry body text prose".split())
 CONTENT_TAGS = {"article", "main"}
+#: Elements that a class word takes out of an article; its headings, paragraphs and inline elements stay.
+WORD_TAGS = {"div", "section", "header", "center", "ul", "ol", "dl", "table", "figure", "details"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Elements that may be the container, with their starting points.
 CONTAINERS = {"article": 25.0, "main": 25.0, "div": 5.0, "section": 5.0, "center": 3.0, "body": 0.0, "#root": 0.0}
@@ -65,11 +68,16 @@ _WORD = re.compile(r"[a-z]+")
 DEPTH = 6  # ancestors that a block's points reach
 
 
+def _words(names: str) -> set[str]:
+    return set(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", names).lower()))
+
+
 class Tree:
     """Nodes in page order; ``items`` are (node, text) runs, text None for a line break."""
 
     def __init__(self, page: str):
         self.tag, self.up, self.drop, self.end = ["#root"], [-1], [False], [0]
+        self.named: set[int] = set()  # nodes with a boilerplate word in class or id
         self.runs: list[tuple[int, str]] = []
         self._parse(page)
 
@@ -96,9 +104,12 @@ class Tree:
             return True
         if tag in CONTENT_TAGS:
             return False
-        names = f"{found.get('class', '')} {found.get('id', '')}"
-        names = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", names).lower()
-        tokens = set(_WORD.findall(names))
+        tokens = _words(f"{found.get('class', '')} {found.get('id', '')}")
+        if not tokens & DROP_WORDS:
+            return False
+        self.named.add(len(self.tag) - 1)
+        if self._inside(parent, CONTENT_TAGS):  # an id there is as often the slug of a heading
+            tokens = _words(found.get("class", "")) if tag in WORD_TAGS else set()
         return bool(tokens & DROP_WORDS) and (not tokens & KEEP_WORDS or bool(tokens & {"comment", "comments"}))
 
     def _inside(self, node: int, tags: set) -> bool:
@@ -245,12 +256,15 @@ def main_text(page: str | None) -> str:
                 kept.add(node)
     inside = [False] * n
     menu = [False] * n
+    article = [False] * n
     for node in range(n):
         up = tree.up[node]
         inside[node] = node in kept or up >= 0 and inside[up]
+        article[node] = tree.tag[node] in CONTENT_TAGS or up >= 0 and article[up]
         menu[node] = up >= 0 and menu[up] or (
             node not in kept and tree.tag[node] in ("ul", "ol", "table", "div", "section", "dl")
-            and chars[node] > 0 and density(node) > 0.6)
+            and chars[node] > 0 and density(node) > 0.6
+            and (not article[node] or node in tree.named))  # a list of sources is article text
     return " ".join(t for b, t in texts if inside[b] and not menu[b])
 
 

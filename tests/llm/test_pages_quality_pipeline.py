@@ -28,6 +28,16 @@ def test_main_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+def test_articles_lose_no_text_by_ids_or_linked_lists():
+    page = ("<article><h2 id='related-work'>Related work</h2><p class='notice'>A notice, in prose.</p>"
+            "<section id='discussion'><p>We discuss, at length.</p></section><h2 class='search'>Search engines</h2>"
+            "<ul><li><a href='a'>First source</a></li><li><a href='b'>Second source</a></li></ul>"
+            "<div id='related'><a href='c'>More like this</a></div><div class='share'>Share it</div></article>"
+            "<div id='sidebar'><p>Aside, from the text.</p></div>")
+    assert html_extract.main_text(page) == ("Related work A notice, in prose. We discuss, at length. Search engines "
+                                            "First source Second source")
+
+
 def test_best_container_and_prose_siblings():
     body = "<p>Long sentence, with commas, and more words that go on.</p>" * 5
     page = f"<body><div class=x><div>{body}</div><p>A closing line.</p></div><div><a href=1>l1</a> <a href=2>l2</a></div></body>"
