@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marginlens.functions.exprs import exact_sum, key_month, key_year, month_key
+from marginlens.functions.joins import join_checked, staged
 from marginlens.operators import clean, dims, facts, reports
 from marginlens.operators import quality as qa
 from marginlens.session import scratch_path
@@ -365,10 +366,19 @@ def table_scorecard(spark, sf_dir):
 
 # --- Order of the ordered reports: the position of every row is a column ----
 def _positions(df: DataFrame) -> DataFrame:
-    """The rows in the report's own order, numbered. Reports are small: bounded
-    by tiers, periods, cohorts, or one row per entity, written in one range-sorted pass."""
-    row = Window.orderBy(F.monotonically_increasing_id())
-    return df.withColumn("position", F.row_number().over(row))
+    """The rows in the report's own order, numbered.
+
+    The report is written once, range-sorted; a row's id holds its partition
+    (upper bits) and its place there. Each partition's place count gives the
+    next one's offset, so no row leaves its partition.
+    """
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    rows = staged(df.withColumn("_id", F.monotonically_increasing_id()), "ordered").withColumns({"_part": part, "_place": place})
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = join_checked(rows, offsets, "_part")
+    return numbered.select(*df.columns, (F.col("_before") + F.col("_place") + 1).cast("int").alias("position"))
 
 
 @query

@@ -57,3 +57,20 @@ def test_the_rest_stands_without_the_training_data_part(tmp_path):
     shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
     code = "import __spark_entry__ as e; q = set(e.queries()); assert len(q) > 40 and q == set(e.oracle_sql()), q"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+
+
+def test_positions_need_no_single_task(spark):
+    from pyspark.sql import functions as F
+
+    from marginlens.plans.queries import _positions
+    df = spark.range(0, 2000, 1, 8).select((F.col("id") * 7919 % 2000).alias("v"), F.lit("x").alias("name"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = _positions(df.orderBy(F.desc("v")))
+        rows = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted((r.position, r.v) for r in rows) == [(k + 1, 1999 - k) for k in range(2000)]
+    assert got.columns == ["v", "name", "position"] and dict(got.dtypes)["position"] == "int"
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+    assert _positions(df.limit(0).orderBy("v")).count() == 0
