@@ -1,12 +1,12 @@
-"""N-gram Jaccard self-join with a MinHash LSH forest and exact verification.
+"""N-gram Jaccard self-join with MinHash banding and exact verification.
 
 1. Texts with the same set of word shingles become one node with a count, so
    copies are never paired with each other.
-2. Each of ``TREES`` trees labels a node with ``LONGEST`` min-hashes. The match
-   starts at the whole label and its prefix is shortened until a pair at the
-   threshold is expected to share a prefix in some tree with the target recall
-   (:func:`prefix_length`).
-3. Nodes sorted by tree and prefix form the tries' buckets. Buckets are cut
+2. Each of ``TREES`` bands labels a node with ``LONGEST`` min-hashes. The prefix
+   that must match is the longest with which a pair at the threshold is expected
+   to share a band with the target recall (:func:`prefix_length`). It depends on
+   the threshold alone, not on the data: plain banding, no LSH forest.
+3. Nodes with the same band and prefix form a bucket, by hash. Buckets are cut
    into blocks of bounded size; a block pair compares whole signatures and
    emits a spanning forest of the likely pairs, never the pairs themselves.
 4. Components of the forest are candidate clusters. Within a cluster, blocks
