@@ -287,6 +287,8 @@ def test_scattered_shingles_are_no_passage():
     x = np.concatenate(lines)
     y = np.concatenate([part for k in rng.permutation(12) for part in (lines[k], fill(12))])
     assert substring_dedup.shared_spans(x, y) == ([], [])  # every line, but in no order and far apart
+    y = np.concatenate([lines[k * 5 % 12] for k in range(12)])
+    assert substring_dedup.shared_spans(x, y) == ([], [])  # every line and nothing else, in another order
     line, rest = lines[0], lines[1:5]
     x = np.concatenate([fill(30), line, *rest, fill(30)])
     y = np.concatenate([line, fill(50), line, *rest[:2], fill(2), *rest[2:], fill(9), line])  # repeats and an insertion
