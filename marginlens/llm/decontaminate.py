@@ -12,9 +12,11 @@
 4. Phrase search: the position list of the rarest term, shifted by its offset
    in the item, is intersected with the shifted list of the second. What
    remains is a few (document, item, diagonal) candidates.
-5. Each candidate is verified word by word along its diagonal; windows that
-   match in full are hits. All candidates of a document travel together, so
-   the text is joined once and no row is made per window or word.
+5. Each candidate is verified word by word along its diagonals; windows that
+   match in full are hits. All candidates of a document travel together, an
+   item's words once with the list of its diagonals (at most one per word of
+   the document and item), so the text is joined once and no row is made per
+   window or word.
 
 :func:`proximity_matches` answers "all these terms within a span" from the
 same index.
@@ -110,18 +112,41 @@ def proximity_matches(postings: DataFrame, queries: DataFrame, span: int) -> Dat
             .select("query", "doc", F.col("pos").alias("last_pos")))
 
 
-def _verified(cand, text_words: str) -> F.Column:
-    """The candidate's item id and the document positions of its windows that match in full."""
+def _bound(value, body) -> F.Column:
+    """``body(value)`` with ``value`` computed once.
+
+    A lambda variable cannot be inlined by the optimizer, so a costly value
+    that other lambdas use many times stays outside of them.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
+def _verified(cand, text_words) -> F.Column:
+    """The candidate's item id, window length and the document positions of its
+    windows that match in full, on any of the candidate's diagonals.
+
+    A diagonal's words are compared once each (a string of 0 and 1); places are
+    listed only where a run of ``n`` equal words exists.
+    """
     n = F.least(F.lit(WINDOW), F.size(cand["words"]))
-    same = F.transform(cand["words"], lambda w, j: F.coalesce(F.get(text_words, cand["diagonal"] + j) == w, F.lit(False)))
-    starts = F.filter(F.sequence(F.lit(0), F.size(cand["words"]) - n),
-                      lambda j: F.forall(F.slice(same, j + 1, n), lambda x: x))
+
+    def starts(diagonal):
+        same = F.array_join(F.transform(cand["words"], lambda w, j: F.when(
+            F.get(text_words, diagonal + j) == w, F.lit("1")).otherwise(F.lit("0"))), "")
+        run = F.repeat(F.lit("1"), n)
+        return _bound(same, lambda s: F.when(s.contains(run), F.transform(
+            F.filter(F.sequence(F.lit(0), F.size(cand["words"]) - n), lambda j: F.substr(s, j + 1, n) == run),
+            lambda j: diagonal + j)).otherwise(F.array().cast("array<int>")))
+
     return F.struct(cand["item_id"].alias("item_id"), n.alias("n"),
-                    F.transform(starts, lambda j: cand["diagonal"] + j).alias("at"))
+                    F.array_distinct(F.flatten(F.transform(cand["diagonals"], starts))).alias("at"))
 
 
 def _search(keyed: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc, candidates`` of the documents that hold a candidate."""
+    """``doc, candidates`` of the documents that hold a candidate.
+
+    A candidate is an item with its words once and all its diagonals.
+    """
     items = staged(benchmark.select(F.monotonically_increasing_id().alias("item"),
                                     F.col("item_id").cast("string").alias("item_id"),
                                     words(F.col("text")).alias("words")), "benchmark_items")
@@ -132,22 +157,25 @@ def _search(keyed: DataFrame, benchmark: DataFrame) -> DataFrame:
     anchors = staged(_anchors(windows, frequency), "anchors")
     wanted = staged(anchors.select(F.explode(F.array("term1", "term2")).alias("term")).distinct(), "anchor_terms")
     postings = build_postings(keyed, wanted)
-    found = (phrase_candidates(postings, anchors).join(items, "item")
-             .groupBy("doc").agg(F.collect_list(F.struct("item_id", "words", "diagonal")).alias("candidates")))
+    found = (phrase_candidates(postings, anchors)
+             .groupBy("doc", "item").agg(F.collect_list("diagonal").alias("diagonals"))
+             .join(items, "item")
+             .groupBy("doc").agg(F.collect_list(F.struct("item_id", "words", "diagonals")).alias("candidates")))
     return staged(found, "candidates")
 
 
-def _hits() -> F.Column:
-    return F.filter(F.transform(F.coalesce("candidates", F.array()), lambda c: _verified(c, "words")), lambda c: F.size(c["at"]) > 0)
+def _hits(text, candidates) -> F.Column:
+    """The verified candidates of a text, its words cut once."""
+    return F.when(F.col(candidates).isNotNull(), _bound(words(text), lambda own: F.filter(
+        F.transform(F.col(candidates), lambda c: _verified(c, own)), lambda c: F.size(c["at"]) > 0)))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no window of ``benchmark``, all columns."""
-    doc, own, cands = (fresh(docs, n) for n in ("_doc", "_words", "_candidates"))
+    doc, cands = (fresh(docs, n) for n in ("_doc", "_candidates"))
     found = _search(_keyed(docs, id_col, text_col), benchmark).withColumnsRenamed({"doc": f"{doc}_r", "candidates": cands})
-    joined = (docs.withColumn(doc, _doc_key(id_col, text_col)).join(found.hint("merge"), F.col(doc) == F.col(f"{doc}_r"), "left")
-              .withColumn(own, F.when(F.col(cands).isNotNull(), words(F.col(text_col)))))
-    dirty = F.exists(F.col(cands), lambda c: F.size(_verified(c, own)["at"]) > 0)
+    joined = docs.withColumn(doc, _doc_key(id_col, text_col)).join(found.hint("merge"), F.col(doc) == F.col(f"{doc}_r"), "left")
+    dirty = F.size(_hits(F.col(text_col), cands)) > 0
     return joined.filter(~F.coalesce(dirty, F.lit(False))).select(*docs.columns)
 
 
@@ -160,7 +188,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     # the list of candidates grows with the corpus: a merge join at every size, words cut after it
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), _doc_key(id_col, text_col).alias("doc"))
     judged = (rows.join(found.hint("merge"), "doc", "left").withColumn("words", words(F.col("text")))
-              .withColumn("hits", _hits()))
+              .withColumn("hits", F.coalesce(_hits(F.col("text"), "candidates"), F.array())))
     covered = F.array_distinct(F.flatten(F.transform(
         "hits", lambda c: F.flatten(F.transform(c["at"], lambda s: F.sequence(s, s + c["n"] - 1))))))
     ids = F.array_sort(F.array_distinct(F.filter(F.transform("hits", lambda c: c["item_id"]),

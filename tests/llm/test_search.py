@@ -181,6 +181,28 @@ def test_contamination_empty_tables_and_native_plan(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_long_series_of_one_word(spark):
+    """Every diagonal of a long item matches; the work stays linear in their number."""
+    docs = spark.createDataFrame([(1, "so " * 8000), (2, "so " * 9), (3, "x " + "so " * 300 + "y")], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, "so " * 300), (6, "so " * 12 + "end")], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {1: (8000, 2), 2: (0, 0), 3: (300, 2)}
+    assert [r.doc_id for r in decontaminate.keep_clean(docs, bench).collect()] == [2]
+
+
+def test_texts_are_cut_once_outside_the_search(spark):
+    """No lambda over candidates or words may hold the cutting of the text."""
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, "a b c")], "item_id long, text string")
+    for out in (decontaminate.keep_clean(docs, bench), decontaminate.contamination(docs, bench)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        inner = [line for line in plan.splitlines() if "candidates" in line and "lambdafunction" in line]
+        assert inner
+        for line in inner:
+            for body in re.findall(r"lambdafunction\((.*)", line):
+                assert "split(" not in body
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "alpha x x beta"), (2, "alpha x x x x x x beta"), (3, "beta alpha")], "doc_id long, text string")
     keyed = decontaminate._keyed(docs, "doc_id", "text")
