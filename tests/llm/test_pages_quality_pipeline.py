@@ -145,6 +145,6 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
 
 
 def test_registry_names_and_order():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontamination", "tokens"]

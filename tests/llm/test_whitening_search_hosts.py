@@ -1,0 +1,312 @@
+"""Whitening, reversed search and host reputation against brute force."""
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+
+from marginlens.llm import bidiagonal, host_reputation, lexical_search, whitening
+
+SMALL = "/root/testdata/sf0.001"
+
+
+# --- bidiagonal solver ---
+def _matrices():
+    rng = np.random.default_rng(1)
+    turn = np.linalg.qr(rng.standard_normal((40, 40)))[0]
+    yield "random", rng.standard_normal((500, 24))
+    yield "falling", rng.standard_normal((500, 24)) * np.logspace(0, -7, 24)
+    yield "low rank", rng.standard_normal((300, 5)) @ rng.standard_normal((5, 24))
+    yield "few rows", rng.standard_normal((3, 20))
+    yield "identity", np.eye(12)
+    yield "equal values, turned", 3 * turn
+    yield "two groups", turn * np.r_[np.full(20, 5.0), np.ones(20)]
+    yield "nearly equal", turn * np.r_[5 + 1e-9 * np.arange(20), np.ones(20)]
+    yield "repeated columns", np.repeat(rng.standard_normal((50, 4)), 3, axis=1)
+    yield "one column", np.ones((5, 1))
+    yield "graded", np.diag(np.logspace(0, -15, 20)) + np.diag(np.logspace(-1, -15, 19), 1)
+
+
+@pytest.mark.parametrize("name,m", list(_matrices()), ids=lambda v: v if isinstance(v, str) else "")
+def test_singular_values_and_vectors(name, m):
+    n = m.shape[1]
+    r = np.zeros((n, n))
+    top = np.linalg.qr(m, mode="r")
+    r[:len(top)] = top
+    squares, v = bidiagonal.right_singular_vectors(r, 24)
+    want = np.linalg.svd(m, compute_uv=False) ** 2
+    want = np.pad(want, (0, n - len(want)))
+    assert np.abs(squares - want).max() <= 1e-13 * want[0]
+    assert np.abs(v.T @ v - np.eye(v.shape[1])).max() < 1e-11
+    assert np.abs(m.T @ (m @ v) - v * squares[:v.shape[1]]).max() <= 1e-13 * want[0]
+    assert v.shape[1] == min(24, np.sum(want > 1e-20 * want[0]))
+
+
+def test_small_singular_values_are_relatively_accurate():
+    a, b = np.logspace(0, -14, 15), np.logspace(-1, -14, 14)
+    got = np.sqrt(bidiagonal.squared_singular_values(a, b))
+    # the product of all singular values is that of the diagonal, exactly known
+    assert math.isclose(np.sum(np.log(got)), np.sum(np.log(a)), rel_tol=1e-13)
+
+
+def test_no_matrix_is_too_poor():
+    assert bidiagonal.right_singular_vectors(np.zeros((5, 5)), 3)[1].shape == (5, 0)
+
+
+# --- whitening ---
+def _brute_whitening(rows, k=16):
+    ok = [(i, v) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    most = Counter(len(v) for _, v in ok)
+    d = max(most, key=lambda n: (most[n], n))
+    x = [(i, tuple(math.floor(64 * float(c)) + 1_000_000 for c in v)) for i, v in ok if len(v) == d]
+    fit = sorted({v for _, v in x})
+    n, s = len(fit), [sum(col) for col in zip(*fit)]
+    c = np.array([[(n * a - b) / n for a, b in zip(v, s)] for v in fit])
+    e, w = np.linalg.eigh(c.T @ c / n)
+    e, w = e[::-1], w[:, ::-1]
+    k = int(min(k, np.sum(e > 1e-12 * e[0])))
+    out = []
+    for i, v in x:
+        y = np.array([(n * a - b) / n for a, b in zip(v, s)])
+        dev = sum((n * a - b) ** 2 for a, b in zip(v, s))
+        out += [(i, j + 1, n, dev, y @ w[:, j] / math.sqrt(e[j]), e[j] / e.sum()) for j in range(k)]
+    return out
+
+
+def _same_whitening(got, want):
+    assert len(got) == len(want)
+    order = lambda r: (str(r[0]), r[1], abs(r[4]))
+    got, want = sorted((tuple(r) for r in got), key=order), sorted(want, key=order)
+    signs = defaultdict(float)
+    for g, w in zip(got, want):
+        signs[g[1]] += g[4] * w[4]
+    for g, w in zip(got, want):
+        assert g[:4] == w[:4]
+        assert math.isclose(g[4], math.copysign(1, signs[g[1]]) * w[4], rel_tol=1e-6, abs_tol=1e-6)
+        assert math.isclose(g[5], w[5], rel_tol=1e-6) and g[6] < 1e-9
+
+
+def _vectors(n, d, seed=3):
+    rng = np.random.default_rng(seed)
+    return [(k, [float(c) for c in v]) for k, v in enumerate(rng.standard_normal((n, d)) * np.linspace(4, 1, d) ** 2)]
+
+
+def test_whitening_against_brute_force(spark):
+    rows = _vectors(300, 20)
+    rows += [(900 + k, rows[5][1]) for k in range(150)]  # a third is one vector
+    rows += [(5, rows[7][1]), (None, rows[8][1]), (5001, None), (5002, [None] * 20), (5003, [float("nan")] + [0.0] * 19),
+             (5004, [float("inf")] + [0.0] * 19), (5005, []), (5006, [1.0, 2.0]), (5007, [1e30] + [0.0] * 19)]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, x string").repartition(7)
+    want = _brute_whitening([(i, None if v is None else [None if c is None else float(np.float32(c)) for c in v])
+                             for i, v in rows if i != 5007])
+    _same_whitening(whitening.whiten(df).collect(), want)
+
+
+def test_whitening_query_on_the_smallest_tables(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
+    got = whitening.op11_whitening(spark, SMALL)
+    assert dict(got.dtypes) == {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint",
+                                "whitened": "double", "explained": "double", "identity_error": "double"}
+    _same_whitening(got.collect(), _brute_whitening(rows))
+
+
+def test_triangles_are_merged_in_levels(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "FAN", 2)
+    rows = _vectors(60, 6)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(9)
+    _same_whitening(whitening.whiten(df).collect(),
+                    _brute_whitening([(i, [float(np.float32(c)) for c in v]) for i, v in rows]))
+
+
+def test_whitening_of_dependent_and_poor_vectors(spark):
+    """Directions without variance are no components; nothing to fit gives no rows."""
+    df = spark.createDataFrame([(k, [float(k), 2.0 * k, 1.0]) for k in range(9)], "vec_id long, embedding array<float>")
+    assert {r.component for r in whitening.whiten(df).collect()} == {1}
+    for rows in ([], [(1, [1.0, 2.0])] * 3, [(1, []), (2, None)]):
+        assert whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_numbers_beyond_64_bits(spark):
+    model = whitening.Whitening(1 << 40, (0, 0), np.eye(2), np.ones(2), 2.0)
+    x = np.array([[1 << 50, 3], [1, 2]])
+    assert whitening._deviation(x, model)[0] is None
+    assert whitening._numerators(x, model.n, model.sums)[0][0] == 1 << 90
+    assert whitening._centred(x, model.n, model.sums)[0][0] == float(1 << 50)
+
+
+# --- reversed search ---
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _terms(text):
+    return TERM.findall((text or "").translate(LOW))
+
+
+def _brute_search(docs, items, k=10):
+    cut = [(i, Counter(_terms(t))) for i, t in docs]
+    n_docs = sum(bool(c) for _, c in cut)
+    n_terms = sum(c.total() for _, c in cut)
+    df = Counter(t for _, c in cut for t in c)
+    out = []
+    for item_id, text in items:
+        scored = []
+        for doc, c in cut:
+            score = 0
+            for t in set(_terms(text)):
+                if c[t]:
+                    m = 10 + (90 * c.total() * n_docs) // n_terms
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += w * ((10 ** 9 * c[t]) // (1000 * c[t] + 8 * m))
+            if score > 0:
+                scored.append((-score, doc is None, doc, score))
+        out += [(item_id, r + 1, doc, score) for r, (_, _, doc, score) in
+                enumerate(sorted(scored, key=lambda s: s[:2] + (s[2] or 0,))[:k])]
+    return out
+
+
+def _search_case():
+    rnd = random.Random(5)
+    vocabulary = [rnd.choice("abcÀéßあ") + str(k) for k in range(60)]
+    text = lambda n: rnd.choice([" ", ", ", "_", "\x7f"]).join(rnd.choices(vocabulary, range(60, 0, -1), k=n))
+    docs = [(k, text(rnd.randrange(1, 40))) for k in range(150)]
+    docs += [(1000 + k, docs[3][1]) for k in range(80)]  # a third is one text: ties
+    docs += [(4, docs[3][1].upper()), (None, docs[3][1]), (-7, docs[3][1]), (2000, None), (2001, ""), (2002, " .,_"),
+             (2003, "zq " * 500), (2004, "x" * 5000)]
+    items = [(k, text(rnd.randrange(1, 30))) for k in range(15)]
+    items += [(3, docs[3][1]), (None, "zq zq zq"), (77, None), (78, ""), (79, "nowhere"), (80, docs[3][1])]
+    return docs, items
+
+
+@pytest.mark.parametrize("block", [10 ** 6, 40])
+def test_search_against_brute_force(spark, block, monkeypatch):
+    monkeypatch.setattr(lexical_search, "PIECE", 100)
+    docs, items = _search_case()
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, item string").repartition(6)
+    bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, score string")
+    got = lexical_search.reversed_search(df, bench, block_postings=block)
+    assert got.dtypes == [("item_id", "bigint"), ("rank", "int"), ("doc_id", "bigint"), ("score", "bigint")]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(_brute_search(docs, items), key=key)
+
+
+def test_search_of_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert lexical_search.reversed_search(docs.limit(0), items).collect() == []
+    assert lexical_search.reversed_search(docs, items.limit(0)).collect() == []
+
+
+def test_terms_of_long_texts_are_not_cut(monkeypatch):
+    monkeypatch.setattr(lexical_search, "PIECE", 7)
+    for text in ["", "a", "aaaaaaaaaaaaaaaaaaaaa bb", "Aé-bé_C1  d" * 9, " " * 30, "é" * 50 + " x"]:
+        assert lexical_search.term_counts(text.encode()) == Counter(t.encode() for t in _terms(text))
+
+
+def test_heaps_are_bounded_and_break_ties_by_id():
+    heaps = lexical_search.Heaps(1, 3)
+    for ids in ([9, None, 4], [8, 2, None], [1, 7, 3]):
+        heaps.update(np.array([[5], [5], [5]]), ids)
+    assert sorted(d for _, d, _ in heaps.rows()) == [1, 2, 3]
+
+
+# --- host reputation ---
+def _tables(spark, con, urls, labels):
+    pages = spark.createDataFrame([(i, u, "h") for i, u in urls], "page_id long, url string, host string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    con.register("pages", pages.toPandas())
+    con.register("labels", marks.toPandas().astype("Int64"))
+    return pages, marks
+
+
+def _urls(seed=2):
+    rnd = random.Random(seed)
+    urls, labels = [], []
+    bad = {"bad.example.com", "worse.example.net"}
+    hosts = [f"h{k}.example.{s}" for k in range(25) for s in ("com", "net", "org")] + ["big.co.uk", "a.big.co.uk", "10.0.0.1:80"] + sorted(bad) * 9
+    for k in range(900):
+        host = "hot.example.net" if k % 3 == 0 else rnd.choice(hosts)
+        urls.append((k, f"http://{host.upper() if k % 7 == 0 else host}/{rnd.choice(['en', 'fr', 'de', 'es'])}/{k}?q#x"))
+        if rnd.random() < .5:
+            good = rnd.random() < (.02 if host in bad else .9)
+            labels.append((k, int(good), rnd.choice([0, 0, None]) if good else 1))
+    return urls, labels
+
+
+def test_host_and_path(spark):
+    urls = ["http://A.Example.ORG/es/x?y#z", "https://b.com", "c.com/x", None, "", "x://h?q/p", "x://h#f/p", "a://b://c/d", "x://É.Com//e"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = [tuple(r) for r in df.select(host_reputation.url_host("url"), host_reputation.url_path("url")).collect()]
+    assert got == [("a.example.org", "/es/x"), ("b.com", ""), ("", ""), ("", ""), ("", ""), ("h", ""), ("h", ""), ("b:", "//c/d"), ("É.com", "//e")]
+
+
+def test_registered_domains(spark):
+    hosts = ["a.b.example.com", "example.com", "com", "x.a.co.uk", "co.uk", "u@w.a.net:80", "10.0.0.1:8", ""]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = [tuple(r.r) for r in df.select(host_reputation.registered(df.host).alias("r")).collect()]
+    assert got == [("example.com", "com"), ("example.com", "com"), ("com", "com"), ("a.co.uk", "co.uk"), ("co.uk", "co.uk"),
+                   ("a.net", "net"), ("10.0.0.1", ""), ("", "")]
+
+
+def test_rules_longest_wins(spark):
+    rules = [*host_reputation.RULES, ("allow", "b.example.org", "/es/ok"), ("block", "b.example.org", "/es/ok")]
+    df = spark.createDataFrame([("b.example.org", "/es/ok1"), ("b.example.org", "/es/x"), ("b.example.org", "/en/1"), ("example.org", "/"),
+                                ("notexample.org", "/es/"), ("x.com", "/de/"), ("x.com", "/fr/"), ("com", "/fr/"), ("x.net", "/fr/"),
+                                ("x.org", "")], "host string, path string")
+    got = [tuple(r.f or (None, None)) for r in df.select(host_reputation.fitting_rule(df.host, df.path, rules).alias("f")).collect()]
+    assert got == [("b.example.org/es/ok", "block"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("org/", "allow"),
+                   ("org/", "allow"), ("com/de/", "block"), ("com/fr/", "allow"), ("com/fr/", "allow"), (None, None), (None, None)]
+
+
+def test_verdicts_against_sql_and_bad_hosts(spark):
+    urls, labels = _urls()
+    urls += [(5, urls[6][1]), (None, urls[7][1]), (990, None), (991, "no scheme"), (992, "x://"), (6, urls[6][1])]
+    labels += [(6, 0, None), (6, 1, 0), (None, 1, 1), (4000, 1, 0), (8, None, None)]
+    with duckdb.connect() as con:
+        pages, marks = _tables(spark, con, urls, labels)
+        out = host_reputation.judge_urls(pages, marks)
+        got = [tuple(r) for r in out.collect()]
+        assert out.columns == ["page_id", "host", "path", "rule", "verdict"]
+        key = lambda r: tuple(map(str, r))
+        want = con.execute(host_reputation.SQL).fetchall()
+        assert sorted(got, key=key) == sorted([tuple(None if v != v else v for v in r) for r in want], key=key)
+    judged = {(h, v) for _, h, _, rule, v in got if rule is None}
+    assert ("bad.example.com", "block") in judged and ("worse.example.net", "block") in judged
+    assert {h for h, v in judged if v == "block"} == {"bad.example.com", "worse.example.net"}
+
+
+def test_small_hosts_shrink_to_their_domain(spark):
+    """One bad page does not block a host of a good domain; many do."""
+    pages = [(k, f"x{k % 40}.good.net") for k in range(400)] + [(1000, "new.good.net")] + [(2000 + k, "rot.good.net") for k in range(60)]
+    outcomes = [(k, 1) for k in range(400)] + [(1000, 0)] + [(2000 + k, 0) for k in range(60)]
+    rates = host_reputation.host_reputation(spark.createDataFrame(pages, "page_id long, host string"),
+                                            spark.createDataFrame(outcomes, "page_id long, good int"))
+    got = {r.host: r for r in rates.collect()}
+    assert not got["new.good.net"].blocked and got["rot.good.net"].blocked and not got["x1.good.net"].blocked
+    assert got["rot.good.net"].mean < got["new.good.net"].mean < got["x1.good.net"].mean
+    assert got["x1.good.net"].domain == "good.net" and got["x1.good.net"].n == 10
+
+
+def test_hot_and_cold_hosts_agree(spark, monkeypatch):
+    urls, labels = _urls(9)
+    out = []
+    for support in (0.0, 0.002, 2.0):
+        monkeypatch.setattr(host_reputation.join_split, "__defaults__", (support,))
+        with duckdb.connect() as con:
+            out.append(sorted(map(str, host_reputation.judge_urls(*_tables(spark, con, urls, labels)).collect())))
+    assert out[0] == out[1] == out[2] and len(out[0]) == 900
+
+
+def test_hosts_without_labels_or_pages(spark):
+    with duckdb.connect() as con:
+        pages, marks = _tables(spark, con, [(1, "http://a.net/x"), (2, None)], [(9, 1, 0)])
+    assert {r.verdict for r in host_reputation.judge_urls(pages, marks.limit(0)).collect()} == {"allow"}
+    assert host_reputation.judge_urls(pages.limit(0), marks).collect() == []
+
+
+def test_host_plan_is_native(spark):
+    plan = host_reputation.op13_host_reputation(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
