@@ -13,6 +13,16 @@ def fact_day(silver: DataFrame) -> DataFrame:
     return silver.select("route_date_key", date_key("date").alias("date_key"), "route_id", *FACT_MEASURES)
 
 
+def by_month(fact: DataFrame) -> DataFrame:
+    """The day fact with the month it is stored under."""
+    return fact.withColumn("month_key", month_key(key_year("date_key"), key_month("date_key")))
+
+
+def month_groups(rows: DataFrame) -> DataFrame:
+    """The (route, month) groups of day rows."""
+    return by_month(rows).select("route_id", "month_key").distinct()
+
+
 def _sum(c: str):
     # integer measures sum exactly; doubles go through exact decimals so the
     # result does not depend on partitioning or task order

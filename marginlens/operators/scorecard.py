@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from marginlens.functions.joins import join_checked
 from marginlens.functions.quantiles import group_medians, nested_medians
+from marginlens.functions.value_counts import ROWS, Counts
 
 # --- fixed values: thresholds and tier labels ---
 BELOW_PEER_THRESHOLD = 0.70
@@ -110,3 +111,34 @@ def scorecard(days: DataFrame, spec: ScorecardSpec = ScorecardSpec()) -> DataFra
 
 def scorecard_from_star(fact: DataFrame, dim: DataFrame, spec: ScorecardSpec = ScorecardSpec()) -> DataFrame:
     return scorecard(with_cohort(fact, dim, spec), spec)
+
+
+def counted_measures(spec: ScorecardSpec = ScorecardSpec()) -> list[str]:
+    """The measures whose value counts the maintained scorecard needs."""
+    return [spec.margin, spec.unit_profit, spec.profit]
+
+
+def scorecard_from_counts(counts: Counts, spec: ScorecardSpec = ScorecardSpec()) -> DataFrame:
+    """The same verdicts from maintained value counts: no day row is read.
+
+    ``require_both`` asks for two measures of the same day, which counts of
+    single measures cannot answer.
+    """
+    if spec.require_both:
+        raise ValueError("require_both needs the days: use scorecard()")
+    bench, meds, cells = counts.medians(
+        {"cohort_median_margin": spec.margin, "cohort_median_profit_per_stop": spec.unit_profit},
+        {"median_margin_pct": spec.margin, "median_profit_per_stop": spec.unit_profit,
+         "median_gross_profit": spec.profit})
+    # a negative value lies in a negative range
+    losses = F.sum(F.when((F.col("_m") == spec.profit) & (F.col("_b") < 0), F.col("_n")).otherwise(F.lit(0)))
+    known = F.sum(F.when(F.col("_m") == spec.profit, F.col("_n")).otherwise(F.lit(0)))
+    days = counts.totals.groupBy(spec.entity, spec.cohort).agg(
+        F.sum(F.when(F.col("_m") == ROWS, F.col("_n")).otherwise(F.lit(0))).alias("n_days"),
+        losses.alias("_losses"), known.alias("_profits"))
+    below = counts.rows_below(spec.margin, bench, "cohort_median_margin", cells)
+    profile = (join_checked(days.filter("n_days > 0"), bench, spec.cohort, "left")
+               .join(meds, [spec.entity, spec.cohort], "left").join(below, spec.entity, "left")
+               .withColumns({"loss_day_rate": F.try_divide(F.col("_losses"), F.col("_profits")),
+                             "pct_days_below_peer": F.try_divide(F.col("_below"), F.col("_known"))}))
+    return classify(profile, spec)

@@ -9,15 +9,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marginlens.operators import facts
+from marginlens.operators import facts, quality
+from marginlens.operators.clean import ROW_ID
+from marginlens.operators.history import append_run
 from marginlens.plans import pipeline
+from marginlens.plans.load import load
 from marginlens.session import scratch_path
-from marginlens.sources.driver import route_day_bronze
+from marginlens.sources.driver import SOURCE_TABLES, route_day_bronze
 from marginlens.sources.tables import source_state, table_exists
 
-SOURCES = ["lineitem", "supplier", "nation", "region", "part"]
-
 
 @dataclass
 class Layers:
@@ -26,7 +28,7 @@ class Layers:
 
     def table(self, name: str) -> DataFrame:
         """A table as the pipeline wrote it."""
-        return self.spark.read.parquet(self.path(name))
+        return pipeline.read_layer(self.spark, self.root, name)
 
     def path(self, name: str) -> str:
         return pipeline.table_paths(self.root)[name]
@@ -79,7 +81,7 @@ _LAKEHOUSES: dict[tuple, Layers] = {}
 
 def lakehouse(spark: SparkSession, sf_dir: str) -> Layers:
     """Bronze to facts written once per session and state of the source files."""
-    key = (spark.sparkContext.applicationId, sf_dir, source_state(spark, sf_dir, SOURCES))
+    key = (spark.sparkContext.applicationId, sf_dir, source_state(spark, sf_dir, SOURCE_TABLES))
     known = _LAKEHOUSES.get(key)
     if known is None or not table_exists(spark, known.path("fact_route_month")):  # new, or scratch was cleaned up
         root = scratch_path(spark, "lakehouse")
@@ -91,5 +93,41 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Layers:
     return known
 
 
+#: The raw rows come in loads by date; the last load's keys reach back into earlier months.
+LOADS = ((None, "1998-01-01"), ("1998-01-01", "2000-01-01"), ("2000-01-01", None))
+_LOADED: dict[tuple, Layers] = {}
+
+
+def load_rows(raw: DataFrame, since: str | None, before: str | None) -> DataFrame:
+    out = raw if since is None else raw.filter(F.col("date") >= F.lit(since).cast("date"))
+    return out if before is None else out.filter(F.col("date") < F.lit(before).cast("date"))
+
+
+def loaded_lakehouse(spark: SparkSession, sf_dir: str) -> Layers:
+    """The same rows brought in by incremental loads, once per session and source.
+
+    After every load its quality figures join the run history.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, source_state(spark, sf_dir, SOURCE_TABLES))
+    known = _LOADED.get(key)
+    if known is None or not table_exists(spark, known.path("fact_route_month")):
+        root = scratch_path(spark, "loaded")
+        raw = lakehouse(spark, sf_dir).bronze.drop(ROW_ID)
+        known = Layers(spark, root)
+        for n, (since, before) in enumerate(LOADS):
+            load(spark, root, load_rows(raw, since, before), f"{n:04d}")
+            append_run(spark, history_path(root), n, run_metrics(known))
+        _LOADED[key] = known
+    return known
+
+
+def history_path(root: str) -> str:
+    return f"{root.rstrip('/')}/gold/quality_history"
+
+
+def run_metrics(layers: Layers) -> DataFrame:
+    return quality.headline_metrics(layers.silver, layers.quarantine, layers.fact_day, layers.scorecard())
+
+
 # registered queries read the written layers
 build = lakehouse

@@ -4,8 +4,10 @@ from __future__ import annotations
 import zlib
 
 from marginlens.plans.oracle_sql import with_chain
+from marginlens.plans.pipeline import CONTRACTS
+from marginlens.sources.catalog import declared
 from marginlens.sources.schemas import COST_COMPONENTS as COMPONENTS
-from marginlens.sources.schemas import INT_MEASURES, ROUTE_ATTRS, SOURCE_COLUMNS, SUM_MEASURES
+from marginlens.sources.schemas import INT_MEASURES, PARTITIONS, ROUTE_ATTRS, SOURCE_COLUMNS, SUM_MEASURES
 
 ORACLE: dict[str, str] = {}
 
@@ -127,7 +129,7 @@ _avgs = ", ".join(f"{AVGC(c)} AS avg_{c}" for c in COMPONENTS)
 sql("cost_avg_by_day_type", f"SELECT {DAY_TYPE} AS day_type, {AVGC('total_revenue')} AS avg_revenue, {_avgs} FROM days GROUP BY 1")
 _long = " UNION ALL ".join(
     f"SELECT {DAY_TYPE} AS day_type, total_cost, '{c}' AS cost_component, {c} AS v FROM days" for c in COMPONENTS)
-sql("cost_drivers", f"""SELECT cost_component,
+_drivers = f"""SELECT cost_component,
   {SUMC("CASE WHEN day_type = 'loss day' THEN v END")} * 100
      / NULLIF({SUMC("CASE WHEN day_type = 'loss day' THEN total_cost END")}, 0) AS loss_day_share_pct,
   {SUMC("CASE WHEN day_type = 'profitable day' THEN v END")} * 100
@@ -136,14 +138,16 @@ sql("cost_drivers", f"""SELECT cost_component,
      / NULLIF(CAST(count(CASE WHEN day_type = 'loss day' THEN v END) AS DOUBLE), 0) / 1000000.0 AS loss_day_avg_gbp,
   {SUMC("CASE WHEN day_type = 'profitable day' THEN v END")}
      / NULLIF(CAST(count(CASE WHEN day_type = 'profitable day' THEN v END) AS DOUBLE), 0) / 1000000.0 AS profit_day_avg_gbp
-  FROM ({_long}) t GROUP BY cost_component""")
+  FROM ({_long}) t GROUP BY cost_component"""
+sql("cost_drivers", _drivers)
 DATED = "dated AS (SELECT d.*, dd.year AS year, dd.quarter AS quarter FROM days d JOIN dim_date dd USING (date_key))"
 _trend = f"{RATIO('gross_profit', 'total_revenue')} AS margin_pct, avg(CAST(gross_profit < 0 AS INTEGER)) * 100 AS loss_day_rate_pct"
 sql("trend_year", f"SELECT year, {_trend} FROM dated GROUP BY year", ctes=(DATED,))
 sql("trend_quarter", f"SELECT year, quarter, {_trend} FROM dated GROUP BY year, quarter", ctes=(DATED,))
-sql("margin_trend", f"""SELECT CASE WHEN GROUPING(quarter) = 1 THEN 'year' ELSE 'quarter' END AS period_type,
+_margin_trend = f"""SELECT CASE WHEN GROUPING(quarter) = 1 THEN 'year' ELSE 'quarter' END AS period_type,
   CASE WHEN GROUPING(quarter) = 1 THEN CAST(year AS VARCHAR) ELSE CAST(year AS VARCHAR) || ' ' || quarter END AS period,
-  {_trend} FROM dated GROUP BY GROUPING SETS ((year), (year, quarter))""", ctes=(DATED,))
+  {_trend} FROM dated GROUP BY GROUPING SETS ((year), (year, quarter))"""
+sql("margin_trend", _margin_trend, ctes=(DATED,))
 
 _UPS = """first_load AS (SELECT route_date_key, route_id, date, total_revenue, gross_profit, 1 AS _batch
                     FROM silver WHERE date < DATE '1998-01-01'),
@@ -219,3 +223,114 @@ sql("order_margin_trend", f"""SELECT *, CAST(row_number() OVER (ORDER BY period_
     {_trend} FROM dated GROUP BY GROUPING SETS ((year), (year, quarter)))""", ctes=(DATED,))
 sql("order_underperforming", f"""SELECT CAST(row_number() OVER (ORDER BY loss_day_rate DESC, route_id) AS INTEGER) AS position,
   route_id, tier FROM (SELECT {_export} FROM scorecard WHERE tier_code <> 0)""", scorecard=True)
+
+# --- incremental loads, compaction, resumed run ---
+sql("load_silver", "SELECT * FROM silver")
+sql("load_quarantine", "SELECT route_date_key, route_id, date, _source_seq, total_revenue, _reject_reason FROM quarantine")
+sql("load_fact_day", "SELECT * FROM fact_day")
+sql("load_fact_month", "SELECT * FROM fact_month", ctes=(FACT_MONTH,))
+sql("load_scorecard", "SELECT * FROM scorecard", scorecard=True)
+sql("compacted_month", "SELECT * FROM fact_month", ctes=(FACT_MONTH,))
+_ROWS = {"bronze": "bronze", "silver": "silver", "quarantine": "quarantine", "dim_route": "dim_route", "dim_date": "dim_date",
+         "fact_route_day": "fact_day", "fact_route_month": "fact_month", "route_scorecard": "scorecard"}
+sql("resumed_run", " UNION ALL ".join(f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {cte}) AS row_count" for t, cte in _ROWS.items()),
+    scorecard=True, ctes=(FACT_MONTH,))
+
+# --- run history: the figures after each load, from the rows it had seen ---
+_AFTER = {0: "DATE '1998-01-01'", 1: "DATE '2000-01-01'", 2: "DATE '9999-01-01'"}
+
+
+def _run_figures(run: int) -> list[str]:
+    """CTEs of one run: the same chain over the rows that had come in by then."""
+    return [f"""seen{run} AS (
+  SELECT *, row_number() OVER (PARTITION BY route_date_key ORDER BY _ingested_at DESC NULLS LAST, _source_seq DESC NULLS LAST) AS _rn
+  FROM bronze WHERE date < {_AFTER[run]}
+)""", f"""silver{run} AS (
+  SELECT s.* FROM (
+    SELECT *, gross_profit * 100 / NULLIF(total_revenue, 0) AS gross_margin_pct, gross_profit / NULLIF(completed_stops, 0) AS profit_per_stop,
+      (abs(total_cost - total_cost_src) > 0.02) OR (abs(net_revenue - net_revenue_src) > 0.02)
+        OR (abs(gross_profit - gross_profit_src) > 0.02) AS recon_flag,
+      (completed_stops IS NULL OR completed_stops = 0) OR (total_distance_km IS NULL OR total_distance_km = 0)
+        OR (total_tonnes IS NULL OR total_tonnes = 0) OR (total_stops IS NULL OR total_stops = 0) AS metric_null_flag,
+      concat_ws(' | ', primary_waste_stream, primary_customer_segment) AS cohort_key
+    FROM (SELECT *, total_revenue - disposal_cost AS net_revenue, total_revenue - total_cost AS gross_profit
+          FROM (SELECT * EXCLUDE (total_cost, net_revenue, gross_profit, gross_margin_pct), total_cost AS total_cost_src,
+                       net_revenue AS net_revenue_src, gross_profit AS gross_profit_src,
+                       disposal_cost + fuel_cost + labour_cost + maintenance_cost + admin_cost AS total_cost
+                FROM seen{run} WHERE route_date_key IS NOT NULL AND _rn = 1))) s
+)""", f"""cohort{run} AS (
+  SELECT cohort_key, quantile_disc(gross_margin_pct, 0.5) AS m FROM silver{run} GROUP BY cohort_key
+)""", f"""routes{run} AS (
+  SELECT route_id, quantile_disc(gross_profit, 0.5) < 0 OR avg(CAST(gross_profit < 0 AS INTEGER)) > 0.5 AS loss_making,
+         avg(CAST(gross_margin_pct < m AS INTEGER)) > 0.7 AS below
+  FROM silver{run} JOIN cohort{run} USING (cohort_key) GROUP BY route_id
+)""", f"""figures{run} AS (
+  SELECT {run} AS run_no, unnest(['silver_rows', 'recon_mismatch_rows', 'metric_null_rows', 'quarantine_rows', 'loss_days',
+                                  'total_revenue', 'routes', 'below_peer', 'tier1', 'tier2']) AS metric,
+         unnest([silver_rows, recon, metric_null, n_seen - silver_rows, loss_days, revenue, n_routes, below, tier1, tier2]) AS value
+  FROM (SELECT count(*)::DOUBLE AS silver_rows, count_if(recon_flag)::DOUBLE AS recon, count_if(metric_null_flag)::DOUBLE AS metric_null,
+               count_if(gross_profit < 0)::DOUBLE AS loss_days, {SUMC('total_revenue')} / 1000000.0 AS revenue FROM silver{run}),
+       (SELECT count(*)::DOUBLE AS n_seen FROM seen{run}),
+       (SELECT count(*)::DOUBLE AS n_routes, count_if(below)::DOUBLE AS below, count_if(coalesce(loss_making, false))::DOUBLE AS tier1,
+               count_if(NOT coalesce(loss_making, false) AND below)::DOUBLE AS tier2 FROM routes{run})
+)"""]
+
+
+_RUNS = tuple(c for run in _AFTER for c in _run_figures(run))
+sql("run_drift", """SELECT run_no, metric, previous, value, value - previous AS change, allowed,
+  CASE WHEN previous IS NOT NULL THEN abs(value - previous) > allowed END AS drifted
+  FROM (SELECT *, greatest(a, abs(previous) * r) AS allowed FROM (
+    SELECT run_no, metric, value,
+      CASE WHEN run_no > 0 THEN lag(value) OVER (PARTITION BY metric ORDER BY run_no)
+           ELSE CASE metric WHEN 'routes' THEN 120::DOUBLE WHEN 'below_peer' THEN 22 WHEN 'tier1' THEN 4 WHEN 'tier2' THEN 18 END END AS previous,
+      CASE metric WHEN 'routes' THEN 2::DOUBLE WHEN 'quarantine_rows' THEN 10 ELSE 0 END AS a,
+      CASE metric WHEN 'silver_rows' THEN 1::DOUBLE WHEN 'total_revenue' THEN 1 WHEN 'quarantine_rows' THEN 0.5::DOUBLE ELSE 0 END AS r
+    FROM (SELECT * FROM figures0 UNION ALL SELECT * FROM figures1 UNION ALL SELECT * FROM figures2)))""", ctes=_RUNS)
+
+
+# --- published files: header, order and number format ---
+def _file(name: str, rows: str, columns: list[str], order: str) -> str:
+    line = " || ',' || ".join(f"CAST({c} AS VARCHAR)" for c in columns)
+    return f"""SELECT '{name}' AS report, 0 AS position, '{",".join(c.split(".")[-1] for c in columns)}' AS line
+  UNION ALL SELECT '{name}', CAST(row_number() OVER (ORDER BY {order}) AS INTEGER), {line} FROM ({rows})"""
+
+
+def _whole(x: str) -> str:
+    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), 0) AS BIGINT)"
+
+
+_components = "[" + ", ".join(f"'{c}'" for c in COMPONENTS) + "]"
+_published = [
+    _file("waste_stream_margins", f"""SELECT primary_waste_stream, {RND('m', 2)} AS median_margin_pct, route_days, m FROM (
+      SELECT primary_waste_stream, quantile_disc(gross_margin_pct, 0.5) AS m, count(*) AS route_days FROM days GROUP BY 1)""",
+          ["primary_waste_stream", "median_margin_pct", "route_days"], "m, primary_waste_stream"),
+    _file("cohort_margins", f"""SELECT cohort_key, {RND('m', 2)} AS cohort_median_margin, route_days, m FROM (
+      SELECT cohort_key, quantile_disc(gross_margin_pct, 0.5) AS m, count(*) AS route_days FROM days GROUP BY 1)""",
+          ["cohort_key", "cohort_median_margin", "route_days"], "m, cohort_key"),
+    _file("cost_drivers", f"""SELECT cost_component, {RND('loss_day_share_pct', 1)} AS loss_day_share_pct,
+      {RND('profit_day_share_pct', 1)} AS profit_day_share_pct, {_whole('loss_day_avg_gbp')} AS loss_day_avg_gbp,
+      {_whole('profit_day_avg_gbp')} AS profit_day_avg_gbp FROM drivers""",
+          ["cost_component", "loss_day_share_pct", "profit_day_share_pct", "loss_day_avg_gbp", "profit_day_avg_gbp"],
+          f"list_position({_components}, cost_component)"),
+    _file("margin_trend", f"SELECT period_type, period, {RND('margin_pct', 1)} AS margin_pct, {RND('loss_day_rate_pct', 1)} AS loss_day_rate_pct FROM trend",
+          ["period_type", "period", "margin_pct", "loss_day_rate_pct"], "period_type DESC, period"),
+]
+
+
+sql("published_reports", " UNION ALL ".join(_published),
+    ctes=(DATED, f"drivers AS ({_drivers})", f"trend AS ({_margin_trend})"))
+
+
+# --- catalog: what is declared is what the files hold ---
+def _declared() -> str:
+    out = []
+    for name, contract in CONTRACTS.items():
+        for f in declared(name, contract).fields:
+            part = f.name in PARTITIONS.get(name, [])
+            kind = f.dataType.simpleString()
+            out.append(f"('{name}', '{f.name}', '{kind}', '{'partition' if part else kind}', {not f.nullable}, {part}, 0::BIGINT, true)")
+    return ", ".join(out)
+
+
+ORACLE["catalog_contract"] = f"""SELECT * FROM (VALUES {_declared()}) AS t(table_name, column_name, declared_type, stored_type,
+  required, is_partition, nulls, holds)"""

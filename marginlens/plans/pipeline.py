@@ -19,18 +19,22 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from marginlens.operators import clean, dims, facts, reports
 from marginlens.operators.scorecard import scorecard_from_star
 from marginlens.session import get_spark, scratch_path
+from marginlens.sinks.publish import publish_csv, published_rows
 from marginlens.sinks.upsert import upsert
 from marginlens.sinks.writers import export_csv, overwrite, write_clustered
-from marginlens.sources.driver import route_day_bronze
+from marginlens.plans.runs import RunLog
+from marginlens.sources.driver import SOURCE_TABLES, route_day_bronze
 from marginlens.sources.ingest import ingest
 from marginlens.sources.schemas import (
     COST_COMPONENTS, DIM_DATE_SCHEMA, DIM_ROUTE_SCHEMA, FACT_DAY_SCHEMA, FACT_MONTH_SCHEMA, KEY_COLUMNS,
-    SCORECARD_SCHEMA, assert_not_null, assert_schema,
+    PARTITIONS, SCORECARD_SCHEMA, assert_not_null, assert_schema,
 )
+from marginlens.sources.tables import source_state, table_state
 
 log = logging.getLogger("marginlens.pipeline")
 
@@ -47,6 +51,32 @@ TABLES = {
 }
 
 
+CONTRACTS = {
+    "dim_route": DIM_ROUTE_SCHEMA,
+    "dim_date": DIM_DATE_SCHEMA,
+    "fact_route_day": FACT_DAY_SCHEMA,
+    "fact_route_month": FACT_MONTH_SCHEMA,
+    "route_scorecard": SCORECARD_SCHEMA,
+}
+
+
+def read_layer(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """A written table in its contract's columns (a partition column beside the
+    contract still prunes the scan: filter on it through ``stored_layer``)."""
+    table = stored_layer(spark, out, name)
+    return table.select(*CONTRACTS[name].names) if name in CONTRACTS else table
+
+
+def stored_layer(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """A written table with all its stored columns."""
+    path = table_paths(out)[name]
+    if name not in CONTRACTS:
+        return spark.read.parquet(path)
+    beside = [c for c in PARTITIONS.get(name, []) if c not in CONTRACTS[name].names]
+    schema = StructType(list(CONTRACTS[name].fields) + [StructField(c, IntegerType()) for c in beside])
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def _rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
@@ -54,9 +84,8 @@ def _rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 def export_reports(spark: SparkSession, out: str, reports_dir: str) -> None:
     """The published CSV artefacts. Reports bounded by category counts go to
     one file each; per-route exports stay distributed (they grow with routes)."""
-    read = spark.read.parquet
-    fact_day, dim_route = read(f"{out}/{TABLES['fact_route_day']}"), read(f"{out}/{TABLES['dim_route']}")
-    dim_date, card = read(f"{out}/{TABLES['dim_date']}"), read(f"{out}/{TABLES['route_scorecard']}")
+    fact_day, dim_route, dim_date, card = (
+        read_layer(spark, out, name) for name in ("fact_route_day", "dim_route", "dim_date", "route_scorecard"))
     days = fact_day.join(dim_route, "route_id")
     dated = days.join(dim_date.select("date_key", "year", "quarter"), "date_key")
     # presentation rounding of the published artefacts (queries stay unrounded)
@@ -74,6 +103,30 @@ def export_reports(spark: SparkSession, out: str, reports_dir: str) -> None:
     export_csv(reports.underperforming_export(card), f"{reports_dir}/underperforming_routes")
 
 
+def publish_reports(spark: SparkSession, out: str, folder: str) -> list[str]:
+    """The six published files, each under its name (see :mod:`marginlens.sinks.publish`)."""
+    fact_day, dim_route, dim_date, card = (
+        read_layer(spark, out, name) for name in ("fact_route_day", "dim_route", "dim_date", "route_scorecard"))
+    days = fact_day.join(dim_route, "route_id")
+    dated = days.join(dim_date.select("date_key", "year", "quarter"), "date_key")
+    in_order = F.array_position(F.array(*[F.lit(c) for c in COST_COMPONENTS]), F.col("cost_component"))
+    per_route = {"median_margin_pct": 2, "cohort_median_margin": 2, "pct_days_below_peer": 3, "loss_day_rate": 3}
+    # name -> (rows in order, digits, one file)
+    files = {
+        "waste_stream_margins": (reports.stream_medians(days), {"median_margin_pct": 2}, True),
+        "cohort_margins": (reports.cohort_medians(days), {"cohort_median_margin": 2}, True),
+        "cost_drivers": (reports.cost_drivers(days).orderBy(in_order), {
+            "loss_day_share_pct": 1, "profit_day_share_pct": 1, "loss_day_avg_gbp": 0, "profit_day_avg_gbp": 0}, True),
+        "margin_trend": (reports.margin_trend(dated), {"margin_pct": 1, "loss_day_rate_pct": 1}, True),
+        "route_scorecard": (reports.scorecard_export(card), per_route, False),
+        "underperforming_routes": (reports.underperforming_export(card), per_route, False),
+    }
+    names = []
+    for name, (rows, digits, one) in files.items():
+        names += publish_csv(published_rows(rows, digits), folder, name, one)
+    return names
+
+
 def table_paths(out: str) -> dict[str, str]:
     return {k: f"{out.rstrip('/')}/{v}" for k, v in TABLES.items()}
 
@@ -89,9 +142,10 @@ def silver_layer(spark: SparkSession, out: str) -> None:
     """Clean rows upserted into Silver; every other Bronze row into the quarantine."""
     p = table_paths(out)
     bronze = spark.read.parquet(p["bronze"])
-    winners = clean.clean_rows(bronze, DEDUP_KEY, clean.DEDUP_ORDER, KEY_COLUMNS)
-    upsert(spark, clean.silver(winners), p["silver"], [DEDUP_KEY], check_unique=False)  # unique by construction
-    overwrite(clean.quarantine_rows(bronze, DEDUP_KEY, clean.DEDUP_ORDER, required=KEY_COLUMNS), p["quarantine"])
+    winners, rejects = clean.split_latest(bronze, DEDUP_KEY, clean.DEDUP_ORDER, required=KEY_COLUMNS)
+    upsert(spark, clean.silver(winners), p["silver"], [DEDUP_KEY], PARTITIONS["silver"],
+           check_unique=False)  # unique by construction
+    overwrite(rejects, p["quarantine"])
 
 
 def dims_layer(spark: SparkSession, out: str, check_hierarchy: bool = True) -> None:
@@ -106,32 +160,54 @@ def dims_layer(spark: SparkSession, out: str, check_hierarchy: bool = True) -> N
 
 
 def facts_layer(spark: SparkSession, out: str) -> None:
-    """The day fact, then the month fact clustered inside its regions."""
+    """The day fact by month, then the month fact clustered inside its regions."""
     p = table_paths(out)
     day = assert_schema(facts.fact_day(spark.read.parquet(p["silver"])), FACT_DAY_SCHEMA)
-    upsert(spark, assert_not_null(day, FACT_DAY_SCHEMA), p["fact_route_day"], [DEDUP_KEY], check_unique=False)
-    month = facts.fact_month(spark.read.parquet(p["fact_route_day"]), spark.read.parquet(p["dim_route"]))
-    write_clustered(assert_schema(month, FACT_MONTH_SCHEMA), p["fact_route_month"], ["region"], ["bu", "area"],
-                    tie_break=["route_id", "month_key"])
+    upsert(spark, facts.by_month(assert_not_null(day, FACT_DAY_SCHEMA)), p["fact_route_day"], [DEDUP_KEY],
+           PARTITIONS["fact_route_day"], check_unique=False)
+    month = facts.fact_month(read_layer(spark, out, "fact_route_day"), spark.read.parquet(p["dim_route"]))
+    write_clustered(assert_schema(month, FACT_MONTH_SCHEMA), p["fact_route_month"], PARTITIONS["fact_route_month"],
+                    ["bu", "area"], tie_break=["route_id", "month_key"])
 
 
 def scorecard_layer(spark: SparkSession, out: str) -> None:
     p = table_paths(out)
-    card = scorecard_from_star(spark.read.parquet(p["fact_route_day"]), spark.read.parquet(p["dim_route"]))
+    card = scorecard_from_star(read_layer(spark, out, "fact_route_day"), read_layer(spark, out, "dim_route"))
     upsert(spark, assert_schema(card, SCORECARD_SCHEMA), p["route_scorecard"], ["route_id"], check_unique=False)
 
 
+#: What each layer reads and writes, by table.
+LAYER_TABLES = {
+    "bronze": ((), ("bronze",)),
+    "silver": (("bronze",), ("silver", "quarantine")),
+    "dims": (("silver",), ("dim_route", "dim_date")),
+    "facts": (("silver", "dim_route"), ("fact_route_day", "fact_route_month")),
+    "scorecard": (("fact_route_day", "dim_route"), ("route_scorecard",)),
+    "reports": (("fact_route_day", "dim_route", "dim_date", "route_scorecard"), ()),
+}
+
+
+def _source_fingerprint(spark: SparkSession, sf_dir: str | None, csv: str | None) -> str:
+    if csv:
+        return f"csv {csv} {table_state(spark, csv, '*')}"
+    return f"tables {sf_dir} {source_state(spark, sf_dir, SOURCE_TABLES)}"
+
+
 def run(spark: SparkSession, out: str | None = None, sf_dir: str | None = None,
         csv: str | None = None, check_hierarchy: bool = True,
-        reports_dir: str | None = None) -> dict[str, int]:
+        reports_dir: str | None = None, resume: bool = False) -> dict[str, int]:
     """Build every layer under ``out``; returns row counts per table.
-    Gold tables are checked against their contracts before they are written."""
+    Gold tables are checked against their contracts before they are written.
+
+    Each layer is recorded once it is written (see :mod:`marginlens.plans.runs`).
+    With ``resume``, a layer whose inputs, outputs and options are as recorded is
+    skipped, so a run that broke goes on where it stopped.
+    """
     if (sf_dir is None) == (csv is None):
         raise ValueError("give exactly one source: sf_dir (driver tables) or csv (raw file)")
     out = (out or scratch_path(spark, "lakehouse")).rstrip("/")
-    raw = ingest(spark, csv) if csv else route_day_bronze(spark, sf_dir)
     layers = {
-        "bronze": lambda: bronze_layer(spark, out, raw),
+        "bronze": lambda: bronze_layer(spark, out, ingest(spark, csv) if csv else route_day_bronze(spark, sf_dir)),
         "silver": lambda: silver_layer(spark, out),
         "dims": lambda: dims_layer(spark, out, check_hierarchy),
         "facts": lambda: facts_layer(spark, out),
@@ -139,9 +215,19 @@ def run(spark: SparkSession, out: str | None = None, sf_dir: str | None = None,
     }
     if reports_dir:
         layers["reports"] = lambda: export_reports(spark, out, reports_dir)
+    options = {"bronze": lambda: _source_fingerprint(spark, sf_dir, csv),
+               "dims": lambda: f"check_hierarchy={check_hierarchy}", "reports": lambda: f"to {reports_dir}"}
+    log_ = RunLog(spark, out)
+    paths = table_paths(out)
     for name, build in layers.items():
         began = time.perf_counter()
+        reads, writes = ([paths[t] for t in side] for side in LAYER_TABLES[name])
+        option = options.get(name, str)()
+        if resume and log_.is_done(name, option, reads, writes):
+            log.info("layer %-12s as recorded", name)
+            continue
         build()
+        log_.record(name, option, reads, writes)
         log.info("layer %-12s %7.2fs", name, time.perf_counter() - began)
 
     # every table's row count from one job (a union of per-table counts)
@@ -160,11 +246,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--csv")
     ap.add_argument("--out")
     ap.add_argument("--reports")
+    ap.add_argument("--resume", action="store_true", help="skip layers that are as an earlier run recorded them")
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s | %(message)s")
     spark = get_spark("marginlens-pipeline")
     t0 = time.time()
-    counts = run(spark, args.out, sf_dir=args.sf_dir, csv=args.csv, reports_dir=args.reports)
+    counts = run(spark, args.out, sf_dir=args.sf_dir, csv=args.csv, reports_dir=args.reports, resume=args.resume)
     print(json.dumps({"seconds": round(time.time() - t0, 2), "rows": counts}))
     spark.stop()
 

@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginlens.functions.exprs import exact_sum, key_month, key_year, month_key
-from marginlens.functions.joins import join_checked, staged
+from marginlens.functions.ranks import numbered
 from marginlens.operators import clean, dims, facts, reports
 from marginlens.operators import quality as qa
 from marginlens.session import scratch_path
@@ -22,7 +22,11 @@ from marginlens.sources.schemas import FACT_MONTH_SCHEMA, KEY_COLUMNS, SOURCE_CO
 from marginlens.sources.tables import driver_table
 from marginlens.streaming.incremental import ingest_stream
 from marginlens.operators import scorecard as sc
-from marginlens.plans.layers import build
+from marginlens.operators.history import Tolerance, drift, history
+from marginlens.plans import pipeline
+from marginlens.plans.layers import build, history_path, loaded_lakehouse
+from marginlens.sinks.compact import compact
+from marginlens.sources import catalog
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -366,19 +370,8 @@ def table_scorecard(spark, sf_dir):
 
 # --- Order of the ordered reports: the position of every row is a column ----
 def _positions(df: DataFrame) -> DataFrame:
-    """The rows in the report's own order, numbered.
-
-    The report is written once, range-sorted; a row's id holds its partition
-    (upper bits) and its place there. Each partition's place count gives the
-    next one's offset, so no row leaves its partition.
-    """
-    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
-    rows = staged(df.withColumn("_id", F.monotonically_increasing_id()), "ordered").withColumns({"_part": part, "_place": place})
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    numbered = join_checked(rows, offsets, "_part")
-    return numbered.select(*df.columns, (F.col("_before") + F.col("_place") + 1).cast("int").alias("position"))
+    """The rows in the report's own order, numbered from 1."""
+    return numbered(df, "_pos").withColumn("position", (F.col("_pos") + 1).cast("int")).drop("_pos")
 
 
 @query
@@ -430,3 +423,100 @@ def incremental_ingest(spark, sf_dir):
     cols = ["route_date_key", "route_id", "date", "_source_seq", "total_revenue"]
     silver = spark.read.parquet(f"{lake}/silver").select(*cols, F.lit("").alias("_reject_reason"))
     return silver.unionByName(spark.read.parquet(f"{lake}/quarantine").select(*cols, "_reject_reason"))
+
+
+# --- Incremental loads: the same rows in three loads give the same tables ----
+@query
+def load_silver(spark, sf_dir):
+    return loaded_lakehouse(spark, sf_dir).silver
+
+
+@query
+def load_quarantine(spark, sf_dir):
+    return (loaded_lakehouse(spark, sf_dir).quarantine
+            .select("route_date_key", "route_id", "date", "_source_seq", "total_revenue", "_reject_reason"))
+
+
+@query
+def load_fact_day(spark, sf_dir):
+    return loaded_lakehouse(spark, sf_dir).fact_day
+
+
+@query
+def load_fact_month(spark, sf_dir):
+    """The month fact after partial refreshes only: as if recomputed in full."""
+    return loaded_lakehouse(spark, sf_dir).table("fact_route_month")
+
+
+@query
+def load_scorecard(spark, sf_dir):
+    """The scorecard from value counts that loads added to and subtracted from."""
+    return loaded_lakehouse(spark, sf_dir).table("route_scorecard")
+
+
+#: How far a figure may move from one load to the next.
+LOAD_TOLERANCES = {"routes": Tolerance(absolute=2), "silver_rows": Tolerance(relative=1.0),
+                   "total_revenue": Tolerance(relative=1.0), "quarantine_rows": Tolerance(absolute=10, relative=0.5)}
+
+
+@query
+def run_drift(spark, sf_dir):
+    """Every load's quality figures against the load before; the constants serve the first."""
+    lake = loaded_lakehouse(spark, sf_dir)
+    return drift(history(spark, history_path(lake.root)), LOAD_TOLERANCES, COMMITTED_BASELINE)
+
+
+@query
+def compacted_month(spark, sf_dir):
+    """The month fact from many small files per region, compacted and clustered
+    jointly on (bu, area); read back whole."""
+    path = scratch_path(spark, "compacted_month")
+    build(spark, sf_dir).fact_month().repartition(32).write.partitionBy("region").parquet(path)
+    compact(spark, path, FACT_MONTH_SCHEMA, ["region"], ["bu", "area"], ["route_id", "month_key"])
+    return spark.read.schema(FACT_MONTH_SCHEMA).parquet(path).select(*FACT_MONTH_SCHEMA.names)
+
+
+@query
+def resumed_run(spark, sf_dir):
+    """Rows per table of a run that broke before the facts and was resumed."""
+    class Broken(Exception):
+        pass
+
+    def broken(*_):
+        raise Broken
+
+    out = scratch_path(spark, "resumed")
+    facts_layer, pipeline.facts_layer = pipeline.facts_layer, broken
+    try:
+        pipeline.run(spark, out, sf_dir=sf_dir)
+    except Broken:
+        pass
+    finally:
+        pipeline.facts_layer = facts_layer
+    counts = pipeline.run(spark, out, sf_dir=sf_dir, resume=True)
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count long")
+
+
+BOUNDED_REPORTS = ["waste_stream_margins", "cohort_margins", "cost_drivers", "margin_trend"]
+
+
+@query
+def published_reports(spark, sf_dir):
+    """The lines of the published files whose size does not grow with the data."""
+    lake, folder = build(spark, sf_dir), scratch_path(spark, "published")
+    lake.scorecard()
+    pipeline.publish_reports(spark, lake.root, folder)
+    text = spark.read.text([f"{folder}/{name}.csv" for name in BOUNDED_REPORTS], wholetext=True)
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
+    lines = text.select(name.alias("report"), F.posexplode(F.split(F.rtrim(F.col("value"), F.lit("\n")), "\n")).alias("position", "line"))
+    return lines.select("report", "position", "line")
+
+
+@query
+def catalog_contract(spark, sf_dir):
+    """The Gold tables declared in the catalog, and their files held against it."""
+    lake = build(spark, sf_dir)
+    lake.scorecard()
+    paths = pipeline.table_paths(lake.root)
+    catalog.register(spark, "marginlens_gold", paths, pipeline.CONTRACTS)
+    return catalog.check(spark, "marginlens_gold", paths, pipeline.CONTRACTS)

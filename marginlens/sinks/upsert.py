@@ -20,19 +20,29 @@ the key for the anti-join, no per-row Python.
   partition that becomes empty is removed. Partition values keep the type of
   the update batch, so ``01`` stays text, and NULL is a partition like others.
 
+  Where an updated key is stored now is found in one of three ways: the caller
+  knows (``known``); a key never changes its partition (``moves=False``), so
+  only the batch's own partitions can hold it and no other is opened; else the
+  key and partition columns of the table are searched, nothing wider.
+
 The update batch is staged once; check, merge and partition search read that.
+
+:func:`upsert_latest` also returns the old and new image of every changed row,
+so that what is derived from the table can follow without reading it again.
 """
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginlens.functions.joins import staged
+from marginlens.session import scratch_path
 from marginlens.sinks.writers import clustered_layout
 from marginlens.sources.tables import _fs, table_exists
 
@@ -91,29 +101,81 @@ def _partition_dirs(spark: SparkSession, rows: DataFrame, parts: Sequence[str])
     return {"/".join(escape(c, r[c]) for c in parts) for r in found}
 
 
-def _same_partition(parts: Sequence[str], prefix: str):
-    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in parts])
+def _one_of(rows: list[tuple], parts: Sequence[str]):
+    """The predicate that holds for the listed partitions only, nested by column."""
+    first, rest = parts[0], parts[1:]
+    if not rest:
+        values = {r[0] for r in rows}
+        some = F.col(first).isin(sorted(v for v in values if v is not None))
+        return some | F.col(first).isNull() if None in values else some
+    below: dict = {}
+    for r in rows:
+        below.setdefault(r[0], []).append(r[1:])
+    return reduce(or_, [F.col(first).eqNullSafe(F.lit(v)) & _one_of(some, rest) for v, some in below.items()], F.lit(False))
+
+
+def in_partitions(df: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` in the listed partitions; the scan opens no other.
+
+    The list is one row per partition directory, as in the file listing the
+    driver does for any scan, so it may become literal predicates.
+    """
+    return df.filter(_one_of([tuple(r) for r in touched.select(*parts).distinct().collect()], list(parts)))
+
+
+def _stored_at(target: DataFrame, keyed: DataFrame, keys: Sequence[str], parts: Sequence[str], moves: bool,
+               more: Sequence[str] = ()) -> DataFrame:
+    """Key, partition (and ``more``) of the stored rows whose key is in ``keyed``."""
+    where = target if moves else in_partitions(target, keyed, parts)
+    cols = dict.fromkeys([*keys, *parts, *more])
+    return where.select(*cols).join(keyed.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def _upsert_partitions(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str],
-                       cluster_by: Sequence[str] | None) -> None:
-    target = spark.read.schema(updates.schema).parquet(path).select(*updates.columns)
-    # where the updated keys are stored now, and where the updates go
-    stored = target.select(*dict.fromkeys([*keys, *parts])).join(updates.select(*keys), list(keys), "left_semi")
-    touched = staged(stored.select(*parts).unionByName(updates.select(*parts)).distinct(), "touched_partitions")
-    renamed = touched.withColumnsRenamed({c: f"_t_{c}" for c in parts})
-    out = staged(merged(target.join(renamed, _same_partition(parts, "_t_"), "left_semi"), updates, keys), "merged")
+def _overwrite_partitions(spark: SparkSession, out: DataFrame, path: str, touched: DataFrame, keys: Sequence[str],
+                          parts: Sequence[str], cluster_by: Sequence[str] | None) -> None:
+    """``out`` (written) replaces the touched partitions; those left empty are removed."""
     emptied = _partition_dirs(spark, touched, parts) - _partition_dirs(spark, out, parts)
-    laid = clustered_layout(out, parts, cluster_by, [k for k in keys if k not in parts]) if cluster_by else out
-    (laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+    write_partitions(out, path, keys, parts, cluster_by, "dynamic")
     fs, _ = _fs(spark, path)
     for folder in emptied:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}"), True)
 
 
+def write_partitions(out: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str],
+                     cluster_by: Sequence[str] | None, mode: str = "static") -> None:
+    """Write ``out`` by partition: clustered, or each partition's rows gathered in
+    a few tasks of even size (a large partition is split over several)."""
+    if cluster_by:
+        laid = clustered_layout(out, parts, cluster_by, [k for k in keys if k not in parts])
+    else:
+        laid = out.hint("rebalance", *parts)
+    laid.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*parts).parquet(path)
+
+
+def replace_rows(spark: SparkSession, path: str, keys: Sequence[str], doomed: DataFrame, rows: DataFrame,
+                 partition_by: Sequence[str], cluster_by: Sequence[str] | None = None, moves: bool = True,
+                 known: DataFrame | None = None) -> DataFrame:
+    """In a partitioned table, the rows whose key is in ``doomed`` leave and
+    ``rows`` (written) enter. Returns the rewritten partitions.
+
+    ``known``: the partitions of the stored rows that leave, if the caller has them.
+    """
+    parts = list(partition_by)
+    target = spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+    touched = rows.select(*parts)
+    if known is not None or moves:
+        stored = known if known is not None else _stored_at(target, doomed, keys, parts, moves)
+        touched = touched.unionByName(stored.select(*parts))
+    touched = staged(touched.distinct(), "touched_partitions")
+    kept = in_partitions(target, touched, parts).join(doomed.select(*keys), list(keys), "left_anti")
+    out = staged(kept.unionByName(rows), "merged")
+    _overwrite_partitions(spark, out, path, touched, keys, parts, cluster_by)
+    return touched
+
+
 def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str],
            partition_by: Sequence[str] | None = None, check_unique: bool = True,
-           cluster_by: Sequence[str] | None = None) -> None:
+           cluster_by: Sequence[str] | None = None, moves: bool = True, known: DataFrame | None = None) -> None:
     """Merge ``updates`` into the table at ``path`` on ``keys`` (see module doc).
     With ``partition_by`` and ``cluster_by`` the rewritten partitions keep the
     clustered layout of :func:`clustered_layout` (the key breaks ties)."""
@@ -125,16 +187,13 @@ def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[st
     if check_unique:
         assert_unique_keys(updates, keys)
     if not exists:
-        out = updates
-        if partition_by and cluster_by:
-            out = clustered_layout(out, partition_by, cluster_by, [k for k in keys if k not in partition_by])
-        w = out.write.mode("overwrite")
         if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
+            write_partitions(updates, path, keys, list(partition_by), cluster_by)
+        else:
+            updates.write.mode("overwrite").parquet(path)
         return
     if partition_by:
-        _upsert_partitions(spark, updates, path, keys, list(partition_by), cluster_by)
+        replace_rows(spark, path, keys, updates, updates, partition_by, cluster_by, moves, known)
         return
     new = path.rstrip("/") + f"__staging_{uuid.uuid4().hex}"
     merged(spark.read.parquet(path), updates, keys).write.mode("overwrite").parquet(new)
@@ -146,37 +205,120 @@ def _touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+@dataclass(frozen=True)
+class Changes:
+    """What a load changed: the rows that left, those that entered (by key, the
+    old and the new image), and the incoming rows that were older."""
+    old: DataFrame
+    new: DataFrame
+    late: DataFrame
+
+
+def _marker(spark: SparkSession, path: str, batch: str):
+    return _fs(spark, f"{path.rstrip('/')}/_batch_{batch}")
+
+
+def _plan_folder(path: str, batch: str) -> str:
+    return f"{path.rstrip('/')}__batch_{batch}"
+
+
+def forget_batch(spark: SparkSession, path: str, batch: str) -> None:
+    """Delete the written plan of a batch that has landed everywhere."""
+    fs, folder = _fs(spark, _plan_folder(path, batch))
+    if fs.exists(folder):
+        fs.delete(folder, True)
+
+
 def upsert_latest(spark: SparkSession, updates: DataFrame, path: str, key: str, order_cols: Sequence[str],
-                  on_losers: Callable[[DataFrame], None] | None = None, batch: str | None = None) -> None:
+                  on_losers: Callable[[DataFrame], None] | None = None, batch: str | None = None,
+                  partition_by: Sequence[str] = (), moves: bool = True) -> Changes | None:
     """Upsert where a stored row is replaced only by a *newer* row of its key
     (by ``order_cols``; the stored row wins a tie): incremental loads then give
     the same table as one batch over all the data.
 
-    ``updates`` holds a key at most once. Rows that lose -- a stored row that
-    is superseded, an incoming one that is older -- are handed to
-    ``on_losers`` before the table is swapped. ``batch`` names the load: its
-    marker is swapped in with the table, so a replay of a load that already
-    landed does nothing.
+    ``updates`` holds a key at most once; rows without a key are left out. Only
+    key, order and partition columns are compared; full rows are read from the
+    partitions that change. What is to happen -- rows that leave, rows that
+    enter, late rows, the new partitions -- is written first, and only then
+    applied. ``batch`` names the load: its plan is kept until
+    :func:`forget_batch`, and a marker in the table says that it has landed. A
+    replay of a load that broke half-way applies the written plan again, with
+    the same result; a replay of one that landed returns its plan, or None once
+    that is forgotten.
+
+    Rows that lose -- a stored row that is superseded, an incoming one that is
+    older -- are handed to ``on_losers`` before the table changes (a table that is
+    not there yet has none).
     """
+    parts = list(partition_by)
     recover(spark, path)
     exists = table_exists(spark, path)
-    if exists and batch:
-        fs, marker = _fs(spark, f"{path.rstrip('/')}/_batch_{batch}")
-        if fs.exists(marker):
-            return
-    rows = updates.filter(F.col(key).isNotNull()).withColumn("_stored", F.lit(0))
-    if exists:
-        target = spark.read.parquet(path)
-        rows = rows.select(*target.columns, "_stored").unionByName(target.withColumn("_stored", F.lit(1)))
-        order = [F.col(c).desc_nulls_last() for c in [*order_cols, "_stored"]]
-        # at most two rows a key: no key is hot here
-        rows = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-        rows = staged(rows, "ranked")
-        if on_losers:
-            on_losers(rows.filter("_rn > 1").drop("_rn", "_stored"))
-        rows = rows.filter("_rn = 1").drop("_rn")
-    new = path.rstrip("/") + f"__staging_{uuid.uuid4().hex}"
-    rows.drop("_stored").write.mode("overwrite").parquet(new)
+    folder = _plan_folder(path, batch) if batch else scratch_path(spark, "upsert_plan")
+    planned = table_exists(spark, f"{folder}/done")
+
+    def part(name):
+        return spark.read.schema(updates.schema).parquet(f"{folder}/{name}").select(*updates.columns)
+
+    landed = False
     if batch:
-        _touch(spark, f"{new}/_batch_{batch}")
-    _swap(spark, new, path)
+        fs, marker = _marker(spark, path, batch)
+        landed = fs.exists(marker)
+    if landed and not planned:
+        return None
+    if not planned:
+        rows = staged(updates.filter(F.col(key).isNotNull()), "updates")
+        _write_plan(spark, rows, path if exists else None, key, order_cols, parts, moves, folder)
+    changes = Changes(part("old"), part("new"), part("late"))
+    if landed:
+        return changes
+    if on_losers and exists:
+        on_losers(changes.old.unionByName(changes.late))
+    out = part("out")
+    if parts and exists:
+        touched = spark.read.schema(updates.select(*parts).schema).parquet(f"{folder}/touched")
+        _overwrite_partitions(spark, out, path, touched, [key], parts, None)
+    elif parts:
+        write_partitions(out, path, [key], parts, None)
+    else:
+        new = path.rstrip("/") + f"__staging_{uuid.uuid4().hex}"
+        out.write.mode("overwrite").parquet(new)
+        if batch:
+            _touch(spark, f"{new}/_batch_{batch}")
+        _swap(spark, new, path)
+    if batch and parts:
+        _touch(spark, f"{path.rstrip('/')}/_batch_{batch}")
+    return changes
+
+
+def _write_plan(spark: SparkSession, rows: DataFrame, path: str | None, key: str, order_cols: Sequence[str],
+                parts: Sequence[str], moves: bool, folder: str) -> None:
+    """Write what an :func:`upsert_latest` is going to do (see there)."""
+    def put(df, name):
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    if path is None:
+        new = put(rows, "new")
+        for name in ("old", "late"):
+            put(rows.limit(0), name)
+        if parts:
+            put(new.select(*parts).distinct(), "touched")
+        put(new, "out")
+    else:
+        target = spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+        stored = staged(_stored_at(target, rows, [key], parts, moves or not parts, order_cols), "stored_keys")
+        there = stored.select(F.col(key).alias("_key"), F.struct(*order_cols).alias("_there"))
+        # a struct compares column by column, NULL as the oldest
+        newer = F.col("_there").isNull() | (F.struct(*order_cols) > F.col("_there"))
+        accepted = staged(rows.join(there, F.col(key) == F.col("_key"), "left").filter(newer)
+                          .select(key, F.col("_key").isNotNull().alias("_replaces")), "accepted_keys")
+        new = put(rows.join(accepted, key, "left_semi"), "new")
+        put(rows.join(accepted, key, "left_anti"), "late")
+        replaced = accepted.filter("_replaces").select(key)
+        if parts:
+            leaving = stored.join(replaced, key, "left_semi").select(*parts)
+            touched = put(leaving.unionByName(new.select(*parts)).distinct(), "touched")
+            target = in_partitions(target, touched, parts)
+        put(target.join(replaced, key, "left_semi"), "old")
+        put(target.join(replaced, key, "left_anti").unionByName(new), "out")
+    spark.range(1).write.mode("overwrite").parquet(f"{folder}/done")

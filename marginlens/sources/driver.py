@@ -20,6 +20,8 @@ from marginlens.functions.exprs import quarter_label, weekday_name
 from marginlens.sources.schemas import BRONZE_SCHEMA
 from marginlens.sources.tables import driver_table, spread
 
+SOURCE_TABLES = ["lineitem", "supplier", "nation", "region", "part"]
+
 # --- fixed values: category names by ``s_suppkey % 4`` and ``s_nationkey % 2`` ---
 WASTE_STREAMS = ["General Waste", "Recycling", "Organics", "Cardboard"]
 CUSTOMER_SEGMENTS = ["Office & Commercial", "Retail"]

@@ -56,16 +56,20 @@ COST_COMPONENTS = ["disposal_cost", "fuel_cost", "labour_cost", "maintenance_cos
 
 # --- fixed values: the atomic day fact, in column order (name, type, summed into the month fact) ---
 FACT_DAY_FIELDS = [
-    *[(n, S, False) for n in ("route_date_key",)], ("date_key", I, False), ("route_id", S, False),
-    *[(n, I, False) for n in "num_drivers num_trucks".split()],
-    *[(n, I, True) for n in "total_stops completed_stops missed_stops".split()],
-    *[(n, X, True) for n in "total_distance_km total_fuel_used_litres total_labour_hours total_yards total_tonnes".split()],
-    ("avg_revenue_per_stop", X, False), ("total_revenue", X, True), *[(n, X, True) for n in COST_COMPONENTS],
-    *[(n, X, True) for n in "total_cost net_revenue gross_profit".split()], ("gross_margin_pct", X, False),
-    *[(n, X, False) for n in "scheduled_hours actual_hours".split()], ("delay_minutes", I, False),
-    *[(n, X, False) for n in "profit_per_stop profit_per_km cost_per_tonne completion_rate".split()],
-    *[(n, I, False) for n in "on_time_flag incident_flag".split()], ("incident_type", S, False),
-    *[(n, B, False) for n in "metric_null_flag recon_flag".split()],
+    ("route_date_key", S, False), ("date_key", I, False), ("route_id", S, False),
+    ("num_drivers", I, False), ("num_trucks", I, False),
+    ("total_stops", I, True), ("completed_stops", I, True), ("missed_stops", I, True),
+    ("total_distance_km", X, True), ("total_fuel_used_litres", X, True),
+    ("total_labour_hours", X, True), ("total_yards", X, True), ("total_tonnes", X, True),
+    ("avg_revenue_per_stop", X, False), ("total_revenue", X, True),
+    ("disposal_cost", X, True), ("fuel_cost", X, True), ("labour_cost", X, True),
+    ("maintenance_cost", X, True), ("admin_cost", X, True), ("total_cost", X, True),
+    ("net_revenue", X, True), ("gross_profit", X, True), ("gross_margin_pct", X, False),
+    ("scheduled_hours", X, False), ("actual_hours", X, False), ("delay_minutes", I, False),
+    ("profit_per_stop", X, False), ("profit_per_km", X, False), ("cost_per_tonne", X, False),
+    ("completion_rate", X, False),
+    ("on_time_flag", I, False), ("incident_flag", I, False), ("incident_type", S, False),
+    ("metric_null_flag", B, False), ("recon_flag", B, False),
 ]
 FACT_KEYS = ["route_date_key", "date_key", "route_id"]
 FACT_DAY_SCHEMA = StructType([StructField(n, t, n not in FACT_KEYS) for n, t, _ in FACT_DAY_FIELDS])
@@ -97,6 +101,23 @@ SCORECARD_SCHEMA = StructType([
 ])
 
 
+# --- NOT NULL columns of the Gold contracts ---
+NOT_NULL = {
+    "dim_date": DIM_DATE_SCHEMA.names,
+    "dim_route": DIM_ROUTE_SCHEMA.names,
+    "fact_route_day": FACT_KEYS,
+    "fact_route_month": ["route_id", "region", "bu", "area", "year", "month"],
+    "route_scorecard": ["route_id"],
+}
+
+# --- stored layout: partition columns of each table (the others have none) ---
+PARTITIONS = {
+    "silver": ["year", "month"],
+    "fact_route_day": ["month_key"],  # yyyymm of date_key, beside the contract
+    "fact_route_month": ["region"],
+}
+
+
 def schema_mismatches(df: DataFrame, contract: StructType) -> list[str]:
     """Differences between ``df``'s schema and a contract (names, order, types)."""
     got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
@@ -32,6 +33,18 @@ def source_state(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple:
     return tuple(sorted(out))
 
 
+def table_state(spark: SparkSession, path: str, names: str = "*.parquet") -> str:
+    """A fingerprint of a table's files (number, bytes, names, sizes, change
+    times); ``absent`` without a table. Listed by Spark, folded to one row."""
+    if not table_exists(spark, path):
+        return "absent"
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", names)
+             .load(path).select("path", "length", "modificationTime"))
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
+                    F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("files")).first()
+    return f"{row['n']}:{row['bytes'] or 0}:{(row['files'] or 0) & (1 << 64) - 1:x}"
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

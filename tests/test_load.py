@@ -1,0 +1,217 @@
+import glob
+import os
+from datetime import date, datetime
+
+import pytest
+
+from marginlens.functions.value_counts import Counts, add_load, fold, stored, value_range
+from marginlens.operators import facts
+from marginlens.operators.scorecard import counted_measures, scorecard_from_counts, scorecard_from_star
+from marginlens.plans import load as loads
+from marginlens.plans import pipeline
+from marginlens.sinks.upsert import upsert, upsert_latest
+from marginlens.sources.schemas import DIM_ROUTE_SCHEMA, FACT_MONTH_SCHEMA
+from pyspark.sql import functions as F
+from tests.conftest import bronze_row
+
+
+def _files(path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+def _rows(df):
+    cols = sorted(df.columns)
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=str)
+
+
+def _day(key, day, route="R-1", region="Coast", revenue=2400.0, seq=0, at=1, **more):
+    return bronze_row(route_date_key=key, date=day, route_id=route, region=region, bu=f"{region} BU", area=f"{region} area",
+                      total_revenue=revenue, _source_seq=seq, _ingested_at=datetime(2024, 1, at), **more)
+
+
+def _first():
+    return [_day(f"{route}-{m}-{d}", date(2023, m, d), route, region, 1000.0 + 100 * d + 7 * m, seq=100 * m + d)
+            for route, region in (("R-1", "Coast"), ("R-2", "Coast"), ("R-3", "Hills")) for m in (1, 2, 3) for d in range(1, 8)]
+
+
+def _second():
+    return [
+        _day("R-1-2-3", date(2023, 2, 3), "R-1", "Coast", -50.0, at=2),            # a newer row of a key
+        _day("R-1-1-1", date(2023, 4, 1), "R-1", "Coast", 500.0, at=2),            # a key that moves to another month
+        _day("R-2-2-2", date(2023, 2, 2), "R-2", "Coast", 1.0, at=1, seq=-5),      # an older row: late
+        _day("R-2-5-1", date(2023, 5, 1), "R-2", "Coast", 900.0, at=2),            # a new key
+        _day(None, date(2023, 5, 1), "R-2", "Coast", 900.0, at=2),
+    ]
+
+
+@pytest.fixture
+def lake(spark, bronze, tmp_path):
+    out = str(tmp_path / "lake")
+    assert loads.load(spark, out, bronze(*_first()), "1")
+    return out
+
+
+def _in_full(spark, bronze, tmp_path, rows):
+    """The same rows through the pipeline's own full layers."""
+    out = str(tmp_path / "full")
+    pipeline.bronze_layer(spark, out, bronze(*rows))
+    pipeline.silver_layer(spark, out)
+    pipeline.dims_layer(spark, out)
+    pipeline.facts_layer(spark, out)
+    pipeline.scorecard_layer(spark, out)
+    return out
+
+
+def test_loads_equal_the_full_run_and_touch_only_what_changed(spark, bronze, lake, tmp_path):
+    p = pipeline.table_paths(lake)
+    before = {t: _files(p[t]) for t in ("silver", "fact_route_day", "fact_route_month")}
+    assert loads.load(spark, lake, bronze(*_second()), "2")
+    full = _in_full(spark, bronze, tmp_path, _first() + _second())
+    for table in ("silver", "fact_route_day", "fact_route_month", "route_scorecard", "dim_route"):
+        assert _rows(pipeline.read_layer(spark, lake, table)) == _rows(pipeline.read_layer(spark, full, table)), table
+    lost = [pipeline.read_layer(spark, x, "quarantine").select("route_date_key", "total_revenue", "_reject_reason") for x in (lake, full)]
+    assert _rows(lost[0]) == _rows(lost[1]) and lost[0].count() == 4
+    # months 1 and 2 changed, 4 and 5 are new; month 3 keeps its files, as does the region without a change
+    for table, kept in (("silver", "month=3/"), ("fact_route_day", "month_key=202303/"), ("fact_route_month", "region=Hills/")):
+        after = _files(p[table])
+        same = {f for f, t in before[table].items() if after.get(f) == t}
+        assert same and same == {f for f in before[table] if kept in f}, table
+
+
+def test_month_refresh_returns_the_regions_it_rewrote(spark, lake):
+    groups = spark.createDataFrame([("R-3", 202302)], "route_id string, month_key int")
+    assert [r.region for r in loads.refresh_month(spark, lake, groups).collect()] == ["Hills"]
+
+
+def test_a_group_without_days_leaves_the_month_fact(spark, bronze, tmp_path):
+    out = str(tmp_path / "lake")
+    loads.load(spark, out, bronze(_day("K", date(2023, 1, 5)), _day("L", date(2023, 2, 5))), "1")
+    loads.load(spark, out, bronze(_day("K", date(2023, 2, 6), at=2)), "2")
+    got = pipeline.read_layer(spark, out, "fact_route_month").select("month_key", "days_active").collect()
+    assert [tuple(r) for r in got] == [(202302, 2)]
+    assert not glob.glob(f"{out}/gold/fact_route_day/month_key=202301")
+
+
+def test_a_load_is_applied_once(spark, bronze, lake):
+    assert loads.load(spark, lake, bronze(*_second()), "2")
+    before = {t: _rows(pipeline.read_layer(spark, lake, t)) for t in ("silver", "quarantine", "fact_route_month", "route_scorecard")}
+    assert not loads.load(spark, lake, bronze(*_second()), "2")
+    assert before == {t: _rows(pipeline.read_layer(spark, lake, t)) for t in before}
+
+
+@pytest.mark.parametrize("step", ["_fact_day", "add_load", "forget_batch"])
+def test_a_load_that_broke_is_repeated(spark, bronze, lake, tmp_path, monkeypatch, step):
+    def broken(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(loads, step, broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            loads.load(spark, lake, bronze(*_second()), "2")
+    assert loads.load(spark, lake, bronze(*_second()), "2")
+    if step in ("_fact_day", "add_load"):  # the whole comparison for two of them, to save time
+        full = _in_full(spark, bronze, tmp_path, _first() + _second())
+        for table in ("silver", "fact_route_month", "route_scorecard"):
+            assert _rows(pipeline.read_layer(spark, lake, table)) == _rows(pipeline.read_layer(spark, full, table)), table
+    assert pipeline.read_layer(spark, lake, "quarantine").count() == 4
+
+
+def test_an_upsert_that_broke_while_writing_is_finished_from_its_plan(spark, tmp_path, monkeypatch):
+    import marginlens.sinks.upsert as u
+    path = str(tmp_path / "t")
+    schema = "k string, at int, m int"
+    upsert_latest(spark, spark.createDataFrame([("a", 1, 1), ("b", 1, 2)], schema), path, "k", ["at"], batch="0", partition_by=["m"])
+    more = spark.createDataFrame([("a", 2, 2), ("b", 0, 1), ("c", 1, 3)], schema)
+    with monkeypatch.context() as m:
+        m.setattr(u, "_touch", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))  # data written, marker not
+        with pytest.raises(RuntimeError):
+            upsert_latest(spark, more, path, "k", ["at"], batch="1", partition_by=["m"])
+    changes = upsert_latest(spark, more, path, "k", ["at"], batch="1", partition_by=["m"])
+    got = sorted((r.k, r["at"], r.m) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 2, 2), ("b", 1, 2), ("c", 1, 3)]
+    assert [tuple(r) for r in changes.old.collect()] == [("a", 1, 1)] and [tuple(r) for r in changes.late.collect()] == [("b", 0, 1)]
+
+
+def test_fixed_keys_open_only_the_batchs_partitions(spark, tmp_path):
+    """With ``moves=False`` no file of another partition is opened, not even for its keys."""
+    path = str(tmp_path / "t")
+    schema = "k string, m int, v int"
+    upsert(spark, spark.createDataFrame([("a", 1, 1), ("b", 2, 1)], schema), path, ["k"], ["m"])
+    other = glob.glob(f"{path}/m=2/*.parquet")[0]
+    good = open(other, "rb").read()
+    with open(other, "wb") as f:
+        f.write(b"not a table")
+    upsert(spark, spark.createDataFrame([("a", 1, 7), ("c", 1, 8)], schema), path, ["k"], ["m"], moves=False)
+    with open(other, "wb") as f:
+        f.write(good)
+    got = sorted((r.k, r.m, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 1, 7), ("b", 2, 1), ("c", 1, 8)]
+
+
+# --- value counts ---
+def _days(spark, n=700, seed=5):
+    import random
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        route = f"r{rnd.randrange(5)}" if i % 3 else "hot"
+        v = lambda: rnd.choice([None, 0.0, -0.0, 1e300, -1e-300, rnd.uniform(-50, 90), float(round(rnd.uniform(-3, 3)))])
+        rows.append((i, route, v(), v(), v()))
+    return spark.createDataFrame(rows, "id int, route_id string, gross_margin_pct double, profit_per_stop double, gross_profit double")
+
+
+def _routes(spark):
+    return spark.createDataFrame([(r, "c1" if r in ("hot", "r1") else "c2") for r in ("hot", "r0", "r1", "r2", "r3", "r4", "unseen")],
+                                 "route_id string, cohort_key string")
+
+
+def test_scorecard_from_counts_after_additions_and_subtractions(spark, tmp_path):
+    path, dim = str(tmp_path / "counts"), _routes(spark)
+    days = _days(spark).cache()
+    measures = counted_measures()
+    add_load(spark, path, "1", days.filter("id < 400"), None, "route_id", measures)
+    gone, come = days.filter("id % 7 = 0 and id < 400"), days.filter("id >= 400")
+    for _ in range(2):  # a repeated load replaces its own slice
+        add_load(spark, path, "2", come, gone, "route_id", measures)
+    now = days.filter("id >= 400 or id % 7 <> 0")
+    want = _rows(scorecard_from_star(now, dim))
+    assert _rows(scorecard_from_counts(Counts(spark, path, dim, "route_id", "cohort_key"))) == want
+    fold(spark, path, str(tmp_path / "folded"), "route_id")
+    assert _rows(scorecard_from_counts(Counts(spark, str(tmp_path / "folded"), dim, "route_id", "cohort_key"))) == want
+    assert stored(spark, str(tmp_path / "folded"), "cells").filter("_n <= 0").count() == 0
+
+
+def test_wide_ranges_are_split_until_they_can_be_ranked(spark, tmp_path):
+    path = str(tmp_path / "counts")
+    rows = spark.range(3000).select(F.lit("a").alias("route_id"), (F.lit(8.0) + (F.col("id") * 7919 % 3000) / 20000).alias("x"),
+                                    F.when(F.col("id") % 2 == 0, 8.3).otherwise(8.3 + F.col("id") * 1e-13).alias("y"))
+    add_load(spark, path, "1", rows, None, "route_id", ["x", "y"])
+    cohorts = spark.createDataFrame([("a", "c")], "route_id string, cohort_key string")
+    counts = Counts(spark, path, cohorts, "route_id", "cohort_key")
+    outer, inner, _ = counts.medians({"mx": "x"}, {"mx": "x", "my": "y"}, max_ranked=10)
+    xs, ys = (sorted(r[0] for r in rows.select(c).collect()) for c in "xy")
+    assert [r.mx for r in outer.collect()] == [xs[1499]]
+    assert [(r.mx, r.my) for r in inner.collect()] == [(xs[1499], ys[1499])]
+
+
+def test_ranges_keep_the_order_of_values(spark):
+    values = [float("-inf"), -1e308, -7.5, -1.0, -1e-310, -5e-324, 0.0, 5e-324, 1e-310, 0.99, 1.0, 1.04, 1.05, 7.0, 1e308, float("inf"), float("nan")]
+    got = [r.b for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+           .select("i", value_range(F.col("v")).alias("b")).orderBy("i").collect()]
+    assert got == sorted(got) and got[6] == 0 and got[5] < 0 < got[7] and len(set(got)) >= 12
+
+
+def test_the_months_median_scan_reads_only_its_ranges(spark, tmp_path):
+    """The cells' scan is filtered by measure and range."""
+    path = str(tmp_path / "counts")
+    add_load(spark, path, "1", _days(spark), None, "route_id", counted_measures())
+    counts = Counts(spark, path, _routes(spark), "route_id", "cohort_key")
+    cells = counts.cells_in(spark.createDataFrame([("gross_profit", 0)], "_m string, _b int"))
+    assert {(r["_m"], r["_b"]) for r in cells.collect()} == {("gross_profit", 0)}
+
+
+def test_contracts_of_maintained_tables(spark, lake):
+    assert pipeline.read_layer(spark, lake, "fact_route_month").columns == FACT_MONTH_SCHEMA.names
+    assert pipeline.read_layer(spark, lake, "dim_route").columns == DIM_ROUTE_SCHEMA.names
+    assert "month_key" in pipeline.stored_layer(spark, lake, "fact_route_day").columns
+    assert facts.month_groups(pipeline.read_layer(spark, lake, "fact_route_day")).count() == 9
