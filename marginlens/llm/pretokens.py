@@ -8,6 +8,7 @@ allow that cut go through the pattern as a whole.
 """
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Callable, Iterator
 
@@ -21,6 +22,7 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Texts are encoded in slices of about this many characters.
 SLICE_CHARS = 1 << 18
 
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 _RUN_START = re.compile(r"(?<!\s)\s")
 #: ``str.split`` takes these for white space, the patterns don't.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
@@ -44,22 +46,42 @@ def slices(text: str, size: int = SLICE_CHARS) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+def byte_symbols() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    names = {b: chr(b) for b in printable}
+    rest = (b for b in range(256) if b not in names)
+    names.update((b, chr(256 + k)) for k, b in enumerate(rest))
+    return [names[b] for b in range(256)]
+
+
 class Memo:
-    """Bounded memo from a string to its ids as little-endian 32-bit bytes."""
+    """Bounded memo from a string to its ids as little-endian 32-bit bytes.
+
+    Two generations of ``most // 2`` entries: when the young one is full it
+    becomes the old one, and what is met again moves back. Frequent strings
+    stay, however many rare ones pass.
+    """
 
     def __init__(self, encode_new: Callable[[list[str]], list[bytes]], most: int = 500_000, longest: int = 64):
-        self.encode_new, self.most, self.longest = encode_new, most, longest
+        self.encode_new, self.half, self.longest = encode_new, most // 2, longest
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def __call__(self, keys: list[str]) -> list[bytes]:
-        got = list(map(self.known.get, keys))
-        if None in got:
-            new = list({k for k, g in zip(keys, got) if g is None})
-            found = dict(zip(new, self.encode_new(new)))
-            got = [found[k] if g is None else g for k, g in zip(keys, got)]
-            if len(self.known) + len(found) > self.most:
-                self.known.clear()
-            self.known.update((k, b) for k, b in found.items() if len(k) <= self.longest)
+        known, missing = self.known, set(keys).difference(self.known)
+        if missing:
+            old = self.old
+            known.update((k, old[k]) for k in missing if k in old)
+            new = [k for k in missing if k not in old]
+            known.update(zip(new, self.encode_new(new)))
+        got = list(map(known.__getitem__, keys))
+        if missing:
+            for k in missing:
+                if len(k) > self.longest:
+                    del known[k]
+            if len(known) > self.half:
+                self.old, self.known = dict(itertools.islice(known.items(), self.half)), {}
         return got
 
 
@@ -86,6 +108,8 @@ class ByteLevelChunks(ChunkEncoder):
     """The byte-level pattern: a space opens the next word, every character counts."""
 
     def cut(self, chunk: str) -> list[str]:
+        if _LETTERS.fullmatch(chunk):  # the pattern takes them whole
+            return [" " + chunk]
         return BYTE_LEVEL.findall(chunk if chunk[0] == "\n" else " " + chunk)
 
     def encode(self, text: str) -> bytes:

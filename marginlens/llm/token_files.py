@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marginlens.llm.common import driver_table, open_fs, ship_package, staged
-from marginlens.llm.pretokens import ByteLevelChunks, slices, special_pattern, split_special
+from marginlens.llm.pretokens import ByteLevelChunks, byte_symbols, slices, special_pattern, split_special
 from marginlens.session import scratch_path
 
 MAGIC = b"MLBITS01"
@@ -149,8 +149,8 @@ class TokenFile:
 def byte_level_encoder(tokenizer_path: str):
     """``text -> little-endian 32-bit ids`` with the tokenizers library.
 
-    The library encodes each distinct piece; pieces are what its own
-    pre-tokeniser cuts, so the ids are those of the whole text.
+    The library's BPE model encodes each distinct piece; pieces are what its
+    own pre-tokeniser cuts, so the ids are those of the whole text.
     """
     import os
 
@@ -161,9 +161,17 @@ def byte_level_encoder(tokenizer_path: str):
     special = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
     pattern = special_pattern(list(special))
 
+    tokenize, names = tok.model.tokenize, byte_symbols()
+
     def encode_new(pieces: list[str]) -> list[bytes]:
-        found = [e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
+        out = []
+        for piece in pieces:
+            # the byte-level alphabet: printable ASCII stands for itself
+            plain = piece.isascii() and piece.isprintable()
+            symbols = piece.replace(" ", names[0x20]) if plain else "".join(map(names.__getitem__, piece.encode()))
+            ids = [t.id for t in tokenize(symbols)]
+            out.append(struct.pack(f"<{len(ids)}I", *ids))
+        return out
 
     chunks = ByteLevelChunks(encode_new)
 

@@ -145,3 +145,45 @@ def test_bpe_dataframe_cases(spark):
     got = bpe.bpe_digests(docs, path).collect()
     assert sorted((r.doc_id or -1, r.n_tokens) for r in got) == [(-1, 0), (1, 2), (1, 2), (2, 0)]
     assert bpe.bpe_digests(docs.limit(0), path).count() == 0
+
+
+def test_frequent_strings_stay_in_the_memo():
+    asked = []
+    memo = pretokens.Memo(lambda new: [asked.append(k) or k.encode() for k in new], most=20)
+    for k in range(200):
+        memo(["often", f"rare{k}"])
+    assert asked.count("often") == 1 and len(memo.known) + len(memo.old) <= 20
+
+
+def test_every_word_goes_through_the_transducer(monkeypatch):
+    c = bpe.Codec(public_tokenizers.path("word_bpe_49k.json"))
+    made, inner = [], c.merges.transduce
+    monkeypatch.setattr(c.merges, "transduce", lambda data, *a: made.extend(out := list(inner(data, *a))) or iter(out))
+    text = "streaming transducers emit tokens early once " + "x" * 5000
+    assert sorted(np.frombuffer(c.encode(text), "<u4").tolist()) == sorted(made)  # words in any order
+
+
+def test_digests_of_the_smallest_tables_equal_the_library(spark):
+    import hashlib
+    path = public_tokenizers.path("word_bpe_49k.json")
+    lib = Tokenizer.from_file(path)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.op7_bpe(spark, "/root/testdata/sf0.001").collect()}
+    for r in docs.select("doc_id", "text").collect():
+        ids = lib.encode(r.text or "", add_special_tokens=False).ids
+        want = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+        assert got[r.doc_id] == want
+
+
+def test_long_documents_are_streamed(monkeypatch):
+    import hashlib
+    monkeypatch.setattr(bpe, "slices", lambda text: pretokens.slices(text, 200))
+    c = bpe.Codec(public_tokenizers.path("word_bpe_49k.json"))
+    text = "one two three <|endoftext|> four " * 500
+    pieces = list(c.stream(text))
+    assert len(pieces) > 100
+    ids = b"".join(pieces)
+    n, ids_hex, text_hex = c.digests(text)
+    whole = "".join(c.decode([np.frombuffer(ids, "<u4")]))
+    assert (n, ids_hex, text_hex) == (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(whole.encode()).hexdigest())
