@@ -10,9 +10,9 @@ is fed symbol by symbol; once more than a fixed number of symbols are waiting,
 every token that ends at least the lookahead before the end is emitted and
 forgotten, so memory stays constant however long the word is. Encoding may
 restart at any emitted boundary, because a part of a valid tokenisation is the
-tokenisation of its text.
-
-Words recur, so a bounded memo holds the ids of short ones.
+tokenisation of its text. Every word goes through the transducer; words recur,
+so a bounded memo of its output stands in front. What is left of a word at its
+end is settled by a plain scan or a heap, whichever is faster for its length.
 
 Decoding is an incremental machine: a token's symbols become bytes, bytes
 become text as soon as a character is complete (byte-level decoder), or the
@@ -27,6 +27,7 @@ from __future__ import annotations
 import bisect
 import codecs
 import functools
+import hashlib
 import heapq
 import json
 import struct
@@ -39,22 +40,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginlens.llm.common import driver_table, ship_package
-from marginlens.llm.pretokens import WordChunks, slices, special_pattern, split_special
+from marginlens.llm.pretokens import WordChunks, byte_symbols, slices, special_pattern, split_special
 
 OUT_BYTES = 8 << 20  # text bytes encoded before a batch is sent back
 SHORT_WORD = 48      # symbols up to which a plain scan beats a heap
 MOST_WAITING = 2048  # symbols a word may hold beyond the lookahead
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    names = {b: chr(b) for b in printable}
-    rest = (b for b in range(256) if b not in names)
-    names.update((b, chr(256 + k)) for k, b in enumerate(rest))
-    return [names[b] for b in range(256)]
-
-
 class Merges:
     """Ids, merge ranks and the sufficient lookahead of one vocabulary file."""
 
@@ -152,15 +144,21 @@ class Merges:
                 ranks[i - 1] = get((ids[i - 1], ids[i]), none)[0]
         return ids
 
+    def settle(self, symbols: list[int]) -> list[int]:
+        """Ids of symbols after which no other can come."""
+        return self.merge_short(symbols) if len(symbols) <= SHORT_WORD else [t for t, _ in self.merge(symbols)]
+
     def transduce(self, data: Iterable[bytes], waiting: int = MOST_WAITING) -> Iterator[int]:
         """Ids of one word whose bytes arrive in chunks."""
         inner, buf, held = self.inner, [], None  # the last byte is held: it may end the word
         limit = None if self.lookahead is None else self.lookahead + waiting
         for chunk in data:
-            for b in chunk:
+            for a in range(0, len(chunk), MOST_WAITING):
+                part = chunk[a:a + MOST_WAITING]
                 if held is not None:
                     buf.append(inner[held])
-                held = b
+                buf += map(inner.__getitem__, part[:-1])
+                held = part[-1]
                 if limit is not None and len(buf) > limit:
                     safe, done = len(buf) - self.lookahead, 0
                     for token, end in self.merge(buf):
@@ -171,8 +169,7 @@ class Merges:
                     del buf[:done]
         if held is not None:
             buf.append(self.final[held])
-        for token, _ in self.merge(buf):
-            yield token
+            yield from self.settle(buf)
 
 
 class Codec:
@@ -196,14 +193,10 @@ class Codec:
         self.chunks = WordChunks(self._encode_new, self.normalise)
 
     def _encode_new(self, words: list[str]) -> list[bytes]:
-        out = []
-        inner, final, short = self.merges.inner, self.merges.final, self.merges.merge_short
+        """New words through the transducer, one after another."""
+        out, transduce = [], self.merges.transduce
         for w in words:
-            data = w.encode("utf-8", "surrogatepass")
-            if len(data) <= SHORT_WORD:
-                ids = short([*map(inner.__getitem__, data[:-1]), final[data[-1]]])
-            else:
-                ids = list(self.merges.transduce((data,)))
+            ids = list(transduce((w.encode("utf-8", "surrogatepass"),)))
             out.append(struct.pack(f"<{len(ids)}I", *ids))
         return out
 
@@ -212,15 +205,37 @@ class Codec:
         # lower case per code point: a final capital sigma stays an inner one
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit integers."""
-        out = []
+    def stream(self, text: str) -> Iterator[bytes]:
+        """Ids as little-endian 32-bit integers, slice by slice of the text."""
         for k, part in enumerate(split_special(text, self.pattern)):
             if k % 2:
-                out.append(struct.pack("<I", self.special[part]))
+                yield struct.pack("<I", self.special[part])
             else:
-                out += [self.chunks.encode(s) for s in slices(part)]
-        return b"".join(out)
+                for s in slices(part):
+                    yield self.chunks.encode(s)
+
+    def encode(self, text: str) -> bytes:
+        """All ids of the text."""
+        return b"".join(self.stream(text))
+
+    def digests(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, SHA-256 of the ids and of the decoded text, in hex.
+
+        Ids are emitted, decoded and hashed slice by slice: neither the ids nor
+        the decoded text of the document are ever whole in memory.
+        """
+        ids_hash, text_hash, n = hashlib.sha256(), hashlib.sha256(), 0
+
+        def emitted():
+            nonlocal n
+            for data in self.stream(text):
+                ids_hash.update(data)
+                n += len(data) // 4
+                yield np.frombuffer(data, "<u4")
+
+        for piece in self.decode(emitted()):
+            text_hash.update(piece.encode())
+        return n, ids_hash.hexdigest(), text_hash.hexdigest()
 
     def decode(self, chunks: Iterable[np.ndarray]) -> Iterator[str]:
         """Text of the ids in ``chunks``, each piece as soon as it is complete."""
@@ -268,10 +283,22 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     return rows.mapInArrow(run, f"doc_id {key}, ids binary, decoded string")
 
 
-def bpe_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    out = encode_decode(docs, tokenizer_path)
-    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+def bpe_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` per row."""
+    ship_package(docs.sparkSession)
+
+    def run(batches):
+        c = codec(tokenizer_path)
+        for batch in batches:
+            found = [c.digests(t.as_py() or "") for t in batch.column(1)]
+            n, ids, decoded = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
+                                              pa.array(decoded, pa.string())],
+                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    key = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {key}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
