@@ -5,7 +5,8 @@
 2. ``freqItems`` -- the mergeable frequent-items algorithm of Misra-Gries and
    Karp-Shenker-Papadimitriou -- lists every digest that holds more than
    ``support`` of the rows (at most ``1 / support`` candidates, no false
-   negative).
+   negative). Without a given support it follows the number of rows
+   (:func:`hot_support`).
 3. The candidates are verified: their exact size and survivor come from a
    map-side-combined aggregate. These few winners are broadcast -- their
    number is bounded by ``1 / support`` whatever the input -- and the rows of
@@ -24,19 +25,26 @@ from pyspark.sql import functions as F
 
 from marginlens.llm.common import driver_table, fresh, staged, text_or_empty
 
-#: Share of the rows from which a digest counts as hot; bounds the broadcast
-#: to ``1 / SUPPORT`` rows.
-SUPPORT = 0.002
+#: Share of the rows from which a digest counts as hot. It falls with the number
+#: of rows, so that a digest that is not hot has at most ``COLD_ROWS`` rows, down
+#: to ``LEAST_SUPPORT``; ``1 / LEAST_SUPPORT`` rows bound the broadcast at any size.
+SUPPORT, LEAST_SUPPORT = 0.002, 1e-5
+COLD_ROWS = 1_000_000
+
+
+def hot_support(n_rows: int) -> float:
+    return max(LEAST_SUPPORT, min(SUPPORT, COLD_ROWS / max(n_rows, 1)))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                support: float = SUPPORT) -> DataFrame:
+                support: float | None = None) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``."""
     rows = staged(docs.select(
         F.col(id_col).alias("doc_id"),
         F.sha2(text_or_empty(text_col), 256).alias("text_sha256"),
         F.monotonically_increasing_id().alias("_row")), "dedup_identities")
 
+    support = hot_support(rows.count()) if support is None else support
     # at most 1/support strings reach the driver, by the algorithm's own bound
     found = rows.freqItems(["text_sha256"], support).first()
     hot = list(found[0] or []) if found else []
