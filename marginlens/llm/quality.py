@@ -7,8 +7,11 @@ document's score.
 
 Training: line labels are the label of their document. The field is fitted by
 full-batch gradient ascent on at most ``TRAIN_DOCS`` labelled documents -- the
-documented bound -- taken in the order of a hash of the id. Only the features
-of that sample reach the driver; scoring runs where the rows are.
+documented bound -- taken in the order of a hash of the id. Of rows repeating
+an id one trains, the one with the least hash of its text, and of a document of
+more than ``TRAIN_CHAINS`` chains of ``TRAIN_LINES`` lines that many, evenly
+spaced. So what reaches the driver, the features of that sample, has a fixed
+bound; scoring runs where the rows are, over every line.
 
 Defined cases: null text is empty; an empty text is one empty line; rows tied
 or repeated are scored alike; labels with a null quality are ignored and of
@@ -27,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginlens.llm.common import driver_table, ship_package
+from marginlens.llm.common import driver_table, ship_package, text_or_empty
 
 TRAIN_DOCS = 2000     # bound of the labelled sample
 TRAIN_LINES = 32      # longer documents train as several chains
+TRAIN_CHAINS = 16     # of which at most so many
 THRESHOLD = 0.3
 ROUNDS, RATE, L2 = 80, 0.15, 1e-3
 N_FEATURES = 20
@@ -186,6 +190,15 @@ def score_text(text: str | None, model: dict) -> float:
     return float(np.clip((good * weights).sum() / weights.sum(), 0, 1))
 
 
+def spaced_chains(f: np.ndarray) -> np.ndarray:
+    """The features of at most ``TRAIN_CHAINS`` chains, evenly spaced."""
+    starts = np.arange(0, len(f), TRAIN_LINES)
+    if len(starts) <= TRAIN_CHAINS:
+        return f
+    kept = starts[np.linspace(0, len(starts) - 1, TRAIN_CHAINS).round().astype(int)]
+    return np.concatenate([f[a:a + TRAIN_LINES] for a in kept])
+
+
 def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
@@ -196,11 +209,14 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> dict:
     sample = (labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
               .groupBy("doc_id").agg(F.min("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("quality", "text")
+    text = text_or_empty("text")
+    rows = (docs.select("doc_id", text.alias("text")).join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+            .select("quality", "text"))
 
     def features(batches):
         for batch in batches:
-            own = [line_features((t.as_py() or "").split("\n")) for t in batch.column(1)]
+            own = [spaced_chains(line_features(t.as_py().split("\n"))) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int32()), pa.array([f.astype("<f4").tobytes() for f in own], pa.binary())],
                 names=["quality", "f"])
