@@ -18,6 +18,10 @@ commit adds a manifest that names the files of the successful tasks only, so
 a retried or lost task leaves nothing that a reader would see. Paths go
 through pyarrow's filesystems (local, HDFS, S3, GCS).
 
+Payloads: the block of an ``application/http`` record without its HTTP headers,
+the whole block of any other record (``resource``, ``metadata``, ``conversion``,
+DNS responses ...); a block is cut by the record's Content-Length.
+
 Defined cases: a null payload is an empty one; a null record id gets a random
 URN; null headers are left out and read back as null; no rows give an archive
 without records.
@@ -55,6 +59,7 @@ READ_SCHEMA = ("warc_type string, record_id string, target_uri string, payload_d
 ROLL_BYTES = 256 << 20   # start a new file beyond this size
 SPLIT_BYTES = 32 << 20   # record-aligned read partitions of about this size
 READ_BYTES = 1 << 20
+PIECE_BYTES = 16 << 10   # compressed bytes decoded at once
 MANIFEST = "_manifest"
 #: A revisit's block is read only for its HTTP headers.
 _SINGLE_LINE = re.compile(r"[\r\n]+")
@@ -165,69 +170,80 @@ class _Range(InputPartition):
 
 
 class _Input:
-    """Sequential reads with cheap skips over one archive file."""
+    """Sequential reads with cheap skips over one archive file.
+
+    What has been skipped stays in the buffer until the next read; skipping
+    moves an index.
+    """
 
     def __init__(self, fs, path: str, start: int, end: int | None):
         self.f = fs.open_input_file(path)
-        self.at, self.buf = start, b""
-        self.end = self.f.size() if end is None else end
-
-    def peek(self, n: int) -> bytes:
-        if len(self.buf) < n and self.at + len(self.buf) < self.f.size():
-            self.f.seek(self.at + len(self.buf))
-            self.buf += self.f.read(max(READ_BYTES, n - len(self.buf)))
-        return self.buf[:n]
+        self.size = self.f.size()
+        self.at, self.buf, self.pos = start, b"", 0
+        self.end = self.size if end is None else end
+
+    def peek(self, n: int, after: int = 0) -> bytes:
+        """Up to ``n`` bytes that lie ``after`` bytes ahead; nothing is consumed."""
+        ahead = len(self.buf) - self.pos
+        if ahead < after + n and self.at + ahead < self.size:
+            self.f.seek(self.at + ahead)
+            self.buf = self.buf[self.pos:] + self.f.read(max(READ_BYTES, after + n - ahead))
+            self.pos = 0
+        return self.buf[self.pos + after:self.pos + after + n]
 
     def skip(self, n: int) -> None:
-        self.buf = self.buf[n:]
         self.at += n
+        self.pos += n
+        if self.pos >= len(self.buf):
+            self.buf, self.pos = b"", 0
 
 
 def _gzip_records(src: _Input):
-    """``(header bytes, rest())`` per member; ``rest`` decodes the block on demand."""
+    """``(header bytes, rest())`` per member; ``rest`` decodes the block on demand.
+
+    A member of unknown length is consumed as it is decoded, one of known
+    length (``sl`` field) is skipped as a whole.
+    """
     while src.at < src.end and (head := src.peek(12)):
-        extra_len = struct.unpack("<H", head[10:12])[0] if head[3] & 4 else 0
-        extra = src.peek(12 + extra_len)[12:]
         known = None
-        if head[3] == 4 and extra[:2] == b"sl" and len(extra) >= 12:
-            known = struct.unpack("<I", extra[4:8])[0]
+        if len(head) == 12 and head[3] == 4:
+            extra = src.peek(struct.unpack("<H", head[10:12])[0], 12)
+            if extra[:2] == b"sl" and len(extra) >= 12:
+                known = struct.unpack("<I", extra[4:8])[0]
         z = zlib.decompressobj(31)
-        used, plain = 0, b""
+        used = 0
 
-        def more(z=z):
+        def more(z=z, known=known):
+            """The next decoded bytes; b"" at the end of the member or file."""
             nonlocal used
-            chunk = src.peek(used + 4096)[used:] if known is None else src.peek(min(known, used + 4096))[used:]
-            used += len(chunk)
-            out = z.decompress(chunk)
-            if z.eof:
-                used -= len(z.unused_data)
-            return out, bool(chunk)
-
-        going = True
-        while going and not z.eof and b"\r\n\r\n" not in plain:
-            out, going = more()
+            while not z.eof:
+                if known is None:
+                    chunk = src.peek(PIECE_BYTES)
+                    out = z.decompress(chunk)
+                    src.skip(len(chunk) - len(z.unused_data))
+                else:
+                    chunk = src.peek(min(PIECE_BYTES, known - used), used)
+                    out = z.decompress(chunk)
+                    used += len(chunk)
+                if out or not chunk:
+                    return out
+            return b""
+
+        plain = b""
+        while b"\r\n\r\n" not in plain and (out := more()):
             plain += out
         head_bytes, _, begun = plain.partition(b"\r\n\r\n")
 
-        def rest(begun=begun, z=z):
-            nonlocal used
+        def rest(begun=begun, more=more):
             got = [begun]
-            if known is not None:
-                got.append(z.decompress(src.peek(known)[used:]))
-                used = known
-            else:
-                go = True
-                while go and not z.eof:
-                    out, go = more()
-                    got.append(out)
+            while out := more():
+                got.append(out)
             return b"".join(got)
 
         yield head_bytes, rest
         if known is None:
-            go = True
-            while go and not z.eof:
-                _, go = more()
-            src.skip(used)
+            while more():
+                pass
         else:
             src.skip(known)
 
@@ -241,12 +257,35 @@ def _plain_records(src: _Input):
         head, found, _ = got.partition(b"\r\n\r\n")
         if not found:
             return
-        m = re.search(rb"(?im)^content-length:\s*(\d+)", head)
-        length, skip = int(m[1]) if m else 0, len(head) + 4
-        yield head, lambda: src.peek(skip + length)[skip:]
+        length, skip = _content_length(head) or 0, len(head) + 4
+        yield head, lambda length=length, skip=skip: src.peek(length, skip)
         src.skip(skip + length + 4)
 
 
+def _content_length(head: bytes) -> int | None:
+    m = re.search(rb"(?im)^content-length:\s*(\d+)", head)
+    return int(m[1]) if m else None
+
+
+def record_payload(head: bytes, block: bytes, revisit: bool) -> tuple[int | None, bytes | None]:
+    """``(length, payload)`` of a record from its header and (at least) its block.
+
+    The block ends where the header's Content-Length says. Only an
+    ``application/http`` block has HTTP headers before its payload; any other
+    block is the payload. A revisit has no payload of its own: its length is
+    what its HTTP headers say.
+    """
+    length = _content_length(head)
+    block = block if length is None else block[:length]
+    if re.search(rb"(?im)^content-type:\s*application/http\b", head):
+        http, _, block = block.partition(b"\r\n\r\n")
+        if revisit:
+            return _content_length(http), None
+    elif revisit:
+        return None, None
+    return len(block), block
+
+
 def parse_header(head: bytes) -> dict:
     lines = head.decode("utf-8", "replace").split("\r\n")[1:]
     found = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
@@ -311,12 +350,9 @@ class WarcReader(DataSourceReader):
                 if not self._wanted(row):
                     continue
                 length = payload = None
-                if row["warc_type"] == "revisit" or (self.payload and row["warc_type"] == "response"):
-                    http, _, body = rest().partition(b"\r\n\r\n")
-                    if row["warc_type"] == "response":
-                        payload, length = body.removesuffix(b"\r\n\r\n"), None
-                    m = re.search(rb"(?im)^content-length:\s*(\d+)", http)
-                    length = int(m[1]) if m else length
+                revisit = row["warc_type"] == "revisit"
+                if revisit or self.payload:
+                    length, payload = record_payload(head, rest(), revisit)
                 yield (*(row[c] for c in HEADERS), length, payload)
 
 

@@ -152,3 +152,70 @@ def test_warc_empty_table(spark, tmp_path):
     path = str(tmp_path / "arc")
     warc.write_warc(warc.capture_records(_pages(spark, [])), path)
     assert warc.read_warc(spark, path).filter("warc_type = 'response'").count() == 0
+
+
+def _foreign(records, member):
+    out = []
+    for kind, content_type, block in records:
+        head = [b"WARC/1.0", b"WARC-Type: " + kind.encode(), b"WARC-Record-ID: <urn:x:%d>" % len(out)]
+        if content_type:
+            head.append(b"Content-Type: " + content_type.encode())
+        head.append(b"Content-Length: %d" % len(block))
+        out.append(member(b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"))
+    return b"".join(out)
+
+
+@pytest.mark.parametrize("name,member", [("a.warc", bytes), ("a.warc.gz", lambda data: __import__("gzip").compress(data)),
+                                         ("a.warc.gz", warc._member)])
+def test_payloads_of_all_kinds_of_records(spark, tmp_path, name, member):
+    http = "application/http; msgtype=response"
+    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    big = bytes(range(256)) * 3000
+    records = [("response", http, head + b"hello\r\n\r\n"), ("response", "text/dns", b"20200101\r\n\r\nexample. 3600 IN A 1.2.3.4\r\n"),
+               ("resource", "image/png", b"\x89PNG\r\n\r\n\x00"), ("metadata", "application/warc-fields", b"a: b\r\n"),
+               ("conversion", "text/plain", b""), ("request", "application/http; msgtype=request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n"),
+               ("response", None, big), ("response", http, head + big)]
+    with open(tmp_path / name, "wb") as f:
+        f.write(_foreign(records, member))
+    got = {r.record_id: (r.warc_type, bytes(r.payload), r.payload_length) for r in warc.read_warc(spark, str(tmp_path)).collect()}
+    want = [b"hello\r\n\r\n", records[1][2], records[2][2], records[3][2], b"", b"", big, big]
+    assert got == {f"urn:x:{k}": (records[k][0], p, len(p)) for k, p in enumerate(want)}
+    skipped = warc.read_warc(spark, str(tmp_path), payload=False).collect()
+    assert [r.warc_type for r in skipped] == [k for k, _, _ in records] and all(r.payload is None for r in skipped)
+
+
+def test_skipping_does_not_copy_the_buffer(tmp_path, monkeypatch):
+    """Records that are passed over cost an index, and one read per buffer."""
+    from pyarrow import fs
+    data = _foreign([("response", "text/plain", b"x" * 50)] * 3000, warc._member)
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    src = warc._Input(fs.LocalFileSystem(), str(tmp_path / "a.warc.gz"), 0, None)
+    held = src.peek(1) and src.buf
+    n = 0
+    for _ in warc._gzip_records(src):
+        n += 1
+        assert src.buf is held or not src.buf or src.pos == 0 or len(src.buf) <= len(held)
+    assert n == 3000
+
+
+def test_support_follows_the_number_of_rows():
+    assert exact_dedup.hot_support(0) == exact_dedup.hot_support(1000) == exact_dedup.SUPPORT
+    for n in (10 ** 9, 10 ** 10, 10 ** 12):
+        s = exact_dedup.hot_support(n)
+        assert exact_dedup.LEAST_SUPPORT <= s <= exact_dedup.SUPPORT and (s * n <= 1.01 * exact_dedup.COLD_ROWS or s == exact_dedup.LEAST_SUPPORT)
+
+
+def test_digests_around_the_hot_limit(spark, monkeypatch):
+    """Groups just over and just under the limit, and one in between merged tasks."""
+    monkeypatch.setattr(exact_dedup, "SUPPORT", 0.1)
+    sizes = {"over": 101, "at": 100, "under": 99, "few": 3}
+    rows = [(i * 7 + k, t) for i, (t, n) in enumerate(sizes.items()) for k in range(n)]
+    rows += [(10_000 + k, f"own{k}") for k in range(1000 - len(rows))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(11)
+    got = exact_dedup.exact_dedup(df).collect()
+    assert len(got) == 1000 and sum(r.kept for r in got) == len({t for _, t in rows})
+    by_text = {}
+    for i, t in rows:
+        by_text.setdefault(t, []).append(i)
+    want = {(i, max(ids), len(ids)) for ids in by_text.values() for i in ids}
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in got} == want
