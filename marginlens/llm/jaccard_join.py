@@ -1,14 +1,19 @@
-"""N-gram Jaccard self-join with MinHash banding and exact verification.
+"""N-gram Jaccard self-join with an LSH forest and exact verification.
 
 1. Texts with the same set of word shingles become one node with a count, so
    copies are never paired with each other.
-2. Each of ``TREES`` bands labels a node with ``LONGEST`` min-hashes. The prefix
-   that must match is the longest with which a pair at the threshold is expected
-   to share a band with the target recall (:func:`prefix_length`). It depends on
-   the threshold alone, not on the data: plain banding, no LSH forest.
-3. Nodes with the same band and prefix form a bucket, by hash. Buckets are cut
-   into blocks of bounded size; a block pair compares whole signatures and
-   emits a spanning forest of the likely pairs, never the pairs themselves.
+2. Each of ``TREES`` prefix trees labels a node with ``LONGEST`` min-hashes. Two
+   nodes meet in a tree when they share a prefix of its labels. The prefixes are
+   shortened on the data, per node and tree: a node starts with its whole labels
+   and, while a pair at the threshold is not yet expected to meet it with the
+   target recall, gives up one more label in the tree where the next bucket is
+   smallest (:func:`matched_prefixes`). Bucket sizes are counted on the tries of
+   the nodes that share a prefix with another at all; every other bucket has one
+   node. A node among many stays deep in the trees whose buckets are large.
+3. A bucket holds the nodes that ask at its depth and all others that share its
+   prefix. Buckets are cut into blocks of bounded size; a block pair compares
+   the whole signatures of those who ask with the rest and emits a spanning
+   forest of the likely pairs, never the pairs themselves.
 4. Components of the forest are candidate clusters. Within a cluster, blocks
    again, every pair's exact Jaccard similarity is computed from the shingle
    sets. Links are counted per node; a spanning forest of the links gives the
@@ -24,6 +29,7 @@ or over the threshold, copies included; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import itertools
 
 import numpy as np
@@ -38,6 +44,7 @@ from marginlens.llm.shingles import mix, shingle_hashes, word_hashes
 SIMILARITY = (4, 5)      # 0.8 as a fraction: exact integer comparison
 TREES, LONGEST = 16, 8
 TARGET_RECALL = 0.9995   # of pairs exactly at the threshold
+CHEAP = 64               # nodes of a bucket that is asked for at any prefix
 LIKELY = 0.6             # signature agreement from which a pair is looked at (threshold - 5.6 deviations)
 SIGNATURE_BLOCK, SET_BLOCK = 512, 256  # rows of a block
 SET_BLOCK_BYTES = 32 << 20
@@ -48,13 +55,37 @@ _MUL = _rng.integers(0, 1 << 32, TREES * LONGEST, dtype=np.uint32) | np.uint32(1
 
 
 def prefix_length(similarity: float, target: float = TARGET_RECALL, trees: int = TREES, longest: int = LONGEST) -> int:
-    """Shorten the matched prefix from the whole label until the expected recall reaches the target."""
+    """The prefix that suffices when it is the same in all trees: no tree needs a shorter one."""
     for depth in range(longest, 0, -1):
         if 1 - (1 - similarity ** depth) ** trees >= target:
             return depth
     return 1
 
 
+def matched_prefixes(sizes: np.ndarray, least: int, similarity: float, target: float = TARGET_RECALL) -> np.ndarray:
+    """Prefix length per tree (rows of ``sizes``: bucket sizes at the lengths ``least`` and up).
+
+    From the whole label downwards, always in the tree whose next bucket is
+    smallest: as long as that has at most ``CHEAP`` nodes, and then until a
+    neighbour at ``similarity`` is met in one of the trees with probability
+    ``target``. (A small bucket is small because no one is there or because it
+    is the neighbour; stopping there would favour the trees without one.)
+    """
+    trees, lengths = sizes.shape
+    missed = np.log1p(-similarity ** np.arange(least, least + lengths))  # log-probability that a tree misses it
+    at = np.full(trees, lengths - 1)
+    total, wanted = missed[at].sum(), np.log1p(-target)
+    heap = [(int(sizes[t, at[t] - 1]), t) for t in range(trees) if at[t]]
+    heapq.heapify(heap)
+    while heap and (heap[0][0] <= CHEAP or total > wanted):
+        _, t = heapq.heappop(heap)
+        at[t] -= 1
+        total += missed[at[t]] - missed[at[t] + 1]
+        if at[t]:
+            heapq.heappush(heap, (int(sizes[t, at[t] - 1]), t))
+    return at + least
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     """``TREES * LONGEST`` min-hashes; half of the functions see either half of a shingle's bits."""
     best = np.full(TREES * LONGEST, 0xFFFFFFFF, np.uint32)
@@ -162,10 +193,52 @@ def _compared(own: list[int]) -> tuple[slice, slice]:
     return (whole, whole) if cut is None else (slice(0, cut), slice(cut, len(own)))
 
 
-def likely_pairs(nodes: DataFrame) -> DataFrame:
-    """Spanning forests (``a, b``) of the pairs that share a prefix and most of their signature."""
-    rows = nodes.select("node", F.explode("keys").alias("key"))
-    columns = ["key", "left", "right", "own", "node", "sig"]
+def _trie_key(depth) -> F.Column:
+    """The bucket of a node's first ``depth`` labels in a tree (``key``: the least length, ``tail``: further labels)."""
+    longer = F.xxhash64("key", F.substr("tail", F.lit(1), depth - F.col("least")))
+    return F.when(depth == F.col("least"), F.col("key")).otherwise(longer)
+
+
+def buckets(nodes: DataFrame, least: int) -> DataFrame:
+    """``node, key, asks``: the members of every bucket that some node asks for."""
+    rows = nodes.select("node", F.posexplode("keys").alias("tree", "key"))
+    shared = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared_prefixes")
+    tail = F.substr("sig", F.col("tree") * LONGEST + least + 1, F.lit(LONGEST - least))
+    tries = staged(rows.join(shared.hint("merge"), "key").join(nodes.select("node", "sig").hint("merge"), "node")
+                   .select("node", "tree", "key", "n", tail.alias("tail"), F.lit(least).alias("least")), "tries")
+
+    # sizes of the deeper buckets, and every node's prefix lengths from them
+    deeper = tries.withColumn("depth", F.explode(F.sequence(F.lit(least + 1), F.lit(LONGEST))))
+    deeper = deeper.select("node", "tree", "depth", _trie_key(F.col("depth")).alias("key"))
+    sizes = deeper.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    sized = deeper.join(sizes.hint("merge"), "key").select("node", "tree", "depth", "n").unionByName(
+        tries.select("node", "tree", F.col("least").alias("depth"), "n"))
+    per_node = sized.groupBy("node").agg(F.collect_list(F.struct("tree", "depth", "n")).alias("sizes"))  # trees times lengths
+
+    def shorten(batches):
+        for batch in batches:
+            out = [[], [], []]
+            for node, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                n = np.ones((TREES, LONGEST - least + 1), np.int64)
+                for x in listed:
+                    n[x["tree"], x["depth"] - least] = x["n"]
+                for t, d in enumerate(matched_prefixes(n, least, SIMILARITY[0] / SIMILARITY[1]).tolist()):
+                    if n[t, 0] > 1:
+                        out[0].append(node), out[1].append(t), out[2].append(d)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32())],
+                                             names=["node", "tree", "wanted"])
+
+    asked = staged(per_node.mapInArrow(shorten, "node long, tree int, wanted int"), "matched_prefixes")
+    held = tries.join(asked.hint("merge"), ["node", "tree"])
+    wanted = held.select(_trie_key(F.col("wanted")).alias("key")).distinct()
+    members = held.withColumn("depth", F.explode(F.sequence(F.lit(least), F.lit(LONGEST))))
+    members = members.select("node", _trie_key(F.col("depth")).alias("key"), (F.col("depth") == F.col("wanted")).alias("asks"))
+    return staged(members.join(wanted.hint("merge"), "key", "left_semi"), "bucket_members")
+
+
+def likely_pairs(nodes: DataFrame, least: int) -> DataFrame:
+    """Spanning forests (``a, b``) of the pairs that share a matched prefix and most of their signature."""
+    columns = ["key", "left", "right", "own", "node", "asks", "sig"]
 
     def run(batches):
         edges: list[tuple[int, int]] = []
@@ -174,19 +247,23 @@ def likely_pairs(nodes: DataFrame) -> DataFrame:
             if g["left"][0] != g["right"][0] and left == right:
                 continue  # only one of the two blocks has rows
             sigs = np.frombuffer(b"".join(g["sig"]), np.uint8).reshape(len(g["node"]), -1)
+            asks = np.array(g["asks"])
             forest = _Forest(len(sigs))
             for i in range(left.start, left.stop):
                 lo = max(i + 1, right.start)
-                agree = (sigs[lo:right.stop] == sigs[i]).mean(1)
-                for j in np.flatnonzero(agree >= LIKELY).tolist():
-                    forest.join(i, lo + j)
+                others = np.arange(lo, right.stop)
+                if not asks[i]:
+                    others = others[asks[lo:right.stop]]
+                agree = (sigs[others] == sigs[i]).mean(1)
+                for j in others[agree >= LIKELY].tolist():
+                    forest.join(i, j)
             edges += [(g["node"][i], g["node"][j]) for i, j in forest.edges]
             if len(edges) > 50_000:
                 yield _edge_batch(edges)
                 edges = []
         yield _edge_batch(edges)
 
-    dealt = _blocks(rows, "key", SIGNATURE_BLOCK, payload=nodes.select("node", "sig"))
+    dealt = _blocks(buckets(nodes, least), "key", SIGNATURE_BLOCK, payload=nodes.select("node", "sig"))
     return dealt.select(*columns).mapInArrow(run, "a long, b long")
 
 
@@ -301,7 +378,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    F.first("keys").alias("keys"), F.first("sig").alias("sig")))
     nodes = staged(groups.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    clusters = components(likely_pairs(nodes)).select("node", F.col("root").alias("cluster"))
+    clusters = components(likely_pairs(nodes, depth)).select("node", F.col("root").alias("cluster"))
     wanted = staged(nodes.join(clusters, "node")
                     .select("node", "cluster", "copies", "set_id", "first.doc_id", "first.text_key"), "wanted")
     links = staged(exact_links(staged(_with_sets(own, wanted), "sets")), "links")

@@ -127,6 +127,76 @@ def test_prefix_is_shortened_until_the_recall():
     assert 1 - (1 - 0.8 ** d) ** jaccard_join.TREES >= jaccard_join.TARGET_RECALL
 
 
+def test_prefixes_are_shortened_where_buckets_are_small():
+    least, lengths = jaccard_join.prefix_length(0.8), jaccard_join.LONGEST
+    sizes = np.ones((jaccard_join.TREES, lengths - least + 1), np.int64)
+    alone = jaccard_join.matched_prefixes(sizes, least, 0.8)
+
+    def recall(depths):
+        return 1 - np.prod(1 - 0.8 ** np.asarray(depths, float))
+
+    assert recall(alone) >= jaccard_join.TARGET_RECALL
+    sizes[3] = [9000, 4000, 1000, 300, 90][:lengths - least + 1]
+    sizes[7] = [500, 200, 50, 20, 10][:lengths - least + 1]
+    depths = jaccard_join.matched_prefixes(sizes, least, 0.8)
+    assert depths[3] == lengths and depths[3] >= depths[7] >= max(np.delete(depths, [3, 7])) == least
+    sizes[7] = jaccard_join.CHEAP  # small buckets are asked for in any case
+    assert jaccard_join.matched_prefixes(sizes, least, 0.8)[7] == least
+    assert recall(depths) >= jaccard_join.TARGET_RECALL
+    # every bucket large: still the recall, by shortening all of them
+    assert recall(jaccard_join.matched_prefixes(np.full_like(sizes, 10 ** 6), least, 0.8)) >= jaccard_join.TARGET_RECALL
+
+
+def test_recall_of_planted_pairs_at_the_threshold(spark):
+    """Pairs at exactly 0.8 among texts that share lines with many others."""
+    rnd = random.Random(21)
+    lines = [prose(rnd, 12) for _ in range(6)]
+    docs, planted = [], []
+    for k in range(250):
+        own = [f"u{rnd.randrange(10 ** 9)}" for _ in range(41)]
+        head = rnd.choice(lines).split()
+        text = head + own  # 53 words, 49 shingles; a changed word inside costs 5: 44 / 54 = 0.81
+        other = list(text)
+        other[rnd.randrange(20, 45)] = "changed"
+        docs += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(other))]
+        planted.append((2 * k, 2 * k + 1))
+    got = {r.doc_id: r.class_id for r in jaccard_join.jaccard_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    found = sum(got[a] == got[b] for a, b in planted)
+    print(f"recall of {len(planted)} pairs at 0.81: {found / len(planted):.4f}")
+    assert found == len(planted)
+    want = _brute(docs)
+    assert got == {i: c for i, (c, _) in want.items()}
+
+
+def test_the_forest_compares_less_than_fixed_prefixes(spark, monkeypatch):
+    """Texts that are alike in parts only: their large buckets are asked at longer prefixes."""
+    monkeypatch.setattr(jaccard_join, "CHEAP", 8)
+    rnd = random.Random(22)
+    frame = [prose(rnd, 60) for _ in range(2)]
+    docs = [(k, f"{frame[k % 2]} {prose(rnd, 28)}") for k in range(240)]
+    texts = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "xxhash64(text) text_key", "text")
+    least = jaccard_join.prefix_length(0.8)
+    sketch = jaccard_join._sketch(texts, least).filter("set_id is not null")
+    nodes = jaccard_join.staged(sketch.selectExpr("monotonically_increasing_id() as node", "keys", "sig"), "nodes")
+    fixed = nodes.select(F.explode("keys").alias("key")).groupBy("key").count().filter("count > 1")
+    fixed = fixed.agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()[0]
+    members = jaccard_join.buckets(nodes, least).groupBy("key").agg(F.count_if("asks").alias("a"), F.count_if(F.expr("not asks")).alias("o"))
+    forest = members.agg(F.sum(F.col("a") * (F.col("a") - 1) / 2 + F.col("a") * F.col("o"))).first()[0]
+    print(f"pairs compared: {forest:.0f} by the forest, {fixed:.0f} with a fixed prefix")
+    assert 0 < forest < 0.9 * fixed
+
+
+def test_a_chain_of_texts_whose_ends_are_unlike(spark):
+    """Each text is near the next one only; the class is the whole chain, links are counted exactly."""
+    rnd = random.Random(23)
+    words = [f"c{rnd.randrange(10 ** 9)}" for _ in range(50 + 4 * 60)]
+    docs = [(k, " ".join(words[4 * k:4 * k + 50])) for k in range(60)]  # 42 of 50 shingles in common with the next
+    got = {r.doc_id: (r.class_id, r.n_links) for r in
+           jaccard_join.jaccard_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == _brute(docs)
+    assert {c for c, _ in got.values()} == {0} and sorted(n for _, n in got.values())[:2] == [1, 1]
+
+
 # --- decontamination ---
 def _hits(words, items, size=10):
     hit, ids = set(), set()
