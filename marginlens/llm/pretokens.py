@@ -19,6 +19,8 @@ BYTE_LEVEL = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
+#: Entries of the memos, about 250 bytes each: of a Python worker's memory, some 0.4 GB at most.
+CHUNKS, PIECES = 1_500_000, 400_000
 #: Texts are encoded in slices of about this many characters.
 SLICE_CHARS = 1 << 18
 
@@ -89,8 +91,8 @@ class ChunkEncoder:
     """Encodes texts chunk by chunk; ``encode_pieces`` turns new pieces into ids."""
 
     def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]]):
-        self.pieces = Memo(encode_pieces)
-        self.chunks = Memo(self._new_chunks)
+        self.pieces = Memo(encode_pieces, PIECES)
+        self.chunks = Memo(self._new_chunks, CHUNKS)
 
     def cut(self, chunk: str) -> list[str]:
         raise NotImplementedError
