@@ -62,11 +62,12 @@ def prefix_length(similarity: float, target: float = TARGET_RECALL, trees: int =
     return 1
 
 
-def matched_prefixes(sizes: np.ndarray, least: int, similarity: float, target: float = TARGET_RECALL) -> np.ndarray:
+def matched_prefixes(sizes: np.ndarray, least: int, similarity: float, target: float = TARGET_RECALL,
+                     cheap: int = CHEAP) -> np.ndarray:
     """Prefix length per tree (rows of ``sizes``: bucket sizes at the lengths ``least`` and up).
 
     From the whole label downwards, always in the tree whose next bucket is
-    smallest: as long as that has at most ``CHEAP`` nodes, and then until a
+    smallest: as long as that has at most ``cheap`` nodes, and then until a
     neighbour at ``similarity`` is met in one of the trees with probability
     ``target``. (A small bucket is small because no one is there or because it
     is the neighbour; stopping there would favour the trees without one.)
@@ -77,7 +78,7 @@ def matched_prefixes(sizes: np.ndarray, least: int, similarity: float, target: f
     total, wanted = missed[at].sum(), np.log1p(-target)
     heap = [(int(sizes[t, at[t] - 1]), t) for t in range(trees) if at[t]]
     heapq.heapify(heap)
-    while heap and (heap[0][0] <= CHEAP or total > wanted):
+    while heap and (heap[0][0] <= cheap or total > wanted):
         _, t = heapq.heappop(heap)
         at[t] -= 1
         total += missed[at[t]] - missed[at[t] + 1]
@@ -199,7 +200,7 @@ def _trie_key(depth) -> F.Column:
     return F.when(depth == F.col("least"), F.col("key")).otherwise(longer)
 
 
-def buckets(nodes: DataFrame, least: int) -> DataFrame:
+def buckets(nodes: DataFrame, least: int, cheap: int = CHEAP) -> DataFrame:
     """``node, key, asks``: the members of every bucket that some node asks for."""
     rows = nodes.select("node", F.posexplode("keys").alias("tree", "key"))
     shared = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared_prefixes")
@@ -222,7 +223,7 @@ def buckets(nodes: DataFrame, least: int) -> DataFrame:
                 n = np.ones((TREES, LONGEST - least + 1), np.int64)
                 for x in listed:
                     n[x["tree"], x["depth"] - least] = x["n"]
-                for t, d in enumerate(matched_prefixes(n, least, SIMILARITY[0] / SIMILARITY[1]).tolist()):
+                for t, d in enumerate(matched_prefixes(n, least, SIMILARITY[0] / SIMILARITY[1], cheap=cheap).tolist()):
                     if n[t, 0] > 1:
                         out[0].append(node), out[1].append(t), out[2].append(d)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32())],

@@ -168,9 +168,8 @@ def test_recall_of_planted_pairs_at_the_threshold(spark):
     assert got == {i: c for i, (c, _) in want.items()}
 
 
-def test_the_forest_compares_less_than_fixed_prefixes(spark, monkeypatch):
+def test_the_forest_compares_less_than_fixed_prefixes(spark):
     """Texts that are alike in parts only: their large buckets are asked at longer prefixes."""
-    monkeypatch.setattr(jaccard_join, "CHEAP", 8)
     rnd = random.Random(22)
     frame = [prose(rnd, 60) for _ in range(2)]
     docs = [(k, f"{frame[k % 2]} {prose(rnd, 28)}") for k in range(240)]
@@ -180,7 +179,7 @@ def test_the_forest_compares_less_than_fixed_prefixes(spark, monkeypatch):
     nodes = jaccard_join.staged(sketch.selectExpr("monotonically_increasing_id() as node", "keys", "sig"), "nodes")
     fixed = nodes.select(F.explode("keys").alias("key")).groupBy("key").count().filter("count > 1")
     fixed = fixed.agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()[0]
-    members = jaccard_join.buckets(nodes, least).groupBy("key").agg(F.count_if("asks").alias("a"), F.count_if(F.expr("not asks")).alias("o"))
+    members = jaccard_join.buckets(nodes, least, cheap=8).groupBy("key").agg(F.count_if("asks").alias("a"), F.count_if(F.expr("not asks")).alias("o"))
     forest = members.agg(F.sum(F.col("a") * (F.col("a") - 1) / 2 + F.col("a") * F.col("o"))).first()[0]
     print(f"pairs compared: {forest:.0f} by the forest, {fixed:.0f} with a fixed prefix")
     assert 0 < forest < 0.9 * fixed
