@@ -23,7 +23,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more (what was made from it
+    is written), and let the driver drop the shuffle files of finished jobs:
+    Spark deletes them when it collects their references, which a short run
+    with much memory never does by itself."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._staged_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    jvm.System.gc()
 
 
 _SHIPPED: set[str] = set()
@@ -72,4 +86,4 @@ def text_or_empty(col: str) -> F.Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
-__all__ = ["staged", "open_fs", "file_uri", "text_or_empty", "fresh", "ship_package", "driver_table", "DataFrame", "SparkSession"]
+__all__ = ["staged", "release", "open_fs", "file_uri", "text_or_empty", "fresh", "ship_package", "driver_table", "DataFrame", "SparkSession"]

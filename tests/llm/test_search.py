@@ -371,6 +371,48 @@ def test_recall_of_passages_at_the_threshold(spark):
     assert len(got) >= 798
 
 
+def test_recall_of_passages_put_together_from_common_wordings(spark):
+    """300 near pairs; every passage is made of five parts with four wordings each,
+    so that every shingle and every single min-hash is in very many documents."""
+    rnd = random.Random(31)
+    wordings = [[[f"w{slot}{v}{i}x{rnd.randrange(10 ** 6)}" for i in range(10)] for v in range(4)] for slot in range(5)]
+    docs, pairs = [], []
+    for k in range(300):
+        passage = [w for slot in wordings for w in rnd.choice(slot)]
+        other = list(passage)
+        other[rnd.randrange(4, 46)] = f"changed{k}"  # 41 of 51: just over the threshold
+        for i, p in ((2 * k, passage), (2 * k + 1, other)):
+            docs.append((i, f"{prose(rnd, rnd.randint(3, 40))} {' '.join(p)} {prose(rnd, rnd.randint(3, 40))}"))
+        pairs.append((2 * k, 2 * k + 1))
+    got = _marked(substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    found = sum(len(got[a]) >= 45 and len(got[b]) >= 45 for a, b in pairs)
+    print(f"recall of {len(pairs)} pairs from common wordings: {found / len(pairs):.3f}")
+    assert found >= 0.9 * len(pairs)
+
+
+def test_levels_reach_their_recall():
+    for width, bands in substring_dedup.LEVELS:
+        assert substring_dedup.level_recall(0.8, width, bands) >= 0.98
+
+
+def test_sliding_minima_and_passage_keys():
+    rng = np.random.default_rng(6)
+    span = substring_dedup.SPAN
+    h = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    assert (substring_dedup.sliding_min(h) == [h[i:i + span].min() for i in range(200 - span + 1)]).all()
+    chosen = rng.random(200 - span + 1) < .8
+    for level, (_, bands) in enumerate(substring_dedup.LEVELS):
+        keys, left, right = substring_dedup.passage_keys(h, chosen, level)
+        held = np.zeros((bands, len(chosen)), int)
+        for k, a, z in zip(keys.tolist(), left.tolist(), right.tolist()):
+            held[k & substring_dedup.KIND_BITS, a:z - span + 2] += 1
+        assert (held == chosen).all()  # every chosen passage once per band
+        moved = substring_dedup.passage_keys(np.concatenate((rng.integers(0, 1 << 63, 9, dtype=np.uint64), h[20:90])),
+                                             np.ones(79 - span + 1, bool), level)[0]
+        whole = substring_dedup.passage_keys(h, np.ones(len(chosen), bool), level)[0]
+        assert set(moved.tolist()) & set(whole.tolist())  # the same passage has the same keys wherever it stands
+
+
 def test_scattered_shingles_are_no_passage():
     rng = np.random.default_rng(3)
     lines = [rng.integers(0, 1 << 32, 20, dtype=np.uint32) for _ in range(12)]
