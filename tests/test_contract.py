@@ -31,7 +31,8 @@ def _norm(v):
 
 @pytest.mark.parametrize("name", ["scorecard", "fact_month", "margin_trend", "cost_drivers", "quarantine",
                                   "quality_report", "upsert_partitioned", "hierarchy_violations", "order_margin_trend",
-                                  "incremental_ingest"])
+                                  "incremental_ingest", "load_quarantine", "load_scorecard", "run_drift", "published_reports",
+                                  "catalog_contract"])
 def test_matches_oracle_on_smallest_tables(spark, name):
     con = duckdb.connect()
     for t in TABLES:
