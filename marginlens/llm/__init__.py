@@ -1,5 +1,5 @@
 """Operators for large-scale training-data preparation.
 
-Ten operators (one module each) plus the queries that apply them to whole
+Thirteen operators (one module each) plus the queries that apply them to whole
 tables. Nothing outside this package imports it.
 """
