@@ -395,6 +395,17 @@ def test_levels_reach_their_recall():
         assert substring_dedup.level_recall(0.8, width, bands) >= 0.98
 
 
+def test_rows_of_a_large_group_unlike_both_ends_meet_the_whole_group(spark):
+    rows = [(7, d, 10, 59, s) for d, s in ((1, 11), (2, 12), (3, 13), (4, 13), (5, 14), (6, 15))] + [(8, 9, 0, 49, 16), (8, 1, 0, 49, 17)]
+    large = spark.createDataFrame(rows, "key long, doc long, l int, r int, same long")
+    end = 60 + substring_dedup.WIDTH - 1  # in words, exclusive
+    spans = [(d, 1, 10, end) for d in (1, 3, 4, 6)] + [(5, 1, 10, 30), (5, 2, 30, end), (2, 1, 10, end - 1), (9, 1, 0, 60), (1, 9, 0, 60)]
+    spans = spark.createDataFrame(spans, "doc long, partner long, start int, end int")
+    got = {(r.a.doc, r.b.doc) for r in substring_dedup._rest_links(large, spans).collect()}
+    assert got == {(1, 2), (2, 3), (2, 4), (2, 5), (2, 6)}  # 2 alone has an unmarked place; 5 is covered by two spans
+    assert substring_dedup._rest_links(large, spans.withColumn("end", substring_dedup.F.lit(99))).count() == 0
+
+
 def test_sliding_minima_and_passage_keys():
     rng = np.random.default_rng(6)
     span = substring_dedup.SPAN
