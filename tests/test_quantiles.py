@@ -111,3 +111,15 @@ def test_ties_never_reach_a_ranking_task(spark, monkeypatch):
     got = {r["g"]: r["v"] for r in group_medians(df, ["g"], "v", max_ranked=50).collect()}
     assert got == {"g": 4.0, "two": 0.0}
     assert seen[-1].count() == 0  # every tied group was answered by its counts, none is ranked
+
+
+def test_ranked_rows_carry_no_keys(spark):
+    from marginlens.functions.quantiles import medians_of_long
+
+    rows = [("a key that is long", "m", v) for v in (3.0, -0.0, 0.0, -1.0)] + [(None, "m", 5.0), (None, "m", 7.0), ("one", "m", 2.0)]
+    long = spark.createDataFrame(rows, "k string, _m string, _v double")
+    meds = medians_of_long(long, ["k"])
+    assert {r["k"]: str(r["_med"]) for r in meds.collect()} == {"a key that is long": "0.0", None: "5.0", "one": "2.0"}
+    plan = meds._jdf.queryExecution().optimizedPlan().toString()
+    window = next(line for line in plan.splitlines() if "Window [" in line)
+    assert "[_g#" in window and "k#" not in window.split("], [")[1]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marginlens.operators import clean
 from marginlens.plans import layers, pipeline
 from marginlens.sinks import upsert as up
-from marginlens.sinks.writers import export_csv
+from marginlens.sinks.writers import export_csv, overwrite
 from marginlens.sources.tables import table_exists
 from tests.conftest import bronze_row
 
@@ -77,3 +77,22 @@ def test_csv_export_can_be_compressed(spark, tmp_table, tmp_path):
     export_csv(spark.range(1000), path, compression="gzip")
     assert spark.read.option("header", True).csv(path).count() == 1000
     assert not list(tmp_path.rglob("*.csv")) and list(tmp_path.rglob("*.csv.gz"))
+
+
+def test_the_drivers_rows_reach_silver_in_ranges_of_the_day(spark, monkeypatch):
+    lake = layers.Layers(spark, layers.scratch_path(spark, "ranges"), TINY)
+    months, read = F.year("date") * 12 + F.month("date"), []
+    parts = lake.bronze.groupBy(F.input_file_name().alias("f")).agg(F.min(months).alias("a"), F.max(months).alias("b")).orderBy("a").collect()
+    assert all(x["b"] <= y["a"] for x, y in zip(parts, parts[1:]))  # a file holds a range of its own
+    real = up.write_partitions
+    monkeypatch.setattr(up, "write_partitions", lambda out, *a, **k: (read.append(out._jdf.queryExecution().executedPlan().toString()), real(out, *a, **k)))
+    assert lake.silver.count() > 0
+    assert "Exchange hashpartitioning" not in read[0] and "Exchange RoundRobin" not in read[0]  # full-width rows stay where they are
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_layers_are_written_with_the_library_codec(spark, tmp_table):
+    path = tmp_table()
+    overwrite(spark.range(100).toDF("x"), path)
+    names = [s.getPath().getName() for s in up._fs(spark, path)[0].listStatus(up._fs(spark, path)[1])]
+    assert any(n.endswith(".zstd.parquet") for n in names)
