@@ -8,7 +8,7 @@ from marginlens.operators import clean
 from marginlens.plans import layers, pipeline
 from marginlens.sinks import upsert as up
 from marginlens.sinks.writers import export_csv, overwrite
-from marginlens.sources.tables import table_exists
+from marginlens.sources.tables import driver_table, table_exists
 from tests.conftest import bronze_row
 
 TINY = "/root/testdata/sf0.001"
@@ -96,3 +96,15 @@ def test_layers_are_written_with_the_library_codec(spark, tmp_table):
     overwrite(spark.range(100).toDF("x"), path)
     names = [s.getPath().getName() for s in up._fs(spark, path)[0].listStatus(up._fs(spark, path)[1])]
     assert any(n.endswith(".zstd.parquet") for n in names)
+
+
+def test_loads_bring_every_row_from_the_source(spark, monkeypatch):
+    rows = []
+    monkeypatch.setattr(layers, "load", lambda spark, root, raw, load_id: rows.append(raw.count()))
+    for name in ("append_run", "run_metrics"):
+        monkeypatch.setattr(layers, name, lambda *a: None)
+    monkeypatch.setattr(layers, "_LOADED", {})
+    monkeypatch.setattr(layers, "_LAKEHOUSES", {})
+    layers.loaded_lakehouse(spark, TINY)
+    assert len(rows) == len(layers.LOADS) and sum(rows) == driver_table(spark, TINY, "lineitem").count()
+    assert not layers._LAKEHOUSES  # no second copy of Bronze is written for them
