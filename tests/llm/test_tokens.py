@@ -1,4 +1,5 @@
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -187,3 +188,34 @@ def test_long_documents_are_streamed(monkeypatch):
     n, ids_hex, text_hex = c.digests(text)
     whole = "".join(c.decode([np.frombuffer(ids, "<u4")]))
     assert (n, ids_hex, text_hex) == (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(whole.encode()).hexdigest())
+
+
+def _held(x):
+    return sys.getsizeof(x) + sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in x.items())
+
+
+def test_full_memos_leave_room_for_the_other_workers():
+    """Three idle workers hold their memos beside an executor's JVM."""
+    chunks = pretokens.WordChunks(lambda new: [b"\0" * 16 for _ in new], str)
+    for a in range(0, 2_000_000, 5_000):
+        chunks.encode(" ".join(f"word{k}" for k in range(a, a + 5_000)))
+    memos = (chunks.chunks, chunks.pieces)
+    assert sum(_held(m.known) + _held(m.old) for m in memos) < 130e6
+
+
+def test_byte_level_words_with_punctuation_equal_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode, _ = token_files.byte_level_encoder(path)
+    lib = Tokenizer.from_file(path)
+    rnd = random.Random(9)
+    marks = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()] + ["é", "Ā", "×", "ª", "7", "…"]
+    for _ in range(2_000):
+        word = "".join(rnd.choice("abÉß") for _ in range(rnd.randint(1, 4)))
+        text = " ".join(word + "".join(rnd.choice(marks) for _ in range(rnd.randint(0, 3))) for _ in range(3))
+        assert np.frombuffer(encode(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text
+
+
+def test_new_byte_level_chunks_are_held_once():
+    chunks = pretokens.ByteLevelChunks(lambda new: [p.encode() for p in new])
+    chunks.encode("first " + " ".join(f"w{chr(97 + k % 20)}{chr(97 + k // 20)}." for k in range(200)))
+    assert len(chunks.chunks.known) == 200 and set(chunks.pieces.known) == {"first"}
