@@ -4,8 +4,7 @@ No piece of either public pattern reaches across a word boundary in a way that
 depends on the far word, so a text is cut into white-space-delimited chunks by
 ``str.split`` and each distinct chunk is pre-tokenised and encoded once; a
 bounded memo holds the ids of recent chunks. Texts whose white space does not
-allow that cut go through the pattern as a whole. Python workers live on idle
-between stages and keep their memos, so these stay small beside the JVM.
+allow that cut go through the pattern as a whole.
 """
 from __future__ import annotations
 
@@ -20,13 +19,14 @@ BYTE_LEVEL = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
-#: Entries of the memos, about 250 bytes each: of a Python worker's memory, some 125 MB at most.
+#: Entries of the memos, about 250 bytes each: of a Python worker's memory, some 125 MB at most for words.
+#: Workers live on idle and keep them through later stages of a pipeline; the byte level runs by itself.
 CHUNKS, PIECES = 400_000, 100_000
+BYTE_LEVEL_CHUNKS, BYTE_LEVEL_PIECES = 1_500_000, 400_000
 #: Texts are encoded in slices of about this many characters.
 SLICE_CHARS = 1 << 18
 
-#: Letters, and punctuation without apostrophes after them: a piece each.
-_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@[-`{-~]*)")
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 _RUN_START = re.compile(r"(?<!\s)\s")
 #: ``str.split`` takes these for white space, the patterns don't.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
@@ -90,25 +90,18 @@ class Memo:
 
 
 class ChunkEncoder:
-    """Encodes texts chunk by chunk; ``encode_pieces`` turns new pieces into ids.
+    """Encodes texts chunk by chunk; ``encode_pieces`` turns new pieces into ids."""
 
-    ``piece_memo``: pieces of new chunks are looked up before they are encoded,
-    which pays where encoding a piece costs more than the chunks kept for it.
-    """
-
-    piece_memo = True
-
-    def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]]):
-        self.pieces = Memo(encode_pieces, PIECES)
-        self.chunks = Memo(self._new_chunks, CHUNKS if self.piece_memo else CHUNKS + PIECES)
-        self.new_pieces = self.pieces if self.piece_memo else encode_pieces
+    def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]], chunks: int = CHUNKS, pieces: int = PIECES):
+        self.pieces = Memo(encode_pieces, pieces)
+        self.chunks = Memo(self._new_chunks, chunks)
 
     def cut(self, chunk: str) -> list[str]:
         raise NotImplementedError
 
     def _new_chunks(self, chunks: list[str]) -> list[bytes]:
         cut = [self.cut(c) for c in chunks]
-        ids = iter(self.new_pieces([p for pieces in cut for p in pieces]))
+        ids = iter(self.pieces([p for pieces in cut for p in pieces]))
         return [b"".join([next(ids) for _ in pieces]) for pieces in cut]
 
     def encode(self, text: str) -> bytes:
@@ -118,12 +111,12 @@ class ChunkEncoder:
 class ByteLevelChunks(ChunkEncoder):
     """The byte-level pattern: a space opens the next word, every character counts."""
 
-    piece_memo = False
+    def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]]):
+        super().__init__(encode_pieces, BYTE_LEVEL_CHUNKS, BYTE_LEVEL_PIECES)
 
     def cut(self, chunk: str) -> list[str]:
-        if word := _WORD.fullmatch(chunk):
-            letters, rest = word.groups()
-            return [" " + letters, rest] if rest else [" " + letters]
+        if _LETTERS.fullmatch(chunk):  # the pattern takes them whole
+            return [" " + chunk]
         return BYTE_LEVEL.findall(chunk if chunk[0] == "\n" else " " + chunk)
 
     def encode(self, text: str) -> bytes:
