@@ -1,6 +1,7 @@
 """Jaccard join, decontamination, substring dedup against brute force."""
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -468,6 +469,52 @@ def test_spans_against_every_pair_of_passages():
         assert not (want & ~got).any()
 
 
+def test_texts_laid_end_to_end_are_like_each_alone():
+    rnd = random.Random(9)
+    texts = ["", "a b", None, prose(rnd, 300), "x " * 120, "Ünïcode Ärger " * 40, prose(rnd, 4), prose(rnd, 75) + "\n", prose(rnd, 5)]
+    alone = [shingles.shingle_hashes(shingles.word_hashes(t)) for t in texts]
+    alone = [s if len(shingles.word_hashes(t)) >= shingles.WIDTH else s[:0] for s, t in zip(alone, texts)]
+    s, count = shingles.shingles_of([None if t is None else t.encode() for t in texts])
+    assert count.tolist() == [len(a) for a in alone] and (s == np.concatenate(alone)).all()
+    start, want = 0, []
+    for a in alone:
+        want += (substring_dedup.compact_windows(a) + start).tolist()
+        start += len(a)
+    assert sorted(substring_dedup.compact_windows(s, substring_dedup.SPAN, count).tolist()) == sorted(want)
+    chosen = np.random.default_rng(2).random(len(s) - substring_dedup.SPAN + 1) < .5
+    whole = substring_dedup.passage_keys(s, chosen, 1)
+    parts = [substring_dedup.passage_keys(s, chosen, 1, bands) for bands in (range(6), range(6, 14))]
+    assert all((a == np.concatenate(b)).all() for a, b in zip(whole, zip(*parts)))
+
+
+def test_pairs_laid_end_to_end_are_like_each_alone():
+    rng = np.random.default_rng(5)
+    fill = lambda n: rng.integers(0, 1 << 32, n, dtype=np.uint32)
+    pairs = [(fill(60), fill(70)), (np.zeros(300, np.uint32), np.zeros(90, np.uint32))]
+    for _ in range(40):
+        x = rng.integers(0, 40, 120, dtype=np.uint32) if rng.random() < .3 else fill(int(rng.integers(46, 200)))
+        at = int(rng.integers(0, len(x)))
+        pairs.append((x, np.concatenate((fill(int(rng.integers(0, 50))), x[:at], fill(int(rng.integers(0, 4))), x[at:]))))
+    got = [([], []) for _ in pairs]
+    xs, ys = ([p[k] for p in pairs] for k in (0, 1))
+    both = substring_dedup.spans_of_pairs(np.concatenate(xs), np.array([len(x) for x in xs]), np.concatenate(ys), np.array([len(y) for y in ys]))
+    for side, (pair, start, end) in enumerate(both):
+        for p, a, b in zip(pair.tolist(), start.tolist(), end.tolist()):
+            got[p][side].append((a, b))
+    assert got == [substring_dedup.shared_spans(x, y) for x, y in pairs]
+    assert sum(bool(a) for a, _ in got) >= 30
+
+
+def test_segments_of_few_lines_are_compared_in_little_time():
+    rng = np.random.default_rng(8)
+    lines = [rng.integers(0, 1 << 32, 6, dtype=np.uint32) for _ in range(5)]
+    x, y = (np.concatenate([lines[k] for k in rng.integers(0, 5, n)]) for n in (150, 90))
+    began = time.process_time()  # 13.9 s pair by pair
+    a, b = substring_dedup.shared_spans(x, y)
+    assert a and b
+    assert time.process_time() - began < 4
+
+
 @pytest.mark.parametrize("query", ["op3_jaccard_join", "op9_substring_dedup"])
 def test_queries_on_the_smallest_tables(spark, query):
     from marginlens.llm.registry import QUERIES
