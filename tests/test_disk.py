@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marginlens.functions import quantiles
 from marginlens.operators import clean
 from marginlens.plans import layers, pipeline
+from marginlens.sinks.upsert import upsert_latest
 from marginlens.sources import driver
 from marginlens.sources.tables import _fs, driver_table, table_exists
 from tests.conftest import bronze_row
@@ -77,6 +78,19 @@ def test_bronze_is_kept_for_those_who_read_it_only(spark):
     assert all(table_exists(spark, path) for path in pipeline.table_paths(lake.root).values())
 
 
+def test_rows_that_are_all_new_are_not_written_again(spark, tmp_table):
+    def planned(path, rows, batch):
+        got = upsert_latest(spark, spark.createDataFrame(rows, "k string, at int, m int"), path, "k", ["at"], batch=batch, partition_by=["m"])
+        return [sorted(tuple(r) for r in df.collect()) for df in (got.old, got.new, got.late)]
+
+    path = tmp_table()
+    assert planned(path, [("a", 1, 1), ("b", 5, 2)], "0") == [[], [("a", 1, 1), ("b", 5, 2)], []]
+    assert planned(path, [("a", 2, 2), ("c", 1, 1)], "1") == [[("a", 1, 1)], [("a", 2, 2), ("c", 1, 1)], []]
+    assert not table_exists(spark, f"{path}__batch_1/new")
+    assert planned(path, [("b", 4, 2), ("d", 1, 1)], "2") == [[], [("d", 1, 1)], [("b", 4, 2)]]
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("k", "at", "m").collect()) == [("a", 2, 2), ("b", 5, 2), ("c", 1, 1), ("d", 1, 1)]
+
+
 def _medians(spark, rows, max_ranked):
     long = spark.createDataFrame(rows, "k string, _m string, _v double").repartition(3)
     return {r["k"]: r["_med"] for r in quantiles.medians_of_long(long, ["k"], max_ranked=max_ranked).collect()}
